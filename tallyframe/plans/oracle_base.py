@@ -194,3 +194,30 @@ from (
   group by member_id, run_key) b""", ("activity",))
 
 cte("as_of", "select max(activity_date) as as_of_date from activity", ("activity",))
+
+
+# --------------------------------------------------------------------------- exact rounding in SQL
+# DuckDB divides decimals in floating point; these helpers divide in integers
+# so that half-way cases round exactly like Spark's decimal round (half up
+# for the non-negative values used here).
+
+
+def ratio_money_by_count(num: str, den: str) -> str:
+    """round(num / den, 2) for a 2-place decimal num and a positive integer den."""
+    return (f"cast(cast((2 * cast(round(({num}) * 100) as hugeint) + ({den})) // (2 * ({den})) "
+            f"as decimal(38,0)) * 0.01 as decimal(18,2))")
+
+
+def ratio_money_by_money(num: str, den: str) -> str:
+    """round(num / den, 2) for two 2-place decimals, den > 0."""
+    n = f"cast(round(({num}) * 100) as hugeint)"
+    d = f"cast(round(({den}) * 100) as hugeint)"
+    return f"cast(cast((200 * {n} + {d}) // (2 * {d}) as decimal(38,0)) * 0.01 as decimal(18,2))"
+
+
+def avg_one_place(total: str, count: str, divisor: int = 1) -> str:
+    """round(total / (count * divisor), 1) for integer total and count, null if count = 0."""
+    t = f"cast({total} as hugeint)"
+    c = f"cast({count} as hugeint)"
+    return (f"case when {c} > 0 then cast(cast((20 * {t} + {divisor} * {c}) // (2 * {divisor} * {c}) "
+            f"as decimal(38,0)) * 0.1 as decimal(18,1)) end")
