@@ -38,3 +38,7 @@ def acquisition(spark, d):
 
 def activity(spark, d):
     return td.activity_days(spark, d)
+
+
+def tickets(spark, d):
+    return st.stage_tickets(td.raw_tickets(spark, d))

@@ -61,18 +61,6 @@ def stage_activity(spark, d):
     return st.stage_workouts(td.raw_workouts(spark, d), money=M)
 
 
-@register("stage_tickets", sql("""
-select ticket_id, member_id,
-       coalesce(case lower(ticket_type)
-                  when 'technical issue' then 'App/device sync issue'
-                  when 'billing inquiry' then 'Billing & subscription question'
-                  when 'product inquiry' then 'Program/feature question'
-                  when 'cancellation request' then 'Cancellation request'
-                  when 'refund request' then 'Refund request' end, ticket_type) as ticket_category,
-       ticket_status, ticket_priority, ticket_channel,
-       cast(cast(nullif(csat_rating, '') as decimal(38,6)) as integer) as csat_rating,
-       cast(created_at as date) as created_at,
-       cast(nullif(resolved_at, '') as date) as resolved_at
-from raw_tickets""", "raw_tickets"))
+@register("stage_tickets", sql("select * from tickets", "tickets"))
 def stage_tickets(spark, d):
     return st.stage_tickets(td.raw_tickets(spark, d))

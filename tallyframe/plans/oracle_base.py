@@ -86,7 +86,9 @@ from lineitem join orders on l_orderkey = o_orderkey""")
 cte("raw_campaigns", """
 select cast(s_suppkey as varchar) as campaign_id,
        s_name as campaign_name,
-       'ch_' || cast(s_suppkey % 9 as varchar) as channel,
+       case s_suppkey % 9 when 0 then 'paid_social' when 1 then 'search_ads' when 2 then 'email'
+            when 3 then 'referral_program' when 4 then 'content_seo' when 5 then 'sales_outreach'
+            when 6 then 'employer_partnership' when 7 then 'trade_show' else 'linkedin_ads' end as channel,
        cast(s_nationkey as varchar) as target_audience,
        cast(date '1995-01-01' + cast((s_suppkey * 97) % 400 as integer) as varchar) as start_date,
        cast(date '1995-01-01' + cast((s_suppkey * 97) % 400 + 14 + s_suppkey % 47 as integer) as varchar) as end_date,
@@ -221,3 +223,17 @@ def avg_one_place(total: str, count: str, divisor: int = 1) -> str:
     c = f"cast({count} as hugeint)"
     return (f"case when {c} > 0 then cast(cast((20 * {t} + {divisor} * {c}) // (2 * {divisor} * {c}) "
             f"as decimal(38,0)) * 0.1 as decimal(18,1)) end")
+
+cte("tickets", """
+select ticket_id, member_id,
+       coalesce(case lower(ticket_type)
+                  when 'technical issue' then 'App/device sync issue'
+                  when 'billing inquiry' then 'Billing & subscription question'
+                  when 'product inquiry' then 'Program/feature question'
+                  when 'cancellation request' then 'Cancellation request'
+                  when 'refund request' then 'Refund request' end, ticket_type) as ticket_category,
+       ticket_status, ticket_priority, ticket_channel,
+       cast(cast(nullif(csat_rating, '') as decimal(38,6)) as integer) as csat_rating,
+       cast(created_at as date) as created_at,
+       cast(nullif(resolved_at, '') as date) as resolved_at
+from raw_tickets""", ("raw_tickets",))

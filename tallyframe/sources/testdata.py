@@ -29,6 +29,9 @@ MONEY = "decimal(18,2)"
 
 # fixed values: the reference's one-time order types, in its order
 ORDER_TYPES = ["coaching_session", "challenge_entry_fee", "fitness_assessment", "virtual_event_ticket"]
+# fixed values: the reference's campaign channels (five individual, then four organization channels)
+CHANNELS = ["paid_social", "search_ads", "email", "referral_program", "content_seo",
+            "sales_outreach", "employer_partnership", "trade_show", "linkedin_ads"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -143,7 +146,7 @@ def raw_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(
         _text(key).alias("campaign_id"),
         F.col("s_name").alias("campaign_name"),
-        F.concat(F.lit("ch_"), _text(key % 9)).alias("channel"),
+        F.element_at(F.array(*[F.lit(ch) for ch in CHANNELS]), (key % 9 + 1).cast("int")).alias("channel"),
         _text(F.col("s_nationkey")).alias("target_audience"),
         _text(start).alias("start_date"),
         _text(end).alias("end_date"),
