@@ -237,3 +237,16 @@ select ticket_id, member_id,
        cast(created_at as date) as created_at,
        cast(nullif(resolved_at, '') as date) as resolved_at
 from raw_tickets""", ("raw_tickets",))
+
+
+def h_sql(*exprs: str, salt: str | None = None, seed: int = 42) -> str:
+    """32-bit hash of the keys: first 8 hex digits of md5(keys joined by '|' || [':' salt] || ':' seed)."""
+    text = "concat_ws('|', " + ", ".join(f"cast({e} as varchar)" for e in exprs) + ")"
+    tail = (f":{salt}" if salt is not None else "") + f":{seed}"
+    return f"('0x' || substr(md5({text} || '{tail}'), 1, 8))::bigint"
+
+
+def weighted_sql(h: str, labels, cuts) -> str:
+    """CASE chain picking the first label whose cut point exceeds the hash."""
+    whens = " ".join(f"when {h} < {c} then {lab!r}" for lab, c in zip(labels[:-1], cuts[:-1]))
+    return f"case {whens} else {labels[-1]!r} end"
