@@ -13,7 +13,8 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "tallyframe", driver_memory: str = "8g") -> SparkSession:
+                  app: str = "tallyframe", driver_memory: str = "8g",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """A local session configured the way the library expects a cluster to be.
 
     AQE is on so that small dimension sides become broadcasts only after
@@ -34,6 +35,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
