@@ -31,7 +31,10 @@ def hash32(*keys: Column | str, seed: int | str = 42, salt: str | None = None) -
     if salt is not None:
         text = F.concat(text, F.lit(":" + str(salt)))
     text = F.concat(text, F.lit(":" + str(seed)))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    # md5 hex always parses, so the value is never null; saying so (coalesce)
+    # keeps Catalyst from inferring is-not-null filters on the hash and
+    # pushing a second md5 per row into scans below aggregates
+    return F.coalesce(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def uniform(*keys: Column | str, seed: int | str = 42, salt: str | None = None) -> Column:

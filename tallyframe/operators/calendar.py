@@ -71,8 +71,9 @@ def bootstrap(spine: DataFrame, spine_keys: Sequence[str], pool: DataFrame, pool
     hash order (R5); each spine row picks number ``hash % P + 1`` and the two
     sides meet in an equi-join on that number, which is uniformly spread.
     """
-    numbered = dense_number(pool.select(*pool_keys, *measures), pool_keys, seed, "__pick", salt="pool")
-    size = pool.agg(F.count(F.lit(1)).alias("__p"))
+    numbered = dense_number(pool.select(*pool_keys, *measures), pool_keys, seed, "__pick", salt="pool",
+                            with_total=True)
+    size = numbered.agg(F.max("__total").alias("__p"))
     pick = (hash32(*spine_keys, seed=seed, salt="pick") % F.col("__p") + 1).cast("bigint")
     chosen = spine.crossJoin(F.broadcast(size)).withColumn("__pick", pick).drop("__p")
     joined = chosen.join(numbered.select("__pick", *measures), "__pick", "inner")

@@ -49,15 +49,27 @@ def bucket_offsets(hashed: DataFrame) -> DataFrame:
 
 
 def dense_number(df: DataFrame, keys: Sequence[str], seed=42, col: str = "row_no",
-                 salt: str | None = None) -> DataFrame:
-    """1-based dense row number in (hash, key) order."""
+                 salt: str | None = None, with_total: bool = False,
+                 histogram_from: DataFrame | None = None) -> DataFrame:
+    """1-based dense row number in (hash, key) order.
+
+    The rows are shuffled once, by bucket, for the in-bucket ranking.  The
+    bucket histogram is a map-side combined count; when the input is
+    expensive to recompute, pass ``histogram_from``: any cheaper frame with
+    exactly the same multiset of ``keys`` (e.g. the key columns before a
+    1:1 enrichment join).  With ``with_total`` the input's row count is
+    added as ``__total`` from the same histogram.
+    """
     hashed = _hashed(df, keys, seed, salt)
-    offsets = bucket_offsets(hashed).select(_B, "__before")
+    source = hashed if histogram_from is None else _hashed(histogram_from.select(*keys), keys, seed, salt)
+    offsets = bucket_offsets(source).select(_B, "__before", "__through")
+    if with_total:
+        offsets = offsets.withColumn("__total", F.max("__through").over(Window.partitionBy(F.lit(1))))
     w = Window.partitionBy(_B).orderBy(F.col(_H), *[F.col(k) for k in keys])
     ranked = hashed.withColumn("__rn", F.row_number().over(w))
     return ranked.join(F.broadcast(offsets), _B, "inner") \
         .withColumn(col, (F.col("__rn") + F.col("__before")).cast("bigint")) \
-        .drop(_H, _B, "__rn", "__before")
+        .drop(_H, _B, "__rn", "__before", "__through")
 
 
 def sample_size(fraction: float | str | Decimal, total: Column) -> Column:

@@ -39,7 +39,13 @@ def activity_backfill(members: DataFrame, activity: DataFrame, as_of: DataFrame,
     seeds = m.filter(F.col(seed_flag)).select("member_id", "join_date")
     others = m.filter(~F.col(seed_flag)).select("member_id", "join_date")
 
-    real = activity.select("member_id", "activity_date", *cols).join(seeds, "member_id", "inner")
+    # the seed members' activity has four consumers (re-anchoring, pool
+    # numbering, pool histogram, output histogram).  The semi-join on seed keys
+    # is pushed by Catalyst below the activity aggregate, so each read
+    # aggregates only the seed members' rows; the join date is added after.
+    real = activity.select("member_id", "activity_date", *cols) \
+        .join(seeds.select("member_id"), "member_id", "left_semi") \
+        .join(seeds, "member_id", "inner")
     shifted = reanchor(real.withColumnRenamed("activity_date", "original_date").crossJoin(when),
                        "member_id", "original_date", F.col("as_of_date"), join_col="join_date")
     real_rows = shifted.select(
@@ -54,6 +60,10 @@ def activity_backfill(members: DataFrame, activity: DataFrame, as_of: DataFrame,
     synth_rows = synth.withColumn("data_source", F.lit("synthetic"))
 
     both = real_rows.unionByName(synth_rows)
-    numbered = dense_number(both, ["member_id", "activity_date"], seed, "__n", salt="workout")
+    # the resampling join is 1:1 on spine rows, so the output keys are the
+    # shifted keys plus the spine keys: the id histogram is taken from those
+    # and the join runs once
+    keys = real_rows.select("member_id", "activity_date").unionByName(spine.select("member_id", "activity_date"))
+    numbered = dense_number(both, ["member_id", "activity_date"], seed, "__n", salt="workout", histogram_from=keys)
     return numbered.select(padded_id("wkt", "__n").alias("workout_id"), "member_id", "activity_date",
                            *cols, "data_source")
