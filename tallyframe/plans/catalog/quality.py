@@ -20,7 +20,9 @@ SUITE = dq.Suite(
                      ("tickets", "ticket_category", sorted(set(TICKET_CATEGORY_MAP.values()))),
                      ("subscriptions", "status", ["active"]),
                      ("campaigns", "channel", list(td.CHANNELS))],
-    relationships=[("customer", "c_nationkey", "nation_subset", "n_nationkey"),
+    relationships=[("customer", "c_nationkey", "nation", "n_nationkey"),
+                   # business rule: a sponsored member's account must carry a per-member rate
+                   ("sponsored_members", "account_id", "rated_accounts", "account_id"),
                    ("subscriptions", "member_id", "members", "member_id"),
                    ("tickets", "member_id", "members", "member_id"),
                    ("acquisition", "campaign_id", "campaigns", "campaign_id")],
@@ -31,17 +33,19 @@ STAGED = ("one_time_orders", "members", "acquisition", "subscriptions", "account
 
 
 def tables(spark, d):
+    members, accounts = c.members(spark, d), c.accounts(spark, d)
     return {
         "events": td.table(spark, d, "events"),
         "orders": td.table(spark, d, "orders"),
         "customer": td.table(spark, d, "customer"),
-        # parent with some keys removed, so that the relationship test has orphans to report
-        "nation_subset": td.table(spark, d, "nation").filter(F.col("n_nationkey") < 20),
+        "nation": td.table(spark, d, "nation"),
         "one_time_orders": c.orders(spark, d),
-        "members": c.members(spark, d),
+        "members": members,
+        "sponsored_members": members.filter(F.col("sponsored")),
+        "rated_accounts": accounts.filter(F.col("per_member_rate").isNotNull()),
         "acquisition": c.acquisition(spark, d),
         "subscriptions": c.subscriptions(spark, d),
-        "accounts": c.accounts(spark, d),
+        "accounts": accounts,
         "tickets": c.tickets(spark, d),
         "campaigns": c.campaigns(spark, d),
     }
@@ -51,8 +55,14 @@ def _lit(v) -> str:
     return "'" + str(v).replace("'", "''") + "'"
 
 
+DERIVED = {
+    "sponsored_members": "(select * from members where sponsored)",
+    "rated_accounts": "(select * from accounts where per_member_rate is not null)",
+}
+
+
 def _src(model: str) -> str:
-    return "(select * from nation where n_nationkey < 20)" if model == "nation_subset" else model
+    return DERIVED.get(model, model)
 
 
 def _head(model: str, col: str, test: str) -> str:
