@@ -26,6 +26,7 @@ class ColumnCast:
     blank_is_null turn ``''`` into null before the cast (quoted blanks)
     integral_text parse integral-looking text such as ``4.0`` into an int,
                   failing on a non-zero fraction (see :func:`int_from_text`)
+    trim          strip surrounding white space first (P22)
     """
 
     name: str
@@ -33,9 +34,12 @@ class ColumnCast:
     dtype: str | None = None
     blank_is_null: bool = False
     integral_text: bool = False
+    trim: bool = False
 
     def column(self) -> Column:
         c = F.col(self.source or self.name)
+        if self.trim:
+            c = F.trim(c)
         if self.blank_is_null:
             c = blank_to_null(c)
         if self.integral_text:
@@ -75,6 +79,6 @@ def with_overrides(spec: list[ColumnCast], **dtypes: str) -> list[ColumnCast]:
     out = []
     for s in spec:
         if s.name in dtypes:
-            s = ColumnCast(s.name, s.source, dtypes[s.name], s.blank_is_null, s.integral_text)
+            s = ColumnCast(s.name, s.source, dtypes[s.name], s.blank_is_null, s.integral_text, s.trim)
         out.append(s)
     return out

@@ -19,7 +19,7 @@ group by a.campaign_id"""
 
 DEFAULTS_SQL = f"""
 select cp.campaign_id, cp.campaign_name, cp.channel, cp.target_audience, cp.spend, cp.conversions,
-       cast(coalesce(t.mrr, 0) as decimal(18,2)) as attributed_mrr,
+       cast(coalesce(t.mrr, 0) as decimal(38,2)) as attributed_mrr,
        cast(coalesce(t.n, 0) as bigint) as attributed_subscriptions
 from campaigns cp left join ({ATTRIBUTED_SQL}) t on t.campaign_id = cp.campaign_id"""
 
@@ -39,7 +39,7 @@ def _attributed(spark, d):
 
 
 @register("attributed_revenue", sql(f"""
-select campaign_id, cast(mrr as decimal(18,2)) as attributed_mrr, n as attributed_subscriptions
+select campaign_id, cast(mrr as decimal(38,2)) as attributed_mrr, n as attributed_subscriptions
 from ({ATTRIBUTED_SQL}) t""", *REV_DEPS))
 def attributed_revenue(spark, d):
     return _attributed(spark, d)
@@ -65,7 +65,7 @@ def revenue_by_campaign(spark, d):
 
 
 @register("revenue_by_segment", sql("""
-select a.account_type, p.plan_name, cast(sum(s.billed_amount) as decimal(18,2)) as active_mrr,
+select a.account_type, p.plan_name, cast(sum(s.billed_amount) as decimal(38,2)) as active_mrr,
        count(distinct s.subscription_id) as active_subscriptions
 from subscriptions s
 join members m on m.member_id = s.member_id
@@ -93,9 +93,9 @@ one_time as (
   select cast(date_trunc('month', order_date) as date) as m, sum(amount) as amt
   from one_time_orders group by 1)
 select sp.month_start,
-       cast(coalesce(live.mrr, 0) as decimal(18,2)) as mrr,
+       cast(coalesce(live.mrr, 0) as decimal(38,2)) as mrr,
        cast(coalesce(live.n, 0) as bigint) as active_subscriptions,
-       cast(coalesce(one_time.amt, 0) as decimal(18,2)) as one_time_revenue
+       cast(coalesce(one_time.amt, 0) as decimal(38,2)) as one_time_revenue
 from spine sp
 left join live on live.month_start = sp.month_start
 left join one_time on one_time.m = sp.month_start"""
@@ -150,7 +150,7 @@ ENG_DEPS = ("streaks", "as_of", "one_time_orders", "members", "accounts", "subsc
 CUR_LEN = "case when is_current = 1 then streak_length_days end"
 M_VALUE = f"""
 count(distinct member_id) as count_members,
-cast(sum(billed_amount) as decimal(18,2)) as total_billed_amount,
+cast(sum(billed_amount) as decimal(38,2)) as total_billed_amount,
 {ratio_money_by_count('sum(billed_amount)', 'count(distinct member_id)')} as rev_per_member"""
 M_COND = f"""
 count(case when is_current = 1 then member_id end) as count_mem_with_current_streak,
@@ -173,7 +173,7 @@ def _streaks(spark, d):
 
 
 @register("member_order_rollup", sql("""
-select member_id, count(*) as count_orders, cast(sum(amount) as decimal(18,2)) as total_orders_amount
+select member_id, count(*) as count_orders, cast(sum(amount) as decimal(38,2)) as total_orders_amount
 from one_time_orders group by member_id""", "one_time_orders"))
 def member_order_rollup(spark, d):
     return eg.member_order_rollup(c.orders(spark, d))

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from ..operators import streaks as sk
 
 MONEY = "decimal(18,2)"
+# sums of money: wide enough for totals over very large tables
+MONEY_SUM = "decimal(38,2)"
 ONE_PLACE = "decimal(18,1)"
 
 
@@ -37,7 +39,7 @@ def member_order_rollup(orders: DataFrame) -> DataFrame:
     """A4: per member, number of one-time orders and their total (all statuses, Q4)."""
     return orders.groupBy("member_id").agg(
         F.count(F.lit(1)).alias("count_orders"),
-        F.sum("amount").cast(MONEY).alias("total_orders_amount"),
+        F.sum("amount").cast(MONEY_SUM).alias("total_orders_amount"),
     )
 
 
@@ -78,7 +80,7 @@ def value_per_member(base: DataFrame) -> DataFrame:
     """A6 + P15: distinct members, billed total over subscription rows, and their ratio."""
     g = base.groupBy("account_type", "tier").agg(
         F.countDistinct("member_id").alias("count_members"),
-        F.sum("billed").cast(MONEY).alias("total_billed_amount"),
+        F.sum("billed").cast(MONEY_SUM).alias("total_billed_amount"),
     )
     return g.withColumn(
         "rev_per_member",
@@ -151,7 +153,7 @@ def engagement_and_value(members: DataFrame, accounts: DataFrame, subscriptions:
     rows = with_member_facts(base, orders, streaks, as_of)
     g = rows.groupBy("account_type", "tier").agg(
         F.countDistinct("member_id").alias("count_members"),
-        F.sum("billed").cast(MONEY).alias("total_billed_amount"),
+        F.sum("billed").cast(MONEY_SUM).alias("total_billed_amount"),
         *_conditional_aggs(rows),
         *_membership_aggs(),
     )

@@ -233,7 +233,7 @@ select ticket_id, member_id,
                   when 'cancellation request' then 'Cancellation request'
                   when 'refund request' then 'Refund request' end, ticket_type) as ticket_category,
        ticket_status, ticket_priority, ticket_channel,
-       cast(cast(nullif(csat_rating, '') as decimal(38,6)) as integer) as csat_rating,
+       cast(cast(nullif(trim(csat_rating), '') as decimal(38,6)) as integer) as csat_rating,
        cast(created_at as date) as created_at,
        cast(nullif(resolved_at, '') as date) as resolved_at
 from raw_tickets""", ("raw_tickets",))

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.exprs import default_zero, guarded_ratio
 
 MONEY = "decimal(18,2)"
+# sums of money: wide enough for totals over very large tables
+MONEY_SUM = "decimal(38,2)"
 
 
 def member_campaigns(members: DataFrame, acquisition: DataFrame) -> DataFrame:
@@ -41,7 +43,7 @@ def attributed_revenue(subscriptions: DataFrame, members: DataFrame, acquisition
     joined = subs.select("subscription_id", "member_id", "billed_amount").join(
         member_campaigns(members, acquisition), "member_id", "inner")
     return joined.groupBy("campaign_id").agg(
-        F.sum("billed_amount").cast(MONEY).alias("attributed_mrr"),
+        F.sum("billed_amount").cast(MONEY_SUM).alias("attributed_mrr"),
         F.countDistinct("subscription_id").alias("attributed_subscriptions"),
     )
 
@@ -50,7 +52,7 @@ def campaigns_with_revenue(campaigns: DataFrame, attributed: DataFrame) -> DataF
     """J2 + P13: every campaign, with zero (not null) where nothing is attributed."""
     return campaigns.join(attributed, "campaign_id", "left").select(
         "campaign_id", "campaign_name", "channel", "target_audience", "spend", "conversions",
-        default_zero("attributed_mrr").cast(MONEY).alias("attributed_mrr"),
+        default_zero("attributed_mrr").cast(MONEY_SUM).alias("attributed_mrr"),
         default_zero("attributed_subscriptions").cast("bigint").alias("attributed_subscriptions"),
     )
 
@@ -91,7 +93,7 @@ def revenue_by_segment(subscriptions: DataFrame, members: DataFrame, accounts: D
     joined = subs.join(member_type, "member_id", "inner").join(
         plans.select("plan_id", "plan_name"), "plan_id", "inner")
     return joined.groupBy("account_type", "plan_name").agg(
-        F.sum("billed_amount").cast(MONEY).alias("active_mrr"),
+        F.sum("billed_amount").cast(MONEY_SUM).alias("active_mrr"),
         F.countDistinct("subscription_id").alias("active_subscriptions"),
     )
 
@@ -143,9 +145,9 @@ def monthly_revenue(subscriptions: DataFrame, orders: DataFrame, as_of: dt.date
         .join(F.broadcast(one_time), spine.month_start == one_time.m, "left").drop("m")
     return joined.select(
         "month_start",
-        F.sum(default_zero("d_amt")).over(w).cast(MONEY).alias("mrr"),
+        F.sum(default_zero("d_amt")).over(w).cast(MONEY_SUM).alias("mrr"),
         F.sum(default_zero("d_n")).over(w).cast("bigint").alias("active_subscriptions"),
-        default_zero("one_time").cast(MONEY).alias("one_time_revenue"),
+        default_zero("one_time").cast(MONEY_SUM).alias("one_time_revenue"),
     )
 
 

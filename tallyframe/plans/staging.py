@@ -42,7 +42,7 @@ ORDERS = [
 ]
 TICKETS_TAIL = [
     C("ticket_status"), C("ticket_priority"), C("ticket_channel"),
-    C("csat_rating", dtype="int", blank_is_null=True, integral_text=True),
+    C("csat_rating", dtype="int", blank_is_null=True, integral_text=True, trim=True),
     C("created_at", dtype="date"), C("resolved_at", dtype="date", blank_is_null=True),
 ]
 CAMPAIGNS = [
@@ -67,7 +67,7 @@ ACTIVE_MINUTES_THRESHOLD = 15
 def _money(spec: list[C], money: str | None, names: tuple[str, ...]) -> list[C]:
     if money is None:
         return spec
-    return [C(s.name, s.source, money, s.blank_is_null, s.integral_text) if s.name in names else s
+    return [C(s.name, s.source, money, s.blank_is_null, s.integral_text, s.trim) if s.name in names else s
             for s in spec]
 
 

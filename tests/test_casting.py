@@ -70,7 +70,7 @@ def test_subscription_open_end(spark):
 
 def test_ticket_category_map_case_insensitive_and_unmatched_kept(spark):
     raw = spark.createDataFrame(
-        [("t1", "m", "TECHNICAL ISSUE", "Closed", "High", "Email", "5.0", "2024-01-01", "2024-01-02"),
+        [("t1", "m", "TECHNICAL ISSUE", "Closed", "High", "Email", " 5.0 ", "2024-01-01", "2024-01-02"),
          ("t2", "m", "Something else", "Open", "Low", "Chat", "", "2024-01-01", "")],
         "ticket_id string, member_id string, ticket_type string, ticket_status string, ticket_priority string, "
         "ticket_channel string, csat_rating string, created_at string, resolved_at string")
