@@ -46,8 +46,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; only when it is unset (local tests)
-    do we create a scratch folder of our own.
+    A cluster names a shared folder there; only when it is unset in local
+    mode (tests) do we create a scratch folder of our own.  On a cluster an
+    unset folder is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -57,7 +58,41 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local folder "
+                           "does not survive the loss of an executor")
     path = tempfile.mkdtemp(prefix="tallyframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+# Settings for a large cluster, applied only where the session leaves them
+# unset.  The initial shuffle partition count is high so that AQE can
+# coalesce small stages down while big stages stay at ~64-128 MB per task;
+# skew joins are split; file splits stay at 128 MB.
+SCALE_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.ansi.enabled": "true",
+}
+
+
+def configure_for_scale(spark: SparkSession, overrides: dict[str, str] | None = None) -> dict[str, str]:
+    """Apply :data:`SCALE_DEFAULTS` (plus ``overrides``) to settings the session has not set.
+
+    Returns the settings that were changed.
+    """
+    wanted = {**SCALE_DEFAULTS, **(overrides or {})}
+    changed = {}
+    for k, v in wanted.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+            changed[k] = v
+    return changed

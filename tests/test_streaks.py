@@ -89,3 +89,11 @@ def test_window_input_has_no_unpartitioned_window(spark):
     assert "SinglePartition" not in plan_text(s)
 
 
+
+
+def test_day_grain_is_combined_map_side(spark):
+    s = sk.member_streaks(activity(spark))
+    s.collect()
+    text = final_plan(s)
+    # partial aggregate below the first exchange: a hot member is reduced before the shuffle
+    assert "partial_max(is_active_day" in text or "partial_bool_or" in text, text
