@@ -97,3 +97,11 @@ def test_day_grain_is_combined_map_side(spark):
     text = final_plan(s)
     # partial aggregate below the first exchange: a hot member is reduced before the shuffle
     assert "partial_max(is_active_day" in text or "partial_bool_or" in text, text
+
+
+def test_two_exchanges_from_raw_rows(spark):
+    raw = activity(spark).repartition(4)
+    base = exchanges(raw)
+    s = sk.member_streaks(raw)
+    # day grain (map-side combined) + the member window chain
+    assert exchanges(s) == base + 2, final_plan(s)
