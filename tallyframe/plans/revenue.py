@@ -103,8 +103,11 @@ def month_spine(start: Column, end: Column, frame: DataFrame) -> DataFrame:
 
     ``frame`` is a one-row frame holding the columns ``start`` and ``end``
     refer to; its size is one row, so the spine is bounded by the month count.
+    A start after the end gives no months.
     """
-    seq = F.sequence(F.trunc(start, "month"), F.trunc(end, "month"), F.expr("interval 1 month"))
+    first, last = F.trunc(start, "month"), F.trunc(end, "month")
+    seq = F.when(first <= last, F.sequence(first, last, F.expr("interval 1 month"))) \
+        .otherwise(F.array().cast("array<date>"))
     return frame.select(F.explode(seq).alias("month_start"))
 
 

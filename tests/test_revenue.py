@@ -103,3 +103,10 @@ def test_month_spine_bounds(spark):
     spine = rv.month_spine(F.col("s"), F.lit(d("2024-02-01")), one)
     assert [r.month_start for r in spine.collect()] == [d("2023-11-01"), d("2023-12-01"), d("2024-01-01"),
                                                          d("2024-02-01")]
+
+
+def test_monthly_all_after_as_of_is_empty(spark):
+    subs = spark.createDataFrame([("s1", "m", "p", d("2024-09-01"), None, "active", dec("5.00"))], SUBS)
+    orders = spark.createDataFrame([], "order_id string, member_id string, order_type string, order_date date, "
+                                       "amount decimal(18,2), status string")
+    assert rv.monthly_revenue(subs, orders, d("2024-06-30")).count() == 0
