@@ -4,16 +4,31 @@ Randomness is a hash of the row key and a seed (see
 :mod:`tallyframe.functions.hashing`), so results do not depend on how the
 data is partitioned and survive task retries unchanged.
 
-Global order by hash is obtained from a histogram over the top
-``BUCKET_BITS`` bits of the 32-bit hash: at most 2^16 buckets, so the
-histogram and its running offsets are a bounded, broadcastable frame.  Rows
-are ranked only inside their bucket (a window partitioned by bucket, i.e.
-about n / 65,536 rows per window partition for distinct keys), then shifted
-by their bucket's offset.  Never ``monotonically_increasing_id`` or
-``spark_partition_id``, which change with partitioning.
-
-Keys must identify rows (ties are broken by the key columns); rows whose
-keys and hash coincide are interchangeable copies.
+Global order
+    Rows are ordered by (hash, key columns, remaining columns).  A histogram
+    over the top ``BUCKET_BITS`` bits of the 32-bit hash (at most 2^16 rows)
+    gives every bucket its offset; the running
+    sum over that bounded histogram is the only unpartitioned window.  Rows
+    are ranked inside their bucket only and shifted by the bucket's offset.
+    Never ``monotonically_increasing_id`` or ``spark_partition_id``.
+
+Hot buckets
+    A bucket holding more than ``hot_rows`` rows (one key or one group of
+    copies can hold a third of a table) is never ranked by one task.  Its
+    exact copies are first collapsed map-side into (row, multiplicity); the
+    bucket is split into sub-buckets by the low 16 hash bits (order
+    preserving) and a content hash (to spread rows that share a key); a
+    sub-histogram (at most 2^20 rows per hot bucket, aggregated and joined
+    like any other frame) gives each distinct row a range of numbers; rows are then
+    re-expanded in chunks of at most ``EXPAND_CHUNK`` copies spread over
+    tasks.  Copies are interchangeable, so the result is the same multiset
+    of rows whatever the partitioning.
+
+Driver-side decisions
+    Which path a query takes is decided from one row of statistics read
+    from the (cached, bounded) histogram: the largest bucket, the total and,
+    for a sample, the cut bucket.  Nothing else reaches the driver, and the
+    plan handed to Spark contains only the path that is needed.
 """
 
 from __future__ import annotations
@@ -24,16 +39,28 @@ from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ..functions.hashing import TWO_32, hash32
 
 BUCKET_BITS = 16
+LOW_BITS = 32 - BUCKET_BITS          # hash bits below the bucket: order-preserving sub-buckets
+SPREAD_BITS = 4                      # content-hash bits that split rows sharing one hash
+HOT_BUCKET_ROWS = 4_000_000          # rows one task may rank in a window
+EXPAND_CHUNK = 1_000_000             # copies one task may emit for one row
 _H, _B = "__h", "__bucket"
 
 
 def _hashed(df: DataFrame, keys: Sequence[str], seed, salt: str | None = None) -> DataFrame:
     h = hash32(*keys, seed=seed, salt=salt)
-    return df.withColumn(_H, h).withColumn(_B, F.shiftright(F.col(_H), 32 - BUCKET_BITS))
+    return df.withColumn(_H, h).withColumn(_B, F.shiftright(F.col(_H), LOW_BITS))
+
+
+def _order(df_cols: Sequence[str], schema, keys: Sequence[str]) -> list[Column]:
+    """(hash, keys, every other orderable column): a total order up to exact copies."""
+    rest = [f.name for f in schema.fields
+            if f.name in df_cols and f.name not in keys and not isinstance(f.dataType, MapType)]
+    return [F.col(_H)] + [F.col(k) for k in keys] + [F.col(c) for c in rest]
 
 
 def bucket_offsets(hashed: DataFrame) -> DataFrame:
@@ -48,28 +75,91 @@ def bucket_offsets(hashed: DataFrame) -> DataFrame:
         .withColumn("__before", F.col("__through") - F.col("__cnt"))
 
 
+def expand(df: DataFrame, count_col: str, first_col: Column | int, out_col: str,
+           chunk: int = EXPAND_CHUNK, spread: Sequence[str] = ()) -> DataFrame:
+    """Each row becomes ``count`` rows numbered first, first + 1, ...
+
+    Counts up to ``chunk`` are exploded in place; larger counts are first cut
+    into chunks, the chunks are spread over tasks, and each task explodes at
+    most ``chunk`` rows.  Rows with a count below 1 disappear.
+    """
+    m = F.col(count_col).cast("bigint")
+    first = first_col if isinstance(first_col, Column) else F.lit(first_col)
+    base = df.withColumn("__first", first.cast("bigint"))
+    small = base.filter((m >= 1) & (m <= chunk)) \
+        .withColumn("__i", F.explode(F.sequence(F.lit(0).cast("bigint"), m - 1)))
+    big = base.filter(m > chunk) \
+        .withColumn("__c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((m - 1) / chunk).cast("bigint"))))
+    big = big.repartition(F.xxhash64(*[F.col(c) for c in spread], F.col("__c"))) \
+        .withColumn("__i", F.explode(F.sequence(F.col("__c") * chunk,
+                                                F.least(m, (F.col("__c") + 1) * chunk) - 1))) \
+        .drop("__c")
+    return small.unionByName(big) \
+        .withColumn(out_col, F.col("__first") + F.col("__i")).drop("__first", "__i")
+
+
+def _rank_cold(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """Rank (1-based) inside the bucket, one window partition per bucket."""
+    return rows.withColumn("__rn", F.row_number().over(Window.partitionBy(_B).orderBy(*order)))
+
+
+def _rank_hot(rows: DataFrame, order: list[Column], data_cols: Sequence[str]) -> DataFrame:
+    """Distinct rows of hot buckets with their copies ``__m`` and the rank
+    ``__first`` of their first copy inside the bucket (see module doc)."""
+    collapsed = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("__m"))
+    collapsed = collapsed.withColumn("__sa", F.col(_H).bitwiseAND((1 << LOW_BITS) - 1)) \
+        .withColumn("__sb", F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in data_cols]), 64 - SPREAD_BITS))
+    sub = collapsed.groupBy(_B, "__sa", "__sb").agg(F.sum("__m").alias("__sm"))
+    wsub = Window.partitionBy(_B).orderBy("__sa", "__sb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sub = sub.withColumn("__sub_before", F.sum("__sm").over(wsub) - F.col("__sm")).drop("__sm")
+    joined = collapsed.join(sub, [_B, "__sa", "__sb"], "inner")
+    w = Window.partitionBy(_B, "__sa", "__sb").orderBy(*order) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return joined.withColumn("__first", F.col("__sub_before") + F.sum("__m").over(w) - F.col("__m") + 1) \
+        .drop("__sa", "__sb", "__sub_before")
+
+
+def _histogram(source: DataFrame) -> DataFrame:
+    """Bucket histogram, cached: it is read by the driver-side decision below
+    and by the query itself.  At most 2^BUCKET_BITS rows."""
+    return bucket_offsets(source).cache()
+
+
 def dense_number(df: DataFrame, keys: Sequence[str], seed=42, col: str = "row_no",
                  salt: str | None = None, with_total: bool = False,
-                 histogram_from: DataFrame | None = None) -> DataFrame:
-    """1-based dense row number in (hash, key) order.
+                 histogram_from: DataFrame | None = None, hot_rows: int = HOT_BUCKET_ROWS) -> DataFrame:
+    """1-based dense row number in (hash, key, other columns) order.
 
-    The rows are shuffled once, by bucket, for the in-bucket ranking.  The
-    bucket histogram is a map-side combined count; when the input is
+    The rows are shuffled once, by bucket, for the in-bucket ranking; the
+    bucket histogram is a map-side combined count.  One row of statistics
+    (largest bucket, total) is read on the driver to choose the plan: hot
+    buckets get the split path only when they exist.  When the input is
     expensive to recompute, pass ``histogram_from``: any cheaper frame with
-    exactly the same multiset of ``keys`` (e.g. the key columns before a
-    1:1 enrichment join).  With ``with_total`` the input's row count is
-    added as ``__total`` from the same histogram.
+    exactly the same multiset of ``keys`` (e.g. the key columns before a 1:1
+    enrichment join).  With ``with_total`` the row count is added as
+    ``__total``.
     """
+    data_cols = list(df.columns)
     hashed = _hashed(df, keys, seed, salt)
+    order = _order(data_cols, df.schema, keys)
     source = hashed if histogram_from is None else _hashed(histogram_from.select(*keys), keys, seed, salt)
-    offsets = bucket_offsets(source).select(_B, "__before", "__through")
-    if with_total:
-        offsets = offsets.withColumn("__total", F.max("__through").over(Window.partitionBy(F.lit(1))))
-    w = Window.partitionBy(_B).orderBy(F.col(_H), *[F.col(k) for k in keys])
-    ranked = hashed.withColumn("__rn", F.row_number().over(w))
-    return ranked.join(F.broadcast(offsets), _B, "inner") \
-        .withColumn(col, (F.col("__rn") + F.col("__before")).cast("bigint")) \
-        .drop(_H, _B, "__rn", "__before", "__through")
+    hist = _histogram(source)
+    stats = hist.agg(F.max("__cnt").alias("max_cnt"), F.sum("__cnt").alias("total")).first()
+    max_cnt, total = stats["max_cnt"] or 0, stats["total"] or 0
+    extra = [F.lit(total).cast("bigint").alias("__total")] if with_total else []
+    keep = data_cols + (["__total"] if with_total else []) + [col]
+    info = hist.select(_B, "__before", "__cnt")
+
+    if max_cnt <= hot_rows:
+        ranked = _rank_cold(hashed, order).join(F.broadcast(info), _B, "inner")
+        return ranked.select(*data_cols, *extra,
+                             (F.col("__before") + F.col("__rn")).cast("bigint").alias(col))
+
+    cold = hashed.join(F.broadcast(info.filter(F.col("__cnt") <= hot_rows)), _B, "inner")
+    cold = _rank_cold(cold, order).withColumn(col, (F.col("__before") + F.col("__rn")).cast("bigint"))
+    hot = hashed.join(F.broadcast(info.filter(F.col("__cnt") > hot_rows)), _B, "inner")
+    hot = expand(_rank_hot(hot, order, data_cols), "__m", F.col("__before") + F.col("__first"), col, spread=[_H])
+    return cold.select(*data_cols, *extra, col).unionByName(hot.select(*data_cols, *extra, col)).select(*keep)
 
 
 def sample_size(fraction: float | str | Decimal, total: Column) -> Column:
@@ -79,36 +169,50 @@ def sample_size(fraction: float | str | Decimal, total: Column) -> Column:
 
 
 def first_n_by_hash(df: DataFrame, n: Column | int | DataFrame, keys: Sequence[str], seed=42,
-                    salt: str | None = None) -> DataFrame:
-    """O4 / R1 core: the ``n`` rows with the smallest (hash, key).
-
-    Whole buckets below the cut are kept without any ranking; only the one
-    bucket that straddles the cut is ranked.  ``n`` is an int, an expression
-    over ``__total`` (the row count of ``df``), or a one-row frame whose only
+                    salt: str | None = None, hot_rows: int = HOT_BUCKET_ROWS) -> DataFrame:
+    """O4 / R1 core: the ``n`` first rows in (hash, key, other columns) order.
+
+    From the bucket histogram the driver reads one row: the target ``n``,
+    the first bucket not wholly taken, the rows before it and its size.  The
+    plan is then two filters on the bucket number: buckets before the cut are
+    kept without any ranking, and only the cut bucket is ranked (by the
+    hot-bucket path when it is large).  ``n`` is an int, an expression over
+    ``__total`` (the row count of ``df``), or a one-row frame whose only
     column is the count.
     """
+    data_cols = list(df.columns)
     hashed = _hashed(df, keys, seed, salt)
-    info = bucket_offsets(hashed)
-    total = info.agg(F.sum("__cnt").alias("__total"))
-    info = info.crossJoin(F.broadcast(total))
+    order = _order(data_cols, df.schema, keys)
+    hist = _histogram(hashed)
+    totals = hist.agg(F.sum("__cnt").alias("__total"))
     if isinstance(n, DataFrame):
-        info = info.crossJoin(F.broadcast(n.select(n.columns[0]).toDF("__n")))
+        totals = totals.crossJoin(n.select(n.columns[0]).toDF("__n"))
     else:
-        info = info.withColumn("__n", n if isinstance(n, Column) else F.lit(n))
-    info = info.select(_B, "__before", "__through", F.col("__n").cast("bigint").alias("__n"))
-    joined = hashed.join(F.broadcast(info), _B, "inner")
-    whole = joined.filter(F.col("__through") <= F.col("__n"))
-    cut = joined.filter((F.col("__before") < F.col("__n")) & (F.col("__through") > F.col("__n")))
-    w = Window.partitionBy(_B).orderBy(F.col(_H), *[F.col(k) for k in keys])
-    cut = cut.withColumn("__rn", F.row_number().over(w)) \
-        .filter(F.col("__rn") <= F.col("__n") - F.col("__before")).drop("__rn")
-    drop = [_H, _B, "__before", "__through", "__n"]
-    return whole.drop(*drop).unionByName(cut.drop(*drop))
-
-
-def exact_n_sample(df: DataFrame, fraction: float | str, keys: Sequence[str], seed=42) -> DataFrame:
+        totals = totals.withColumn("__n", n if isinstance(n, Column) else F.lit(n))
+    t = totals.select(F.coalesce(F.col("__total"), F.lit(0)).alias("total"),
+                      F.col("__n").cast("bigint").alias("n")).first()
+    total, target = t["total"], max(0, min(t["n"] or 0, t["total"]))
+    if target == 0:
+        return df.filter(F.lit(False))
+    if target >= total:
+        return df
+    cut = hist.filter(F.col("__through") > target).orderBy(_B).select(_B, "__before", "__cnt").first()
+    whole = hashed.filter(F.col(_B) < cut[_B]).select(*data_cols)
+    need = target - cut["__before"]
+    rows = hashed.filter(F.col(_B) == cut[_B])
+    if cut["__cnt"] <= hot_rows:
+        part = _rank_cold(rows, order).filter(F.col("__rn") <= need)
+    else:
+        hot = _rank_hot(rows, order, data_cols)
+        take = F.greatest(F.lit(0), F.least(F.col("__m"), F.lit(need) - F.col("__first") + 1))
+        part = expand(hot.withColumn("__take", take), "__take", 0, "__copy", spread=[_H])
+    return whole.unionByName(part.select(*data_cols))
+
+
+def exact_n_sample(df: DataFrame, fraction: float | str, keys: Sequence[str], seed=42,
+                   hot_rows: int = HOT_BUCKET_ROWS) -> DataFrame:
     """Exactly floor(fraction * rows) rows, without replacement, repeatable."""
-    return first_n_by_hash(df, sample_size(fraction, F.col("__total")), keys, seed)
+    return first_n_by_hash(df, sample_size(fraction, F.col("__total")), keys, seed, hot_rows=hot_rows)
 
 
 def cumulative_thresholds(weights: Sequence[float | str]) -> list[int]:
@@ -138,10 +242,14 @@ def weighted_assign(df: DataFrame, keys: Sequence[str], labels: Sequence, weight
     return df.withColumn(col, weighted_choice(hash32(*keys, seed=seed, salt=col), labels, weights))
 
 
-def replicate_rows(df: DataFrame, count_col: str, col: str = "copy_no") -> DataFrame:
-    """N copies of each row, numbered 1..n (n <= 0 or null gives none)."""
-    n = F.coalesce(F.col(count_col).cast("int"), F.lit(0))
-    return df.filter(n >= 1).withColumn(col, F.explode(F.sequence(F.lit(1), n)))
+def replicate_rows(df: DataFrame, count_col: str, col: str = "copy_no", chunk: int = EXPAND_CHUNK) -> DataFrame:
+    """N copies of each row, numbered 1..n (n <= 0 or null gives none).
+
+    A row with a huge n is cut into chunks spread over tasks (see :func:`expand`).
+    """
+    n = F.coalesce(F.col(count_col).cast("bigint"), F.lit(0).cast("bigint"))
+    out = expand(df.withColumn("__n", n), "__n", 1, col, chunk=chunk, spread=list(df.columns))
+    return out.withColumn(col, F.col(col).cast("int")).drop("__n")
 
 
 def zip_by_rank(a: DataFrame, a_keys: Sequence[str], b: DataFrame, b_keys: Sequence[str],

@@ -73,3 +73,36 @@ def test_bootstrap_jitter_bounds(spark):
     vals = out.collect()
     assert len(vals) == 200
     assert all(850 <= r.steps <= 1150 and 8.5 <= float(r.km) <= 11.5 for r in vals)
+
+
+def _hot_frame(spark):
+    data = [(0, "same")] * 3000 + [(k, f"v{k}") for k in range(1, 6001)] + [(7, "other")] * 5
+    return spark.createDataFrame(data, "k long, v string")
+
+
+def test_hot_buckets_number_like_cold_ones(spark):
+    df = _hot_frame(spark)
+    hot = sm.dense_number(df, ["k"], hot_rows=50)
+    cold = sm.dense_number(df, ["k"])
+    got = rows(hot, "k", "v", "row_no")
+    assert sorted(r[2] for r in got) == list(range(1, 9006))
+    assert got == rows(cold, "k", "v", "row_no")
+    # the hot path really ran: collapsed copies were expanded again
+    text = hot._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in text
+
+
+def test_hot_buckets_sample_like_cold_ones(spark):
+    df = _hot_frame(spark)
+    for frac in ("0.2", "0.5", "0.9"):
+        a = rows(sm.exact_n_sample(df, frac, ["k"], hot_rows=50), "k", "v")
+        b = rows(sm.exact_n_sample(df, frac, ["k"]), "k", "v")
+        assert a == b and len(a) == int(__import__("decimal").Decimal(frac) * 9005)
+
+
+def test_expand_splits_large_counts(spark):
+    df = spark.createDataFrame([("a", 25), ("b", 3), ("c", 0)], "k string, n int")
+    out = sm.replicate_rows(df, "n", chunk=10)
+    got = rows(out, "k", "copy_no")
+    assert got == sorted([("a", i) for i in range(1, 26)] + [("b", i) for i in range(1, 4)],
+                         key=lambda t: tuple((x is None, str(x)) for x in t))
