@@ -26,17 +26,25 @@ def _date(v: Column | str | dt.date) -> Column:
 
 
 def entity_day_spine(entities: DataFrame, key: str, join_col: str, as_of: Column | dt.date | str,
-                     window_days: int = 60, day_col: str = "activity_date") -> DataFrame:
+                     window_days: int = 60, day_col: str = "activity_date",
+                     partitions: int | None = None) -> DataFrame:
     """One row per entity and day from max(join date, window start) to the as-of date.
 
     Entities that join after the as-of date get no rows; a null join date
-    means the whole window.
+    means the whole window.  The explode multiplies each entity row by up to
+    ``window_days``, so the (narrow) entity rows are first hash-spread over
+    ``partitions`` tasks (default: the session's shuffle partitions) - a
+    small entity table stored in one file would otherwise generate the whole
+    spine in one task.
     """
     end = _date(as_of)
     start = F.date_sub(end, window_days - 1)
     first = F.greatest(F.coalesce(F.col(join_col), start), start)
-    return entities.filter(first <= end).select(
-        key, F.explode(F.sequence(first, end)).alias(day_col))
+    if partitions is None:
+        partitions = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = entities.filter(first <= end).select(key, first.alias("__first"), end.alias("__end")) \
+        .repartition(partitions, key)
+    return spread.select(key, F.explode(F.sequence("__first", "__end")).alias(day_col))
 
 
 def reanchor(df: DataFrame, key: str, date: str, end: Column | dt.date | str,
@@ -69,14 +77,18 @@ def bootstrap(spine: DataFrame, spine_keys: Sequence[str], pool: DataFrame, pool
     ``measures`` maps a pool column to ``"int"`` (rounded half up, floored at
     0) or ``"decimal"`` (rounded to 2 places).  The pool is numbered 1..P in
     hash order (R5); each spine row picks number ``hash % P + 1`` and the two
-    sides meet in an equi-join on that number, which is uniformly spread.
+    sides meet in a shuffled hash join on that number (uniformly spread, the
+    pool is the build side; neither side is broadcast).
     """
     numbered = dense_number(pool.select(*pool_keys, *measures), pool_keys, seed, "__pick", salt="pool",
                             with_total=True)
     size = numbered.agg(F.max("__total").alias("__p"))
     pick = (hash32(*spine_keys, seed=seed, salt="pick") % F.col("__p") + 1).cast("bigint")
     chosen = spine.crossJoin(F.broadcast(size)).withColumn("__pick", pick).drop("__p")
-    joined = chosen.join(numbered.select("__pick", *measures), "__pick", "inner")
+    # A shuffled hash join built on the pool.  Without the hint the planner
+    # may broadcast the spine: the size estimate of an explode does not grow
+    # with the explode factor, so a spine of members x days looks tiny.
+    joined = chosen.join(numbered.select("__pick", *measures).hint("shuffle_hash"), "__pick", "inner")
     out = []
     for m, kind in measures.items():
         scaled = F.col(m).cast("decimal(20,2)") * jitter_factor(spine_keys, m, seed)
