@@ -19,6 +19,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SEED = 42
 ORDERS_AS_OF = dt.date(2001, 12, 31)
@@ -34,8 +35,19 @@ CHANNELS = ["paid_social", "search_ads", "email", "referral_program", "content_s
             "sales_outreach", "employer_partnership", "trade_show", "linkedin_ads"]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the driver's tables.  The footer schema is read once per file;
+    later reads pass it explicitly, so building a plan runs no Spark job."""
+    path = f"{sf_dir}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def _text(c: Column) -> Column:
