@@ -26,7 +26,7 @@ Hot buckets
 
 Driver-side decisions
     Which path a query takes is decided from one row of statistics read
-    from the (cached, bounded) histogram: the largest bucket, the total and,
+    from the (checkpointed, bounded) histogram: the largest bucket, the total and,
     for a sample, the cut bucket.  Nothing else reaches the driver, and the
     plan handed to Spark contains only the path that is needed.
 """
@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from ..functions.hashing import TWO_32, hash32
+from ..session import ensure_checkpoint_dir
 
 BUCKET_BITS = 16
 LOW_BITS = 32 - BUCKET_BITS          # hash bits below the bucket: order-preserving sub-buckets
@@ -120,9 +121,18 @@ def _rank_hot(rows: DataFrame, order: list[Column], data_cols: Sequence[str]) ->
 
 
 def _histogram(source: DataFrame) -> DataFrame:
-    """Bucket histogram, cached: it is read by the driver-side decision below
-    and by the query itself.  At most 2^BUCKET_BITS rows."""
-    return bucket_offsets(source).cache()
+    """Bucket histogram, checkpointed (at most 2^BUCKET_BITS rows).
+
+    It is read by the driver-side decision below and by the query itself;
+    writing it once to the session's shared checkpoint folder cuts its
+    lineage, so neither reader recomputes the input and a lost executor
+    costs nothing.
+    """
+    ensure_checkpoint_dir(source.sparkSession)
+    hist = bucket_offsets(source).cache()       # so the checkpoint write does not recompute it
+    saved = hist.checkpoint(eager=True)
+    hist.unpersist()
+    return saved
 
 
 def dense_number(df: DataFrame, keys: Sequence[str], seed=42, col: str = "row_no",
