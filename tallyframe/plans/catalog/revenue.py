@@ -127,23 +127,28 @@ def month_spine(spark, d):
 
 # --------------------------------------------------------------------------- engagement
 
+# One row per subscription (the fan-out the KPIs are defined on), with the
+# member's facts attached: streak facts from one per-member aggregate over the
+# streaks, one-time order counts, and the membership length in days.
 ENGAGEMENT_ROWS = """
-with mls as (select member_id, max(streak_length_days) as longest_streak from streaks group by member_id),
-mrs as (
-  select s.member_id, s.streak_length_days,
-         case when a.as_of_date - s.streak_end_date = 0 then 1 else 0 end as is_current
-  from streaks s cross join as_of a where s.streak_recency_rank = 1),
-mo as (select member_id, count(*) as count_orders from one_time_orders group by member_id)
-select a.account_type, p.tier, m.member_id, s.billed_amount, mrs.is_current, mrs.streak_length_days,
-       mls.longest_streak, mo.count_orders, aod.as_of_date - m.join_date as member_days
-from members m
-cross join as_of aod
-left join accounts a on m.account_id = a.account_id
-join subscriptions s on m.member_id = s.member_id
-join plans p on s.plan_id = p.plan_id
-left join mo on m.member_id = mo.member_id
-left join mrs on m.member_id = mrs.member_id
-left join mls on m.member_id = mls.member_id"""
+with streak_facts as (
+  select st.member_id,
+         max(st.streak_length_days) as longest_streak,
+         max(st.streak_length_days) filter (where st.streak_recency_rank = 1) as streak_length_days,
+         max(case when st.streak_recency_rank = 1 and st.streak_end_date = ao.as_of_date then 1 else 0 end)
+           as is_current
+  from streaks st cross join as_of ao
+  group by st.member_id),
+order_counts as (select member_id, count(*) as count_orders from one_time_orders group by member_id)
+select acc.account_type, pl.tier, mem.member_id, sub.billed_amount, sf.is_current, sf.streak_length_days,
+       sf.longest_streak, oc.count_orders, ao.as_of_date - mem.join_date as member_days
+from subscriptions sub
+join members mem on mem.member_id = sub.member_id
+join plans pl on pl.plan_id = sub.plan_id
+left join accounts acc on acc.account_id = mem.account_id
+left join streak_facts sf on sf.member_id = mem.member_id
+left join order_counts oc on oc.member_id = mem.member_id
+cross join as_of ao"""
 
 ENG_DEPS = ("streaks", "as_of", "one_time_orders", "members", "accounts", "subscriptions", "plans")
 
