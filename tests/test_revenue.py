@@ -110,3 +110,13 @@ def test_monthly_all_after_as_of_is_empty(spark):
     orders = spark.createDataFrame([], "order_id string, member_id string, order_type string, order_date date, "
                                        "amount decimal(18,2), status string")
     assert rv.monthly_revenue(subs, orders, d("2024-06-30")).count() == 0
+
+
+def test_attributed_plus_unattributed_is_total(spark):
+    subs, members, acquisition, campaigns = fixture(spark)
+    attributed = rv.attributed_revenue(subs, members, acquisition).agg(F.sum("attributed_mrr")).collect()[0][0]
+    active = subs.filter("status = 'active'")
+    unattributed = active.join(members, "member_id").join(acquisition, "account_id", "left_anti") \
+        .agg(F.sum("billed_amount")).collect()[0][0]
+    total = active.agg(F.sum("billed_amount")).collect()[0][0]
+    assert attributed + unattributed == total == dec("140.00")
