@@ -72,13 +72,3 @@ def int_from_text(c: Column, dtype: str = "int") -> Column:
 def apply_casts(df: DataFrame, spec: list[ColumnCast]) -> DataFrame:
     """P1 + P3-P9: explicit projection with renames and casts."""
     return df.select(*[s.column() for s in spec])
-
-
-def with_overrides(spec: list[ColumnCast], **dtypes: str) -> list[ColumnCast]:
-    """Copy of ``spec`` with some target types replaced, e.g. a wider money type."""
-    out = []
-    for s in spec:
-        if s.name in dtypes:
-            s = ColumnCast(s.name, s.source, dtypes[s.name], s.blank_is_null, s.integral_text, s.trim)
-        out.append(s)
-    return out

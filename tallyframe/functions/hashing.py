@@ -5,7 +5,6 @@ different stream when the work is split across tasks. Here a row's "random"
 number is a function of its key and a seed only:
 
     h(key)   = first 8 hex digits of md5(key || ':' || seed) as an integer in [0, 2^32)
-    u(key)   = h(key) / 2^32                                  in [0, 1)
 
 The same integer is computed by ``conv(substr(md5(..), 1, 8), 16, 10)`` in
 Spark and ``('0x' || substr(md5(..), 1, 8))::bigint`` in DuckDB, so results
@@ -35,8 +34,3 @@ def hash32(*keys: Column | str, seed: int | str = 42, salt: str | None = None) -
     # keeps Catalyst from inferring is-not-null filters on the hash and
     # pushing a second md5 per row into scans below aggregates
     return F.coalesce(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(0).cast("bigint"))
-
-
-def uniform(*keys: Column | str, seed: int | str = 42, salt: str | None = None) -> Column:
-    """Double in [0, 1) derived from the keys and the seed."""
-    return hash32(*keys, seed=seed, salt=salt) / F.lit(float(TWO_32))

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.exprs import days_between, flag01
+
 
 def day_grain(df: DataFrame, entity: str = "member_id", day: str = "activity_date",
               flag: str = "is_active_day") -> DataFrame:
@@ -87,12 +89,12 @@ def latest_streak_status(streaks: DataFrame, as_of: DataFrame, entity: str = "me
     it is broadcast; the join is a nested loop against that single row.
     """
     latest = streaks.filter(F.col("streak_recency_rank") == 1)
-    days_since = F.datediff(F.col("as_of_date"), F.col("streak_end_date")).cast("bigint")
+    days_since = days_between("as_of_date", "streak_end_date")
     return latest.crossJoin(F.broadcast(as_of.select("as_of_date"))).select(
         entity,
         "streak_length_days",
         days_since.alias("days_since_streak_end"),
-        F.when(days_since == 0, F.lit(1)).otherwise(F.lit(0)).alias("is_current"),
+        flag01(days_since == 0).alias("is_current"),
     )
 
 
@@ -110,6 +112,5 @@ def streak_summary(streaks: DataFrame, as_of: DataFrame, entity: str = "member_i
     )
     cur: Column = F.col("latest_streak_end") == F.col("as_of_date")
     return agg.crossJoin(F.broadcast(as_of.select("as_of_date"))).select(
-        entity, "longest_streak", "latest_streak_length",
-        F.when(cur, F.lit(1)).otherwise(F.lit(0)).alias("is_current"),
+        entity, "longest_streak", "latest_streak_length", flag01(cur).alias("is_current"),
     )

@@ -51,3 +51,12 @@ def test_csv_sink_column_order(spark, scratch):
 def test_view(spark):
     sinks.as_view(spark.range(2), "two_rows")
     assert spark.sql("select count(*) as n from two_rows").collect()[0].n == 2
+
+
+def test_scale_settings_fill_only_unset(spark):
+    from tallyframe.session import configure_for_scale
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    changed = configure_for_scale(spark)
+    assert "spark.sql.adaptive.advisoryPartitionSizeInBytes" in changed
+    assert "spark.sql.adaptive.enabled" not in changed   # already set by the test session
+    assert configure_for_scale(spark) == {}
