@@ -43,14 +43,21 @@ def full_refresh(df: DataFrame, name: str, namespace: str | None = None, path: s
 
 
 def load_all(spark: SparkSession, tables: Mapping[str, DataFrame], namespace: str,
-             base_path: str | None = None) -> DataFrame:
-    """S3 + S5 + S6: full refresh of every table; returns the load report (table, rows)."""
+             base_path: str | None = None, skipped: Mapping[str, str] | None = None) -> DataFrame:
+    """S3 + S4 + S5 + S6: full refresh of every table.
+
+    Returns the load report (table_name, status, rows): ``loaded`` with the
+    row count observed while writing, or ``skipped`` (rows null) for inputs
+    the registry load did not find.
+    """
     create_namespace(spark, namespace)
     report = []
     for name, df in tables.items():
         path = f"{base_path.rstrip('/')}/{name}" if base_path else None
-        report.append((name, full_refresh(df, name, namespace, path)))
-    return spark.createDataFrame(report, "table_name string, rows bigint")
+        report.append((name, "loaded", full_refresh(df, name, namespace, path)))
+    for name in (skipped or {}):
+        report.append((name, "skipped", None))
+    return spark.createDataFrame(report, "table_name string, status string, rows bigint")
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:

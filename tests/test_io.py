@@ -33,8 +33,9 @@ def test_registry_skips_missing_and_full_refresh_is_rerunnable(spark, scratch):
     write(os.path.join(scratch, "plans.csv"), "plan_id,plan_name,tier,monthly_price\np1,Standard,standard,14.99\n")
     loaded = text.load_registry(spark, scratch, {"plans": "plans.csv", "orders": "orders.csv"})
     assert set(loaded.tables) == {"plans"} and set(loaded.skipped) == {"orders"}
-    report = sinks.load_all(spark, loaded.tables, "raw_test")
-    assert [(r.table_name, r.rows) for r in report.collect()] == [("plans", 1)]
+    report = sinks.load_all(spark, loaded.tables, "raw_test", skipped=loaded.skipped)
+    assert sorted((r.table_name, r.status, r.rows) for r in report.collect()) == [
+        ("orders", "skipped", None), ("plans", "loaded", 1)]
     again = sinks.load_all(spark, loaded.tables, "raw_test")
     assert again.collect()[0].rows == 1
     assert text.named_table(spark, "plans", "raw_test").count() == 1
