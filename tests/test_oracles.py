@@ -9,6 +9,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tallyframe.plans import catalog
+from tallyframe.plans.catalog.portable import kinds
+from tallyframe.plans.catalog.portable_spec import SPEC
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -41,11 +44,30 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query_matches_oracle(spark, con, name):
-    got = entry.queries()[name](spark, SF).toArrow()
-    want = con.sql(entry.oracle_sql()[name]).to_arrow_table()
+    """Typed results: exact Arrow types and values."""
+    got = catalog.QUERIES[name](spark, SF).toArrow()
+    want = con.sql(catalog.ORACLES[name]).to_arrow_table()
     assert sorted(got.column_names) == sorted(want.column_names)
     assert {f.name: str(f.type) for f in got.schema} == {f.name: str(f.type) for f in want.schema}
     assert got.num_rows == want.num_rows
     assert _bag(got) == _bag(want)
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_driver_form_matches_under_pandas(spark, con, name):
+    """The driver-facing pair, compared the naive way: pandas dtypes and text."""
+    got = entry.queries()[name](spark, SF).toPandas()
+    want = con.sql(entry.oracle_sql()[name]).df()
+    cols = sorted(got.columns)
+    assert cols == sorted(want.columns)
+    got, want = got[cols], want[cols]
+    assert [str(t) for t in got.dtypes] == [str(t) for t in want.dtypes]
+    assert sorted(map(tuple, got.astype(str).values.tolist())) == sorted(map(tuple, want.astype(str).values.tolist()))
+
+
+def test_portable_spec_is_current(spark):
+    assert set(SPEC) == set(catalog.QUERIES)
+    for name, fn in catalog.QUERIES.items():
+        assert kinds(fn(spark, SF).schema) == SPEC[name], name
