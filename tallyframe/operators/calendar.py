@@ -82,9 +82,9 @@ def bootstrap(spine: DataFrame, spine_keys: Sequence[str], pool: DataFrame, pool
     """
     numbered = dense_number(pool.select(*pool_keys, *measures), pool_keys, seed, "__pick", salt="pool",
                             with_total=True)
-    size = numbered.agg(F.max("__total").alias("__p"))
-    pick = (hash32(*spine_keys, seed=seed, salt="pick") % F.col("__p") + 1).cast("bigint")
-    chosen = spine.crossJoin(F.broadcast(size)).withColumn("__pick", pick).drop("__p")
+    size = numbered.agg(F.max("__total")).scalar()   # one value, inlined as a scalar subquery
+    pick = (hash32(*spine_keys, seed=seed, salt="pick") % size + 1).cast("bigint")
+    chosen = spine.withColumn("__pick", pick)
     # A shuffled hash join built on the pool.  Without the hint the planner
     # may broadcast the spine: the size estimate of an explode does not grow
     # with the explode factor, so a spine of members x days looks tiny.

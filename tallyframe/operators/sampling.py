@@ -196,7 +196,7 @@ def first_n_by_hash(df: DataFrame, n: Column | int | DataFrame, keys: Sequence[s
     hist = _histogram(hashed)
     totals = hist.agg(F.sum("__cnt").alias("__total"))
     if isinstance(n, DataFrame):
-        totals = totals.crossJoin(n.select(n.columns[0]).toDF("__n"))
+        totals = totals.withColumn("__n", n.select(n.columns[0]).scalar())
     else:
         totals = totals.withColumn("__n", n if isinstance(n, Column) else F.lit(n))
     t = totals.select(F.coalesce(F.col("__total"), F.lit(0)).alias("total"),

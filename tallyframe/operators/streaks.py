@@ -85,12 +85,12 @@ def latest_streak_status(streaks: DataFrame, as_of: DataFrame, entity: str = "me
     """O2 + J3 + P16 + P20: each entity's latest run and whether it is current.
 
     "Current" means the run ends on the newest day of the whole table, not of
-    the entity (kept as in the reference).  ``as_of`` has exactly one row, so
-    it is broadcast; the join is a nested loop against that single row.
+    the entity (kept as in the reference).  ``as_of`` has exactly one row; it
+    is read as a scalar subquery (computed once, inlined as a value).
     """
     latest = streaks.filter(F.col("streak_recency_rank") == 1)
-    days_since = days_between("as_of_date", "streak_end_date")
-    return latest.crossJoin(F.broadcast(as_of.select("as_of_date"))).select(
+    days_since = days_between(as_of.select("as_of_date").scalar(), "streak_end_date")
+    return latest.select(
         entity,
         "streak_length_days",
         days_since.alias("days_since_streak_end"),
@@ -110,7 +110,7 @@ def streak_summary(streaks: DataFrame, as_of: DataFrame, entity: str = "member_i
         F.max_by("streak_length_days", "streak_end_date").alias("latest_streak_length"),
         F.max("streak_end_date").alias("latest_streak_end"),
     )
-    cur: Column = F.col("latest_streak_end") == F.col("as_of_date")
-    return agg.crossJoin(F.broadcast(as_of.select("as_of_date"))).select(
+    cur: Column = F.col("latest_streak_end") == as_of.select("as_of_date").scalar()
+    return agg.select(
         entity, "longest_streak", "latest_streak_length", flag01(cur).alias("is_current"),
     )

@@ -34,7 +34,7 @@ def activity_backfill(members: DataFrame, activity: DataFrame, as_of: DataFrame,
     ``as_of`` is a one-row frame with ``as_of_date``.
     """
     cols = list(measures)
-    when = F.broadcast(as_of.select("as_of_date"))
+    when = as_of.select("as_of_date").scalar()   # one value, inlined as a scalar subquery
     m = members.select("member_id", "join_date", seed_flag)
     seeds = m.filter(F.col(seed_flag)).select("member_id", "join_date")
     others = m.filter(~F.col(seed_flag)).select("member_id", "join_date")
@@ -46,15 +46,15 @@ def activity_backfill(members: DataFrame, activity: DataFrame, as_of: DataFrame,
     real = activity.select("member_id", "activity_date", *cols) \
         .join(seeds.select("member_id"), "member_id", "left_semi") \
         .join(seeds, "member_id", "inner")
-    shifted = reanchor(real.withColumnRenamed("activity_date", "original_date").crossJoin(when),
-                       "member_id", "original_date", F.col("as_of_date"), join_col="join_date")
+    shifted = reanchor(real.withColumnRenamed("activity_date", "original_date"),
+                       "member_id", "original_date", when, join_col="join_date")
     real_rows = shifted.select(
         "member_id", "activity_date",
         *[(F.col(c).cast("bigint") if k == "int" else F.col(c).cast("decimal(18,2)")).alias(c)
           for c, k in measures.items()],
         F.lit("real_fitbit").alias("data_source"))
 
-    spine = entity_day_spine(others.crossJoin(when), "member_id", "join_date", F.col("as_of_date"), window_days)
+    spine = entity_day_spine(others, "member_id", "join_date", when, window_days)
     synth = bootstrap(spine, ["member_id", "activity_date"], real.select("member_id", "activity_date", *cols),
                       ["member_id", "activity_date"], measures, seed)
     synth_rows = synth.withColumn("data_source", F.lit("synthetic"))

@@ -77,20 +77,21 @@ def accounts_with_activity(spark, d):
 
 # --------------------------------------------------------------------------- calendar and sequences
 
-SPINE_SQL = """
+AS_OF = "(select as_of_date from as_of)"
+
+SPINE_SQL = f"""
 select u.member_id,
-       cast(unnest(generate_series(greatest(coalesce(u.join_date, a.as_of_date - 59), a.as_of_date - 59),
-                                   a.as_of_date, interval 1 day)) as date) as activity_date
+       cast(unnest(generate_series(greatest(coalesce(u.join_date, {AS_OF} - 59), {AS_OF} - 59),
+                                   {AS_OF}, interval 1 day)) as date) as activity_date
 from (select member_id, min(activity_date) as join_date from activity group by member_id) u
-cross join as_of a
-where greatest(coalesce(u.join_date, a.as_of_date - 59), a.as_of_date - 59) <= a.as_of_date"""
+where greatest(coalesce(u.join_date, {AS_OF} - 59), {AS_OF} - 59) <= {AS_OF}"""
 
 
 def _spine(spark, d):
     act = c.activity(spark, d)
     users = act.groupBy("member_id").agg(F.min("activity_date").alias("join_date"))
-    when = F.broadcast(sk.as_of_date(act))
-    return cal.entity_day_spine(users.crossJoin(when), "member_id", "join_date", F.col("as_of_date"), 60)
+    when = sk.as_of_date(act).scalar()
+    return cal.entity_day_spine(users, "member_id", "join_date", when, 60)
 
 
 @register("entity_day_spine", sql(SPINE_SQL, "activity", "as_of"))
@@ -98,19 +99,18 @@ def entity_day_spine(spark, d):
     return _spine(spark, d)
 
 
-@register("reanchor_sequence", sql("""
+@register("reanchor_sequence", sql(f"""
 select member_id, original_date, activity_date from (
   select act.member_id, act.activity_date as original_date, m.join_date,
-         a.as_of_date + cast(row_number() over (partition by act.member_id order by act.activity_date)
-                             - count(*) over (partition by act.member_id) as integer) as activity_date
-  from activity act left join members m on m.member_id = act.member_id cross join as_of a) r
+         {AS_OF} + cast(row_number() over (partition by act.member_id order by act.activity_date)
+                        - count(*) over (partition by act.member_id) as integer) as activity_date
+  from activity act left join members m on m.member_id = act.member_id) r
 where join_date is null or activity_date >= join_date""", "activity", "members", "as_of"))
 def reanchor_sequence(spark, d):
     act = c.activity(spark, d)
     rows = act.select("member_id", F.col("activity_date").alias("original_date")) \
-        .join(c.members(spark, d).select("member_id", "join_date"), "member_id", "left") \
-        .crossJoin(F.broadcast(sk.as_of_date(act)))
-    return cal.reanchor(rows, "member_id", "original_date", F.col("as_of_date"), join_col="join_date") \
+        .join(c.members(spark, d).select("member_id", "join_date"), "member_id", "left")
+    return cal.reanchor(rows, "member_id", "original_date", sk.as_of_date(act).scalar(), join_col="join_date") \
         .select("member_id", "original_date", "activity_date")
 
 
@@ -126,12 +126,11 @@ select s.member_id, s.activity_date,
        cast(round(cast(p.value_sum as decimal(20,2)) * {_factor(keys, 'value_sum')}, 2) as decimal(18,2))
          as value_sum
 from ({spine}) s
-cross join (select count(*) as n from ({pool}) q) ps
 join (select steps, value_sum,
              row_number() over (order by {h_sql('member_id', 'activity_date', salt='pool')},
                                 member_id, activity_date) as pick
       from ({pool}) q) p
-  on p.pick = {h_sql(*keys, salt='pick')} % ps.n + 1"""
+  on p.pick = {h_sql(*keys, salt='pick')} % (select count(*) from ({pool}) q) + 1"""
 
 
 @register("bootstrap_resample", sql(_bootstrap_sql(SPINE_SQL, "select * from activity"), "activity", "as_of"))
@@ -147,16 +146,16 @@ with real as (
   from activity act join members m on m.member_id = act.member_id where m.is_fitbit_seed),
 shifted as (
   select member_id, join_date, steps, value_sum,
-         a.as_of_date + cast(row_number() over (partition by member_id order by activity_date)
-                             - count(*) over (partition by member_id) as integer) as activity_date
-  from real cross join as_of a),
+         {AS_OF} + cast(row_number() over (partition by member_id order by activity_date)
+                        - count(*) over (partition by member_id) as integer) as activity_date
+  from real),
 spine as (
   select o.member_id,
-         cast(unnest(generate_series(greatest(coalesce(o.join_date, a.as_of_date - 59), a.as_of_date - 59),
-                                     a.as_of_date, interval 1 day)) as date) as activity_date
-  from members o cross join as_of a
+         cast(unnest(generate_series(greatest(coalesce(o.join_date, {AS_OF} - 59), {AS_OF} - 59),
+                                     {AS_OF}, interval 1 day)) as date) as activity_date
+  from members o
   where not o.is_fitbit_seed
-    and greatest(coalesce(o.join_date, a.as_of_date - 59), a.as_of_date - 59) <= a.as_of_date),
+    and greatest(coalesce(o.join_date, {AS_OF} - 59), {AS_OF} - 59) <= {AS_OF}),
 both_parts as (
   select member_id, activity_date, cast(steps as bigint) as steps, cast(value_sum as decimal(18,2)) as value_sum,
          'real_fitbit' as data_source

@@ -135,20 +135,19 @@ with streak_facts as (
   select st.member_id,
          max(st.streak_length_days) as longest_streak,
          max(st.streak_length_days) filter (where st.streak_recency_rank = 1) as streak_length_days,
-         max(case when st.streak_recency_rank = 1 and st.streak_end_date = ao.as_of_date then 1 else 0 end)
-           as is_current
-  from streaks st cross join as_of ao
+         max(case when st.streak_recency_rank = 1 and st.streak_end_date = (select as_of_date from as_of)
+                  then 1 else 0 end) as is_current
+  from streaks st
   group by st.member_id),
 order_counts as (select member_id, count(*) as count_orders from one_time_orders group by member_id)
 select acc.account_type, pl.tier, mem.member_id, sub.billed_amount, sf.is_current, sf.streak_length_days,
-       sf.longest_streak, oc.count_orders, ao.as_of_date - mem.join_date as member_days
+       sf.longest_streak, oc.count_orders, (select as_of_date from as_of) - mem.join_date as member_days
 from subscriptions sub
 join members mem on mem.member_id = sub.member_id
 join plans pl on pl.plan_id = sub.plan_id
 left join accounts acc on acc.account_id = mem.account_id
 left join streak_facts sf on sf.member_id = mem.member_id
-left join order_counts oc on oc.member_id = mem.member_id
-cross join as_of ao"""
+left join order_counts oc on oc.member_id = mem.member_id"""
 
 ENG_DEPS = ("streaks", "as_of", "one_time_orders", "members", "accounts", "subscriptions", "plans")
 

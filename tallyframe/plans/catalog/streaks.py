@@ -57,9 +57,9 @@ def longest_streak(spark, d):
 
 @register("latest_streak_status", sql("""
 select s.member_id, s.streak_length_days,
-       cast(a.as_of_date - s.streak_end_date as bigint) as days_since_streak_end,
-       case when a.as_of_date - s.streak_end_date = 0 then 1 else 0 end as is_current
-from streaks s cross join as_of a
+       cast((select as_of_date from as_of) - s.streak_end_date as bigint) as days_since_streak_end,
+       case when (select as_of_date from as_of) - s.streak_end_date = 0 then 1 else 0 end as is_current
+from streaks s
 where s.streak_recency_rank = 1""", "streaks", "as_of"))
 def latest_streak_status(spark, d):
     act = td.activity_days(spark, d)
@@ -69,8 +69,8 @@ def latest_streak_status(spark, d):
 @register("streak_summary", sql("""
 select s.member_id, max(streak_length_days) as longest_streak,
        arg_max(streak_length_days, streak_end_date) as latest_streak_length,
-       case when max(streak_end_date) = max(a.as_of_date) then 1 else 0 end as is_current
-from streaks s cross join as_of a group by s.member_id""", "streaks", "as_of"))
+       case when max(streak_end_date) = (select as_of_date from as_of) then 1 else 0 end as is_current
+from streaks s group by s.member_id""", "streaks", "as_of"))
 def streak_summary(spark, d):
     act = td.activity_days(spark, d)
     return sk.streak_summary(sk.member_streaks(act, already_daily=True), sk.as_of_date(act))

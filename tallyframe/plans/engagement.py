@@ -113,15 +113,15 @@ def _membership_aggs() -> list[Column]:
 
 def with_member_facts(base: DataFrame, orders: DataFrame, streaks: DataFrame,
                       as_of: DataFrame) -> DataFrame:
-    """J3 + J4: attach order counts, streak facts and the one-row as-of date.
+    """J3 + J4: attach order counts, streak facts and the as-of date (a scalar subquery).
 
     Order and streak facts are one row per member and arrive hash-partitioned
     by member, so these joins share one partitioning.
     """
-    facts = sk.streak_summary(streaks, as_of).drop("as_of_date")
+    facts = sk.streak_summary(streaks, as_of)
     return base.join(member_order_rollup(orders).select("member_id", "count_orders"), "member_id", "left") \
         .join(facts, "member_id", "left") \
-        .crossJoin(F.broadcast(as_of.select("as_of_date")))
+        .withColumn("as_of_date", as_of.select("as_of_date").scalar())
 
 
 def conditional_measures(base_with_facts: DataFrame) -> DataFrame:
@@ -131,7 +131,7 @@ def conditional_measures(base_with_facts: DataFrame) -> DataFrame:
 
 def membership_length(base: DataFrame, as_of: DataFrame) -> DataFrame:
     """A11 + P19: average membership length in days and in 30-day months (rounded once, Q9)."""
-    rows = base.crossJoin(F.broadcast(as_of.select("as_of_date")))
+    rows = base.withColumn("as_of_date", as_of.select("as_of_date").scalar())
     return rows.groupBy("account_type", "tier").agg(*_membership_aggs())
 
 

@@ -23,10 +23,26 @@ def plan_text(df) -> str:
 
 def final_plan(df) -> str:
     """Executed (final, after AQE) physical plan text; run the query first."""
-    text = plan_text(df)
-    return text.split("== Initial Plan ==")[0]
+    return strip_initial_plans(plan_text(df))
 
 
 def exchanges(df) -> int:
     df.collect()
     return final_plan(df).count("Exchange hashpartitioning")
+
+
+def strip_initial_plans(text: str) -> str:
+    """Drop every ``== Initial Plan ==`` subtree of an AQE plan string (the
+    main plan's and those of subqueries), keeping all final plans."""
+    out, skip_at = [], None
+    for line in text.splitlines():
+        content = len(line) - len(line.lstrip(" :|+-"))
+        if skip_at is not None:
+            if content > skip_at:
+                continue
+            skip_at = None
+        if "== Initial Plan ==" in line:
+            skip_at = len(line) - len(line.lstrip(" :|"))   # column of the marker's "+-"
+            continue
+        out.append(line)
+    return "\n".join(out)
