@@ -5,7 +5,10 @@ Randomness is a hash of the row key and a seed (see
 data is partitioned and survive task retries unchanged.
 
 Global order
-    Rows are ordered by (hash, key columns, remaining columns).  A histogram
+    Rows are ordered by (hash, key columns, remaining columns); inside a hot
+    bucket (below), rows that share one hash value are first ordered by a
+    content hash, which keeps the order total and repeatable while letting
+    the rows of one hot key spread over tasks.  A histogram
     over the top ``BUCKET_BITS`` bits of the 32-bit hash (at most 2^16 rows)
     gives every bucket its offset; the running
     sum over that bounded histogram is the only unpartitioned window.  Rows

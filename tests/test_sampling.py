@@ -76,7 +76,7 @@ def test_bootstrap_jitter_bounds(spark):
 
 
 def _hot_frame(spark):
-    data = [(0, "same")] * 3000 + [(k, f"v{k}") for k in range(1, 6001)] + [(7, "other")] * 5
+    data = [(0, "same")] * 3000 + [(k, f"v{k}") for k in range(1, 6001)] + [(7001, "other")] * 5
     return spark.createDataFrame(data, "k long, v string")
 
 
@@ -106,3 +106,16 @@ def test_expand_splits_large_counts(spark):
     got = rows(out, "k", "copy_no")
     assert got == sorted([("a", i) for i in range(1, 26)] + [("b", i) for i in range(1, 4)],
                          key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def test_hot_key_with_distinct_rows(spark):
+    """One key shared by many different rows: split inside the hot bucket,
+    numbers still a bijection, sample exact and independent of partitioning."""
+    data = [(0, f"r{i}") for i in range(2000)] + [(k, "u") for k in range(1, 3001)]
+    df = spark.createDataFrame(data, "k long, v string")
+    n = sm.dense_number(df, ["k"], hot_rows=100)
+    assert sorted(r.row_no for r in n.collect()) == list(range(1, 5001))
+    assert rows(n) == rows(sm.dense_number(df.repartition(7), ["k"], hot_rows=100))
+    a = rows(sm.exact_n_sample(df, "0.4", ["k"], hot_rows=100))
+    b = rows(sm.exact_n_sample(df.repartition(5, "v"), "0.4", ["k"], hot_rows=100))
+    assert a == b and len(a) == 2000
