@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ..functions.hashing import hash32
 from .sampling import dense_number
@@ -55,7 +56,10 @@ def reanchor(df: DataFrame, key: str, date: str, end: Column | dt.date | str,
     entity's join date are dropped.  The window holds one entity's rows, which
     for day-grain input is bounded by the number of days.
     """
-    w = Window.partitionBy(key).orderBy(date)
+    # remaining columns break ties among equal dates, so the order is total
+    ties = [F.col(f.name) for f in df.schema.fields
+            if f.name not in (key, date) and not isinstance(f.dataType, MapType)]
+    w = Window.partitionBy(key).orderBy(F.col(date), *ties)
     wall = Window.partitionBy(key)
     moved = df.withColumn(
         out, F.date_add(_date(end), (F.row_number().over(w) - F.count(F.lit(1)).over(wall)).cast("int")))
