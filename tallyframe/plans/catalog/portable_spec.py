@@ -39,6 +39,11 @@ SPEC = {'accounts_with_activity': [('c_custkey', 'double'), ('c_name', 'keep')],
                         ('test_name', 'keep'),
                         ('failures', 'keep'),
                         ('passed', 'keep')],
+ 'dq_declared_suite': [('model', 'keep'),
+                       ('column_name', 'keep'),
+                       ('test_name', 'keep'),
+                       ('failures', 'double'),
+                       ('passed', 'keep')],
  'dq_not_null': [('model', 'keep'),
                  ('column_name', 'keep'),
                  ('test_name', 'keep'),

@@ -67,7 +67,7 @@ def revenue_by_campaign(spark, d):
                                   c.campaigns(spark, d))
 
 
-@register("revenue_by_segment", sql("""
+SEGMENT_SQL = """
 select a.account_type, p.plan_name, cast(sum(s.billed_amount) as decimal(38,2)) as active_mrr,
        count(distinct s.subscription_id) as active_subscriptions
 from subscriptions s
@@ -75,7 +75,10 @@ join members m on m.member_id = s.member_id
 join accounts a on a.account_id = m.account_id
 join plans p on p.plan_id = s.plan_id
 where s.status = 'active'
-group by a.account_type, p.plan_name""", "subscriptions", "members", "accounts", "plans"))
+group by a.account_type, p.plan_name"""
+
+
+@register("revenue_by_segment", sql(SEGMENT_SQL, "subscriptions", "members", "accounts", "plans"))
 def revenue_by_segment(spark, d):
     return rv.revenue_by_segment(c.subscriptions(spark, d), c.members(spark, d), c.accounts(spark, d),
                                  c.plans(spark, d))

@@ -45,18 +45,7 @@ def stage_campaigns(spark, d):
     return st.stage_campaigns(td.raw_campaigns(spark, d), money=M)
 
 
-@register("stage_activity", sql("""
-select workout_id, member_id, cast(activity_date as date) as activity_date,
-       cast(steps as integer) as steps, cast(distance_km as decimal(18,2)) as distance_km,
-       cast(very_active_minutes as integer) as very_active_minutes,
-       cast(moderately_active_minutes as integer) as moderately_active_minutes,
-       cast(light_active_minutes as integer) as light_active_minutes,
-       cast(sedentary_minutes as integer) as sedentary_minutes,
-       cast(calories_burned as integer) as calories_burned,
-       source as data_source,
-       coalesce(cast(very_active_minutes as integer) + cast(moderately_active_minutes as integer) >= 15, false)
-         as is_active_day
-from raw_workouts""", "raw_workouts"))
+@register("stage_activity", sql("select * from workouts", "workouts"))
 def stage_activity(spark, d):
     return st.stage_workouts(td.raw_workouts(spark, d), money=M)
 

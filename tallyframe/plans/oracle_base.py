@@ -250,3 +250,30 @@ def weighted_sql(h: str, labels, cuts) -> str:
     """CASE chain picking the first label whose cut point exceeds the hash."""
     whens = " ".join(f"when {h} < {c} then {lab!r}" for lab, c in zip(labels[:-1], cuts[:-1]))
     return f"case {whens} else {labels[-1]!r} end"
+
+cte("workouts", """
+select workout_id, member_id, cast(activity_date as date) as activity_date,
+       cast(steps as integer) as steps, cast(distance_km as decimal(18,2)) as distance_km,
+       cast(very_active_minutes as integer) as very_active_minutes,
+       cast(moderately_active_minutes as integer) as moderately_active_minutes,
+       cast(light_active_minutes as integer) as light_active_minutes,
+       cast(sedentary_minutes as integer) as sedentary_minutes,
+       cast(calories_burned as integer) as calories_burned,
+       source as data_source,
+       coalesce(cast(very_active_minutes as integer) + cast(moderately_active_minutes as integer) >= 15, false)
+         as is_active_day
+from raw_workouts""", ("raw_workouts",))
+
+cte("workout_streaks", """
+select member_id, streak_start_date, streak_end_date, streak_length_days,
+       cast(row_number() over (partition by member_id order by streak_end_date desc) as bigint) as streak_recency_rank
+from (
+  select member_id, min(activity_date) as streak_start_date, max(activity_date) as streak_end_date,
+         count(*) as streak_length_days
+  from (
+    select member_id, activity_date,
+           activity_date - cast(row_number() over (partition by member_id order by activity_date) as integer) as run_key
+    from (select member_id, activity_date, bool_or(is_active_day) as is_active_day
+          from workouts group by member_id, activity_date) g
+    where is_active_day) k
+  group by member_id, run_key) b""", ("workouts",))
