@@ -61,3 +61,14 @@ def test_scale_settings_fill_only_unset(spark):
     assert "spark.sql.adaptive.advisoryPartitionSizeInBytes" in changed
     assert "spark.sql.adaptive.enabled" not in changed   # already set by the test session
     assert configure_for_scale(spark) == {}
+
+
+def test_full_refresh_to_a_given_location(spark, scratch):
+    df = spark.range(5).withColumnRenamed("id", "k")
+    base = os.path.join(scratch, "warehouse_path")
+    report = sinks.load_all(spark, {"five": df}, "path_test", base_path=base)
+    assert report.collect()[0].rows == 5
+    assert os.path.isdir(os.path.join(base, "five"))
+    assert spark.read.parquet(os.path.join(base, "five")).count() == 5
+    again = sinks.load_all(spark, {"five": spark.range(2).withColumnRenamed("id", "k")}, "path_test", base_path=base)
+    assert again.collect()[0].rows == 2 and spark.table("path_test.five").count() == 2
