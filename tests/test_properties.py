@@ -2,6 +2,7 @@
 
 import datetime as dt
 import hashlib
+import os
 from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
@@ -13,7 +14,9 @@ from tallyframe.operators import streaks as sk
 from tallyframe.plans import revenue as rv
 
 BASE = dt.date(2024, 1, 1)
-SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+# PROPERTY_EXAMPLES=60 python -m pytest tests/test_properties.py  for a heavier run
+SETTINGS = settings(max_examples=int(os.environ.get("PROPERTY_EXAMPLES", "12")), deadline=None,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 activity_rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 40), st.booleans()),
                          min_size=0, max_size=60)
@@ -104,3 +107,98 @@ def test_window_matches_equal_brute_force(spark, es, cs, grace):
     want = {(a, k) for a, t, d in e_rows for k, aud, s, end in c_rows
             if d is not None and t == aud and s <= d <= end + dt.timedelta(days=grace)}
     assert got == want
+
+
+def brute_engagement(members, accounts, subs, plans, orders, activity):
+    """The KPI query by its definition: one row per (member, subscription), then aggregate."""
+    from decimal import ROUND_HALF_UP
+
+    def r(x, places):
+        return x.quantize(Decimal(1).scaleb(-places), ROUND_HALF_UP)
+
+    as_of = max(d for _, d, _ in activity)
+    runs = {}
+    for m in {m for m, _, _ in activity}:
+        days = sorted({d for mm, d, f in activity if mm == m and any(
+            ff for m2, d2, ff in activity if m2 == m and d2 == d)})
+        cur = []
+        for d in days:
+            if cur and (d - cur[-1]).days != 1:
+                runs.setdefault(m, []).append((cur[0], cur[-1], len(cur)))
+                cur = []
+            cur.append(d)
+        if cur:
+            runs.setdefault(m, []).append((cur[0], cur[-1], len(cur)))
+    acct = dict(accounts)
+    tier = dict(plans)
+    n_orders = {}
+    for _, m in orders:
+        n_orders[m] = n_orders.get(m, 0) + 1
+    groups = {}
+    for m, a, join in members:
+        for _, sm_, p, billed in subs:
+            if sm_ != m or p not in tier:
+                continue
+            latest = max(runs[m], key=lambda x: x[1]) if m in runs else None
+            row = dict(member=m, billed=billed,
+                       cur=None if latest is None else int(latest[1] == as_of),
+                       cur_len=None if latest is None else latest[2],
+                       longest=None if m not in runs else max(x[2] for x in runs[m]),
+                       orders=n_orders.get(m), days=None if join is None else (as_of - join).days)
+            groups.setdefault((acct.get(a), tier[p]), []).append(row)
+    out = {}
+    for key, rows_ in groups.items():
+        members_ = {x["member"] for x in rows_}
+        total = sum((x["billed"] for x in rows_), Decimal("0.00"))
+        cur_lens = [x["cur_len"] for x in rows_ if x["cur"] == 1]
+        longs = [x["longest"] for x in rows_ if x["longest"] is not None]
+        days = [x["days"] for x in rows_ if x["days"] is not None]
+        ords = [x["orders"] for x in rows_ if x["orders"] is not None]
+        out[key] = (
+            len(members_), total, r(total / len(members_), 2),
+            sum(1 for x in rows_ if x["cur"] == 1),
+            r(Decimal(sum(cur_lens)) / len(cur_lens), 1) if cur_lens else None,
+            r(Decimal(sum(longs)) / len(longs), 1) if longs else None,
+            sum(ords) if ords else None,
+            r(Decimal(sum(days)) / len(days), 1) if days else None,
+            r(Decimal(sum(days)) / len(days) / 30, 1) if days else None,
+        )
+    return out
+
+
+engagement_inputs = st.fixed_dictionaries({
+    "members": st.lists(st.tuples(st.sampled_from(["a1", "a2", "zz"]), st.one_of(st.none(), st.integers(0, 400))),
+                        min_size=1, max_size=6),
+    "subs": st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["p1", "p2", "p9"]), st.integers(0, 9999)),
+                     max_size=12),
+    "orders": st.lists(st.integers(0, 5), max_size=8),
+    "activity": st.lists(st.tuples(st.integers(0, 5), st.integers(0, 20), st.booleans()), min_size=1, max_size=40),
+})
+
+
+@SETTINGS
+@given(data=engagement_inputs)
+def test_engagement_folding_equals_fanout(spark, data):
+    from tallyframe.plans import engagement as eg
+    members = [(f"m{i}", a, None if j is None else BASE - dt.timedelta(days=j)) for i, (a, j) in enumerate(data["members"])]
+    accounts = [("a1", "organization"), ("a2", "individual")]
+    plans = [("p1", "standard"), ("p2", "premium")]
+    subs = [(f"s{i}", f"m{m}", p, Decimal(c) / 100) for i, (m, p, c) in enumerate(data["subs"])]
+    orders = [(f"o{i}", f"m{m}") for i, m in enumerate(data["orders"])]
+    activity = [(f"m{m}", BASE + dt.timedelta(days=o), f) for m, o, f in data["activity"]]
+    got_df = eg.engagement_and_value(
+        spark.createDataFrame(members, "member_id string, account_id string, join_date date"),
+        spark.createDataFrame(accounts, "account_id string, account_type string"),
+        spark.createDataFrame(subs, "subscription_id string, member_id string, plan_id string, "
+                                    "billed_amount decimal(18,2)"),
+        spark.createDataFrame(plans, "plan_id string, tier string"),
+        spark.createDataFrame([(o, m, Decimal("1.00")) for o, m in orders],
+                              "order_id string, member_id string, amount decimal(18,2)"),
+        spark.createDataFrame(activity, "member_id string, activity_date date, is_active_day boolean"))
+    got = {(r.account_type, r.tier): (r.count_members, r.total_billed_amount, r.rev_per_member,
+                                      r.count_mem_with_current_streak, r.avg_current_streak_length,
+                                      r.avg_longest_streak_days, r.count_orders,
+                                      r.avg_length_of_membership_days, r.avg_length_of_membership_months)
+           for r in got_df.collect()}
+    assert got == brute_engagement(members, accounts, [(s, m, p, b) for s, m, p, b in subs],
+                                   plans, orders, activity)
