@@ -202,3 +202,44 @@ def test_engagement_folding_equals_fanout(spark, data):
            for r in got_df.collect()}
     assert got == brute_engagement(members, accounts, [(s, m, p, b) for s, m, p, b in subs],
                                    plans, orders, activity)
+
+
+campaign_inputs = st.fixed_dictionaries({
+    "members": st.lists(st.sampled_from(["a1", "a2", "a3"]), min_size=1, max_size=6),
+    "subs": st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["active", "ended"]), st.integers(0, 5000)),
+                     max_size=12),
+    "acq": st.dictionaries(st.sampled_from(["a1", "a2", "a3"]), st.sampled_from(["c1", "c2", "c3"])),
+    "spend": st.lists(st.integers(0, 100000), min_size=3, max_size=3),
+})
+
+
+@SETTINGS
+@given(data=campaign_inputs)
+def test_revenue_by_campaign_equals_definition(spark, data):
+    from decimal import ROUND_HALF_UP
+    members = [(f"m{i}", a) for i, a in enumerate(data["members"])]
+    subs = [(f"s{i}", f"m{m}", "p", BASE, None, status, Decimal(c) / 100)
+            for i, (m, status, c) in enumerate(data["subs"])]
+    acq = sorted(data["acq"].items())
+    camps = [(f"c{i + 1}", f"n{i}", "email", "individual", Decimal(sp) / 100, 0) for i, sp in enumerate(data["spend"])]
+    out = rv.revenue_by_campaign(
+        spark.createDataFrame(subs, "subscription_id string, member_id string, plan_id string, start_date date, "
+                                    "end_date date, status string, billed_amount decimal(18,2)"),
+        spark.createDataFrame(members, "member_id string, account_id string"),
+        spark.createDataFrame(acq, "account_id string, campaign_id string") if acq else
+        spark.createDataFrame([], "account_id string, campaign_id string"),
+        spark.createDataFrame(camps, "campaign_id string, campaign_name string, channel string, "
+                                     "target_audience string, spend decimal(18,2), conversions int"))
+    got = {r.campaign_id: (r.attributed_mrr, r.attributed_subscriptions, r.spend_per_attributed_subscription,
+                           r.payback_period_months) for r in out.collect()}
+    acct = dict(members)
+    want = {}
+    for cid, _, _, _, spend, _ in camps:
+        rows_ = [(s, b) for s, m, _, _, _, st_, b in subs
+                 if st_ == "active" and m in acct and data["acq"].get(acct[m]) == cid]
+        mrr = sum((b for _, b in rows_), Decimal("0.00"))
+        n = len({s for s, _ in rows_})
+        q = Decimal("0.01")
+        want[cid] = (mrr, n, (spend / n).quantize(q, ROUND_HALF_UP) if n > 0 else None,
+                     (spend / mrr).quantize(q, ROUND_HALF_UP) if mrr > 0 else None)
+    assert got == want
