@@ -243,3 +243,23 @@ def test_revenue_by_campaign_equals_definition(spark, data):
         want[cid] = (mrr, n, (spend / n).quantize(q, ROUND_HALF_UP) if n > 0 else None,
                      (spend / mrr).quantize(q, ROUND_HALF_UP) if mrr > 0 else None)
     assert got == want
+
+
+@SETTINGS
+@given(parent=st.lists(st.one_of(st.none(), st.sampled_from(list("abcdef"))), max_size=15),
+       child=st.lists(st.one_of(st.none(), st.sampled_from(list("abcxyz"))), max_size=15))
+def test_quality_checks_equal_counts(spark, parent, child):
+    from tallyframe.operators import quality as dq
+    p = spark.createDataFrame([(v,) for v in parent], "v string")
+    c = spark.createDataFrame([(v,) for v in child], "v string")
+    suite = dq.Suite(unique=[("p", "v")], not_null=[("c", "v")], accepted_values=[("p", "v", ["a", "b"])],
+                     relationships=[("c", "v", "p", "v")])
+    got = {r.test_name: r.failures for r in suite.run({"p": p, "c": c}).collect()}
+    vals = [v for v in parent if v is not None]
+    want = {
+        "unique": sum(1 for v in set(vals) if vals.count(v) > 1),
+        "not_null": sum(1 for v in child if v is None),
+        "accepted_values": len({v for v in vals if v not in ("a", "b")}),
+        "relationships": sum(1 for v in child if v is not None and v not in set(vals)),
+    }
+    assert got == want
