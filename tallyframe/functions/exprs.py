@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..fixed_values import MILES_TO_KM
+
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -97,9 +99,6 @@ def lifecycle_status(end: Column | str, as_of: Column) -> Column:
     return F.when(_c(end) < as_of, F.lit("completed")).otherwise(F.lit("active"))
 
 
-MILES_TO_KM = 1.60934  # fixed value: statute mile in kilometres
-
-
 def miles_to_km(c: Column | str, dtype: str = "decimal(18,2)") -> Column:
     """Miles to kilometres, rounded half-up to 2 places (decimal arithmetic)."""
     return F.round(_c(c).cast("decimal(18,6)") * F.lit(MILES_TO_KM).cast("decimal(8,5)"), 2).cast(dtype)

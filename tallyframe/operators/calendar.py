@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
+from ..fixed_values import ACTIVITY_WINDOW_DAYS, JITTER_BP
 from ..functions.hashing import hash32
 from .sampling import dense_number
 
-JITTER_BP = 1500  # fixed value: +/- 15 % jitter, in basis points
 
 
 def _date(v: Column | str | dt.date) -> Column:
@@ -27,7 +27,7 @@ def _date(v: Column | str | dt.date) -> Column:
 
 
 def entity_day_spine(entities: DataFrame, key: str, join_col: str, as_of: Column | dt.date | str,
-                     window_days: int = 60, day_col: str = "activity_date",
+                     window_days: int = ACTIVITY_WINDOW_DAYS, day_col: str = "activity_date",
                      partitions: int | None = None) -> DataFrame:
     """One row per entity and day from max(join date, window start) to the as-of date.
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed_values import ATTRIBUTED_SHARE, DELAYED_CONVERSION_DAYS
 from ..functions.hashing import hash32
 from .sampling import first_n_by_hash, sample_size
 
@@ -30,7 +31,8 @@ def _months(start: Column, stop: Column) -> Column:
 
 def window_matches(entities: DataFrame, campaigns: DataFrame, *, entity_key: str, entity_type: str,
                    entity_date: str, campaign_key: str, audience: str = "target_audience",
-                   start: str = "start_date", end: str = "end_date", grace_days: int = 45) -> DataFrame:
+                   start: str = "start_date", end: str = "end_date",
+                   grace_days: int = DELAYED_CONVERSION_DAYS) -> DataFrame:
     """Every (entity, campaign) with equal type and start <= date <= end + grace.
 
     Output: entity_key, campaign_key, entity_date.
@@ -60,8 +62,8 @@ def choose_one(pairs: DataFrame, key: str, choice: str, seed=42) -> DataFrame:
 
 def attribute_accounts(accounts: DataFrame, campaigns: DataFrame, *, account_key: str = "account_id",
                        account_type: str = "account_type", acquisition_date: str = "acquisition_date",
-                       campaign_key: str = "campaign_id", fraction: float | str = "0.55",
-                       grace_days: int = 45, seed=42) -> DataFrame:
+                       campaign_key: str = "campaign_id", fraction: float | str = ATTRIBUTED_SHARE,
+                       grace_days: int = DELAYED_CONVERSION_DAYS, seed=42) -> DataFrame:
     """Attribute a share of accounts to one eligible campaign each.
 
     The quota is floor(fraction x accounts that have an acquisition date),

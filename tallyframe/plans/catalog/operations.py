@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ... import fixed_values as fv
 from ...sources import testdata as td
 from .. import operations as op
 from ..oracle_base import avg_one_place, h_sql, sql
@@ -26,8 +27,8 @@ def billing_resolution(spark, d):
 
 def _band_sql(col: str, idx: int) -> str:
     whens = " ".join(f"when lower(coalesce({col}, '')) like '%{kw}%' then {pair[idx]}"
-                     for kw, pair in op.RESOLUTION_DAYS_BY_PRIORITY)
-    return f"case {whens} else {op.DEFAULT_RESOLUTION_DAYS[idx]} end"
+                     for kw, pair in fv.RESOLUTION_DAYS_BY_PRIORITY)
+    return f"case {whens} else {fv.DEFAULT_RESOLUTION_DAYS[idx]} end"
 
 
 @register("resolution_bands", f"""
@@ -57,13 +58,13 @@ def _title(code: str) -> str:
     return " ".join(w.capitalize() for w in code.split("_"))
 
 
-THEME_LIST = "[" + ", ".join("'" + t + "'" for t in op.THEMES) + "]"
-CHANNEL_TITLES = " ".join(f"when '{ch}' then '{_title(ch)}'" for ch in td.CHANNELS)
+THEME_LIST = "[" + ", ".join("'" + t + "'" for t in fv.THEMES) + "]"
+CHANNEL_TITLES = " ".join(f"when '{ch}' then '{_title(ch)}'" for ch in fv.CHANNELS)
 
 
 @register("campaign_labels", sql(f"""
 select campaign_id,
-       {THEME_LIST}[{h_sql('campaign_id', salt='theme')} % {len(op.THEMES)} + 1] || '{op.LABEL_SEPARATOR}'
+       {THEME_LIST}[{h_sql('campaign_id', salt='theme')} % {len(fv.THEMES)} + 1] || '{fv.LABEL_SEPARATOR}'
          || case channel {CHANNEL_TITLES} end as campaign_label,
        case when end_date < date '2001-12-31' then 'completed' else 'active' end as status
 from campaigns""", "campaigns"))

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
+from ... import fixed_values as fv
 from ...operators import quality as dq
 from ...sources import testdata as td
 from ..oracle_base import sql
 from ..declared_tests import DECLARED_SUITE, run_declared_suite
-from ..staging import TICKET_CATEGORY_MAP
 from . import common as c
 from .revenue import MONTHLY_SQL, RATIOS_SQL, SEGMENT_SQL
 from .registry import register
@@ -21,9 +21,9 @@ SUITE = dq.Suite(
     not_null=[("subscriptions", "end_date"), ("accounts", "per_member_rate"), ("tickets", "csat_rating"),
               ("tickets", "resolved_at"), ("members", "member_id"), ("members", "join_date")],
     accepted_values=[("orders", "o_orderstatus", ["O", "F"]),
-                     ("tickets", "ticket_category", sorted(set(TICKET_CATEGORY_MAP.values()))),
+                     ("tickets", "ticket_category", list(fv.TICKET_CATEGORIES)),
                      ("subscriptions", "status", ["active"]),
-                     ("campaigns", "channel", list(td.CHANNELS))],
+                     ("campaigns", "channel", list(fv.CHANNELS))],
     relationships=[("customer", "c_nationkey", "nation", "n_nationkey"),
                    # business rule: a sponsored member's account must carry a per-member rate
                    ("sponsored_members", "account_id", "rated_accounts", "account_id"),

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ...fixed_values import ORDERS_PER_MEMBER_WEIGHTS, PLAN_TIER_WEIGHTS
 from ...functions.exprs import padded_id
 from ...operators import sampling as sm
 from ...sources import testdata as td
 from ..oracle_base import h_sql, weighted_sql
 from .registry import register
 
-# fixed values: the reference's plan split (standard 75 %, premium 25 %)
-PLAN_LABELS, PLAN_WEIGHTS = ["standard", "premium"], ["0.75", "0.25"]
-# fixed values: the reference's orders-per-member split for 1, 2, 3, 4 orders
-COUNT_LABELS, COUNT_WEIGHTS = [1, 2, 3, 4], ["0.50", "0.30", "0.15", "0.05"]
+PLAN_LABELS, PLAN_WEIGHTS = PLAN_TIER_WEIGHTS
+COUNT_LABELS, COUNT_WEIGHTS = ORDERS_PER_MEMBER_WEIGHTS
 
 
 @register("exact_n_sample", f"""

@@ -16,27 +16,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from ..fixed_values import (ACCOUNT_STATUSES, ACCOUNT_TYPES, AUDIENCES, CAMPAIGN_STATUSES, CHANNELS, DATA_SOURCES,
+                            ELIGIBILITY_STATUSES, ORDER_STATUSES, ORDER_TYPES, PLAN_TIERS, SUBSCRIPTION_STATUSES,
+                            TICKET_CATEGORIES)
 from ..operators import streaks as sk
 from ..operators.quality import Suite
 from . import revenue as rv
 from .build import stage_all
 
-# fixed values: the reference's accepted-value lists, per tested column
-ACCOUNT_TYPES = ["organization", "individual"]
-ACCOUNT_STATUSES = ["active"]
-ELIGIBILITY_STATUSES = ["enrolled"]
-PLAN_TIERS = ["standard", "premium"]
-SUBSCRIPTION_STATUSES = ["active"]
-DATA_SOURCES = ["real_fitbit", "synthetic"]
-ORDER_TYPES = ["coaching_session", "challenge_entry_fee", "fitness_assessment", "virtual_event_ticket"]
-ORDER_STATUSES = ["completed", "refunded", "canceled"]
-TICKET_CATEGORIES = ["App/device sync issue", "Billing & subscription question", "Program/feature question",
-                     "Cancellation request", "Refund request"]
-CHANNELS = ["paid_social", "search_ads", "email", "referral_program", "content_seo", "sales_outreach",
-            "employer_partnership", "trade_show", "linkedin_ads"]
-AUDIENCES = ["individual", "organization"]
-CAMPAIGN_STATUSES = ["completed", "active"]
-
 DECLARED_SUITE = Suite(
     unique=[
         ("stg_accounts", "account_id"), ("stg_members", "member_id"), ("stg_plans", "plan_id"),

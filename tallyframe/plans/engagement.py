@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed_values import DAYS_PER_MONTH
 from ..operators import streaks as sk
 
 MONEY = "decimal(18,2)"
@@ -107,7 +108,7 @@ def _membership_aggs() -> list[Column]:
     known = F.sum(F.when(days.isNotNull(), n))
     return [
         exact_avg(F.sum(n * days), known, 1).alias("avg_length_of_membership_days"),
-        exact_avg(F.sum(n * days), known, 1, divisor=30).alias("avg_length_of_membership_months"),
+        exact_avg(F.sum(n * days), known, 1, divisor=DAYS_PER_MONTH).alias("avg_length_of_membership_months"),
     ]
 
 

@@ -11,23 +11,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed_values import (DEFAULT_RESOLUTION_DAYS, LABEL_SEPARATOR, RESOLUTION_DAYS_BY_PRIORITY,
+                            RESOLVED_STATUS_KEYWORDS, THEMES)
 from ..functions.exprs import any_keyword, clamp, first_keyword_band, lifecycle_status, miles_to_km, \
     title_label, truncating_int
 from ..functions.hashing import hash32
 
-# fixed values: resolution days (min, max) by priority keyword, checked in this order
-RESOLUTION_DAYS_BY_PRIORITY = [("critical", (0, 1)), ("high", (1, 3)), ("medium", (2, 5)), ("low", (3, 10))]
-# fixed values: fallback window when no keyword matches
-DEFAULT_RESOLUTION_DAYS = (2, 6)
-# fixed values: a status containing one of these words counts as resolved
-RESOLVED_STATUS_KEYWORDS = ("closed", "resolved")
-# fixed values: campaign themes, in the reference's order
-THEMES = ["New Year Reset", "Summer Movement", "Back to Routine", "Spring Momentum",
-          "Q1 Push", "Q2 Growth", "Q3 Expansion", "Q4 Renewal", "Referral Boost",
-          "Habit Streak", "Fresh Start", "Year-End Wellness"]
-# fixed values: separator between theme and channel in a campaign name (an em dash)
-LABEL_SEPARATOR = " — "
-
 
 def billing_resolution(subscriptions: DataFrame, members: DataFrame, accounts: DataFrame,
                        plans: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casting import ColumnCast as C
 from ..functions.casting import apply_casts
+from ..fixed_values import ACTIVE_MINUTES_THRESHOLD, TICKET_CATEGORY_MAP
 from ..functions.exprs import case_insensitive_map, threshold_flag
 
 ACCOUNTS = [
@@ -52,16 +53,6 @@ CAMPAIGNS = [
     C("impressions", dtype="int"), C("clicks", dtype="int"), C("conversions", dtype="int"),
 ]
 
-# fixed values: ticket type (matched case-insensitively) -> ticket category
-TICKET_CATEGORY_MAP = {
-    "technical issue": "App/device sync issue",
-    "billing inquiry": "Billing & subscription question",
-    "product inquiry": "Program/feature question",
-    "cancellation request": "Cancellation request",
-    "refund request": "Refund request",
-}
-# fixed values: an active day has at least this many very + moderately active minutes
-ACTIVE_MINUTES_THRESHOLD = 15
 
 
 def _money(spec: list[C], money: str | None, names: tuple[str, ...]) -> list[C]:

@@ -21,18 +21,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-SEED = 42
+from ..fixed_values import ACTIVITY_WINDOW_DAYS, CHANNELS, ORDER_TYPES, SEED  # noqa: F401  (re-exported)
+
 ORDERS_AS_OF = dt.date(2001, 12, 31)
 CAMPAIGN_EPOCH = dt.date(1995, 1, 1)
 ACTIVE_VALUE_THRESHOLD = 50
-ACTIVITY_WINDOW_DAYS = 60
 MONEY = "decimal(18,2)"
 
-# fixed values: the reference's one-time order types, in its order
-ORDER_TYPES = ["coaching_session", "challenge_entry_fee", "fitness_assessment", "virtual_event_ticket"]
-# fixed values: the reference's campaign channels (five individual, then four organization channels)
-CHANNELS = ["paid_social", "search_ads", "email", "referral_program", "content_seo",
-            "sales_outreach", "employer_partnership", "trade_show", "linkedin_ads"]
 
 
 _SCHEMAS: dict[str, StructType] = {}
@@ -213,14 +208,14 @@ def raw_workouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# fixed values: mixed-case raw ticket types per event type (four map, 'error' stays as is)
+# binding choices: mixed-case raw ticket types per event type (four map, 'error' stays as is)
 TICKET_TYPE_BY_EVENT = {
     "view": "Technical issue",
     "click": "BILLING INQUIRY",
     "signup": "Product Inquiry",
     "purchase": "refund request",
 }
-# fixed values: ticket priority and channel labels
+# binding choices: ticket priority and channel labels
 TICKET_PRIORITIES = ["Critical", "High", "Medium", "Low"]
 TICKET_CHANNELS = ["Email", "Phone", "Chat", "Social media"]
 
