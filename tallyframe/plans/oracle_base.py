@@ -8,6 +8,23 @@ that the driver can compare the two.
 
 from __future__ import annotations
 
+from .. import fixed_values as fv
+
+
+def _q(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
+
+
+def _pick(expr: str, values) -> str:
+    """CASE choosing values[expr] for expr in 0..len-1 (the SQL twin of element_at(array, expr + 1))."""
+    whens = " ".join(f"when {i} then {_q(v)}" for i, v in enumerate(values[:-1]))
+    return f"case {expr} {whens} else {_q(values[-1])} end"
+
+
+TICKET_CATEGORY_CASE = ("case lower(ticket_type) "
+                        + " ".join(f"when {_q(k)} then {_q(v)}" for k, v in fv.TICKET_CATEGORY_MAP.items())
+                        + " end")
+
 CTES: dict[str, tuple[tuple[str, ...], str]] = {}
 
 
@@ -73,22 +90,19 @@ select cast(o_orderkey as varchar) as subscription_id,
        cast(cast(o_totalprice as decimal(18,2)) as varchar) as billed_amount
 from orders""")
 
-cte("raw_orders", """
+cte("raw_orders", f"""
 select cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as order_id,
        cast(o_custkey as varchar) as member_id,
-       case l_linenumber % 4 when 0 then 'coaching_session' when 1 then 'challenge_entry_fee'
-            when 2 then 'fitness_assessment' else 'virtual_event_ticket' end as order_type,
+       {_pick('l_linenumber % 4', fv.ORDER_TYPES)} as order_type,
        cast(cast(l_shipdate as date) as varchar) as order_date,
        cast(cast(l_extendedprice as decimal(18,2)) as varchar) as amount,
        l_returnflag as status
 from lineitem join orders on l_orderkey = o_orderkey""")
 
-cte("raw_campaigns", """
+cte("raw_campaigns", f"""
 select cast(s_suppkey as varchar) as campaign_id,
        s_name as campaign_name,
-       case s_suppkey % 9 when 0 then 'paid_social' when 1 then 'search_ads' when 2 then 'email'
-            when 3 then 'referral_program' when 4 then 'content_seo' when 5 then 'sales_outreach'
-            when 6 then 'employer_partnership' when 7 then 'trade_show' else 'linkedin_ads' end as channel,
+       {_pick('s_suppkey % 9', fv.CHANNELS)} as channel,
        cast(s_nationkey as varchar) as target_audience,
        cast(date '1995-01-01' + cast((s_suppkey * 97) % 400 as integer) as varchar) as start_date,
        cast(date '1995-01-01' + cast((s_suppkey * 97) % 400 + 14 + s_suppkey % 47 as integer) as varchar) as end_date,
@@ -224,14 +238,9 @@ def avg_one_place(total: str, count: str, divisor: int = 1) -> str:
     return (f"case when {c} > 0 then cast(cast((20 * {t} + {divisor} * {c}) // (2 * {divisor} * {c}) "
             f"as decimal(38,0)) * 0.1 as decimal(18,1)) end")
 
-cte("tickets", """
+cte("tickets", f"""
 select ticket_id, member_id,
-       coalesce(case lower(ticket_type)
-                  when 'technical issue' then 'App/device sync issue'
-                  when 'billing inquiry' then 'Billing & subscription question'
-                  when 'product inquiry' then 'Program/feature question'
-                  when 'cancellation request' then 'Cancellation request'
-                  when 'refund request' then 'Refund request' end, ticket_type) as ticket_category,
+       coalesce({TICKET_CATEGORY_CASE}, ticket_type) as ticket_category,
        ticket_status, ticket_priority, ticket_channel,
        cast(cast(nullif(trim(csat_rating), '') as decimal(38,6)) as integer) as csat_rating,
        cast(created_at as date) as created_at,
