@@ -36,6 +36,13 @@ def exact_avg(total: Column, count: Column, places: int, divisor: int = 1) -> Co
     return F.when(count > 0, F.round(_dec(total) / _dec(den), places)).cast(f"decimal(18,{places})")
 
 
+def money_per(total: Column, count: Column) -> Column:
+    """round(total / count, 2) for a money total: the total is narrowed to
+    decimal(28,2) first so the quotient keeps 12 fractional digits before the
+    single rounding (decimal(38,2) / bigint would keep only 6)."""
+    return F.round(total.cast("decimal(28,2)") / count, 2).cast(MONEY)
+
+
 def member_order_rollup(orders: DataFrame) -> DataFrame:
     """A4: per member, number of one-time orders and their total (all statuses, Q4)."""
     return orders.groupBy("member_id").agg(
@@ -85,7 +92,7 @@ def value_per_member(base: DataFrame) -> DataFrame:
     )
     return g.withColumn(
         "rev_per_member",
-        F.round(F.col("total_billed_amount") / F.col("count_members"), 2).cast(MONEY))
+        money_per(F.col("total_billed_amount"), F.col("count_members")))
 
 
 def _conditional_aggs(rows: DataFrame) -> list[Column]:
@@ -160,7 +167,7 @@ def engagement_and_value(members: DataFrame, accounts: DataFrame, subscriptions:
     )
     return g.select(
         "account_type", "tier", "count_members", "total_billed_amount",
-        F.round(F.col("total_billed_amount") / F.col("count_members"), 2).cast(MONEY).alias("rev_per_member"),
+        money_per(F.col("total_billed_amount"), F.col("count_members")).alias("rev_per_member"),
         "count_mem_with_current_streak", "avg_current_streak_length", "avg_longest_streak_days",
         "count_orders", "avg_length_of_membership_days", "avg_length_of_membership_months",
     )
