@@ -34,17 +34,32 @@ def attributed_revenue(subscriptions: DataFrame, members: DataFrame, acquisition
                        status: str | None = "active") -> DataFrame:
     """J1 + A5: per campaign, summed billed amount and distinct subscriptions.
 
-    The distinct count protects against fan-out; the sum does not (kept as in
-    the reference, Q6) - run the uniqueness check on ``acquisition`` first.
+    Subscriptions are folded per member first (billed total and distinct
+    subscription count), so a member holding a third of all subscriptions
+    leaves the map side as one row; the member -> campaign pairs carry their
+    join multiplicity ``k``.  Per campaign:
+
+    * attributed_mrr = sum(billed total x k): the sum is multiplied by any
+      fan-out of the member/acquisition join, as in the reference (Q6);
+    * attributed_subscriptions = sum of the members' distinct counts over the
+      distinct (member, campaign) pairs: protected against that fan-out.
+
+    This equals ``count(distinct subscription_id)`` over the joined rows
+    whenever ``subscription_id`` is the key of the subscriptions (a declared
+    unique test); run the quality suite first, as for Q6.
     """
     subs = subscriptions
     if status is not None:
         subs = subs.filter(F.col("status") == status)
-    joined = subs.select("subscription_id", "member_id", "billed_amount").join(
-        member_campaigns(members, acquisition), "member_id", "inner")
+    per_member = subs.groupBy("member_id").agg(
+        F.sum("billed_amount").alias("__billed"),
+        F.countDistinct("subscription_id").alias("__subs"))
+    pairs = member_campaigns(members, acquisition).groupBy("member_id", "campaign_id") \
+        .agg(F.count(F.lit(1)).alias("__k"))
+    joined = per_member.join(pairs, "member_id", "inner")
     return joined.groupBy("campaign_id").agg(
-        F.sum("billed_amount").cast(MONEY_SUM).alias("attributed_mrr"),
-        F.countDistinct("subscription_id").alias("attributed_subscriptions"),
+        F.sum(F.col("__billed") * F.col("__k")).cast(MONEY_SUM).alias("attributed_mrr"),
+        F.coalesce(F.sum("__subs"), F.lit(0)).cast("bigint").alias("attributed_subscriptions"),
     )
 
 
@@ -84,17 +99,24 @@ def revenue_by_segment(subscriptions: DataFrame, members: DataFrame, accounts: D
                        plans: DataFrame, status: str = "active") -> DataFrame:
     """K13 [inferred]: active MRR and active subscriptions by account type and plan name.
 
-    Inner joins, since both group columns are declared not null.
+    Inner joins, since both group columns are declared not null.  As in K14,
+    subscriptions are folded per (member, plan) before any join, and the
+    member -> account type and plan -> plan name sides carry their join
+    multiplicities, so sums keep the fan-out of the plain join while the
+    distinct subscription count is taken over distinct pairs (exact when
+    ``subscription_id`` is the subscriptions key).
     """
-    subs = subscriptions.filter(F.col("status") == status).select(
-        "subscription_id", "member_id", "plan_id", "billed_amount")
+    per_member_plan = subscriptions.filter(F.col("status") == status).groupBy("member_id", "plan_id").agg(
+        F.sum("billed_amount").alias("__billed"),
+        F.countDistinct("subscription_id").alias("__subs"))
     member_type = members.select("member_id", "account_id").join(
-        accounts.select("account_id", "account_type"), "account_id", "inner")
-    joined = subs.join(member_type, "member_id", "inner").join(
-        plans.select("plan_id", "plan_name"), "plan_id", "inner")
+        accounts.select("account_id", "account_type"), "account_id", "inner") \
+        .groupBy("member_id", "account_type").agg(F.count(F.lit(1)).alias("__km"))
+    plan_name = plans.groupBy("plan_id", "plan_name").agg(F.count(F.lit(1)).alias("__kp"))
+    joined = per_member_plan.join(member_type, "member_id", "inner").join(plan_name, "plan_id", "inner")
     return joined.groupBy("account_type", "plan_name").agg(
-        F.sum("billed_amount").cast(MONEY_SUM).alias("active_mrr"),
-        F.countDistinct("subscription_id").alias("active_subscriptions"),
+        F.sum(F.col("__billed") * F.col("__km") * F.col("__kp")).cast(MONEY_SUM).alias("active_mrr"),
+        F.coalesce(F.sum("__subs"), F.lit(0)).cast("bigint").alias("active_subscriptions"),
     )
 
 

@@ -120,3 +120,12 @@ def test_attributed_plus_unattributed_is_total(spark):
         .agg(F.sum("billed_amount")).collect()[0][0]
     total = active.agg(F.sum("billed_amount")).collect()[0][0]
     assert attributed + unattributed == total == dec("140.00")
+
+
+def test_fanout_multiplies_the_sum_not_the_distinct_count(spark):
+    subs, members, acquisition, campaigns = fixture(spark)
+    doubled = acquisition.unionByName(spark.createDataFrame([("a2", "c2")], "account_id string, campaign_id string"))
+    got = {r.campaign_id: (r.attributed_mrr, r.attributed_subscriptions)
+           for r in rv.attributed_revenue(subs, members, doubled).collect()}
+    assert got["c2"] == (dec("60.00"), 1)     # one subscription of 30.00, joined twice
+    assert got["c1"] == (dec("100.00"), 3)
