@@ -16,21 +16,23 @@ from ..fixed_values import (DEFAULT_RESOLUTION_DAYS, LABEL_SEPARATOR, RESOLUTION
 from ..functions.exprs import any_keyword, clamp, first_keyword_band, lifecycle_status, miles_to_km, \
     title_label, truncating_int
 from ..functions.hashing import hash32
+from ..operators.joins import HOT_KEY_ROWS, skew_split_join
 
 
 def billing_resolution(subscriptions: DataFrame, members: DataFrame, accounts: DataFrame,
-                       plans: DataFrame) -> DataFrame:
+                       plans: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """K18 (J8): sponsored members pay their account's per-member rate, everyone
     else the plan's list price.
 
     Members are joined to their account first (the account side is one row
     per account; AQE broadcasts it), so subscriptions meet a single
-    member-level lookup.
+    member-level lookup; a member holding a large share of the subscriptions
+    is split off and served by a bounded broadcast (``skew_split_join``).
     """
     rates = members.select("member_id", "account_id", "sponsored").join(
         accounts.select("account_id", "per_member_rate"), "account_id", "left")
-    joined = subscriptions.select("subscription_id", "member_id", "plan_id") \
-        .join(rates, "member_id", "inner") \
+    joined = skew_split_join(subscriptions.select("subscription_id", "member_id", "plan_id"), rates,
+                             "member_id", "inner", hot_rows) \
         .join(plans.select("plan_id", "monthly_price"), "plan_id", "inner")
     return joined.select(
         "subscription_id", "member_id", "plan_id", "sponsored",

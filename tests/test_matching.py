@@ -55,3 +55,15 @@ def test_semi_join(spark):
     left = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     right = spark.createDataFrame([(1,), (1,), (3,), (9,)], "k int")
     assert rows(mt.with_match(left, right, "k", "k")) == [(1,), (3,)]
+
+
+def test_skew_split_join_equals_plain_join(spark):
+    from tallyframe.operators.joins import skew_split_join
+    big = spark.createDataFrame([(0, i) for i in range(500)] + [(k, k) for k in range(1, 200)] + [(999, 1)],
+                                "k int, v int")
+    small = spark.createDataFrame([(k, f"s{k}") for k in range(0, 150)] + [(0, "again")], "k int, w string")
+    for how in ("inner", "left"):
+        plain = rows(big.join(small, "k", how), "k", "v", "w")
+        split = rows(skew_split_join(big, small, "k", how, hot_rows=100), "k", "v", "w")
+        assert split == plain, how
+        assert rows(skew_split_join(big, small, "k", how), "k", "v", "w") == plain   # no hot key
