@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 HOT_KEY_ROWS = 4_000_000  # rows of one key that one join task may receive
 
 
-def skew_split_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner",
+def skew_split_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner",
                     hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """``big.join(small, on, how)`` for how in (inner, left), robust to a key
     that holds a large share of ``big``.
@@ -22,9 +22,10 @@ def skew_split_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_split_join supports inner and left joins")
-    hot_keys = big.groupBy(on).agg(F.count(F.lit(1)).alias("__rows")) \
-        .filter(F.col("__rows") > hot_rows).select(on)
-    hot_small = small.join(F.broadcast(hot_keys), on, "left_semi")
-    hot_part = big.join(F.broadcast(hot_keys), on, "left_semi").join(F.broadcast(hot_small), on, how)
-    cold_part = big.join(F.broadcast(hot_keys), on, "left_anti").join(small, on, how)
+    keys = [on] if isinstance(on, str) else list(on)
+    hot_keys = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")) \
+        .filter(F.col("__rows") > hot_rows).select(*keys)
+    hot_small = small.join(F.broadcast(hot_keys), keys, "left_semi")
+    hot_part = big.join(F.broadcast(hot_keys), keys, "left_semi").join(F.broadcast(hot_small), keys, how)
+    cold_part = big.join(F.broadcast(hot_keys), keys, "left_anti").join(small, keys, how)
     return hot_part.unionByName(cold_part)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import ATTRIBUTED_SHARE, DELAYED_CONVERSION_DAYS
 from ..functions.hashing import hash32
+from .joins import HOT_KEY_ROWS, skew_split_join
 from .sampling import first_n_by_hash, sample_size
 
 
@@ -32,21 +33,23 @@ def _months(start: Column, stop: Column) -> Column:
 def window_matches(entities: DataFrame, campaigns: DataFrame, *, entity_key: str, entity_type: str,
                    entity_date: str, campaign_key: str, audience: str = "target_audience",
                    start: str = "start_date", end: str = "end_date",
-                   grace_days: int = DELAYED_CONVERSION_DAYS) -> DataFrame:
+                   grace_days: int = DELAYED_CONVERSION_DAYS, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Every (entity, campaign) with equal type and start <= date <= end + grace.
 
     Output: entity_key, campaign_key, entity_date.
     """
     window_end = F.date_add(F.col(end), grace_days)
     camp = campaigns.select(
-        F.col(campaign_key), F.col(audience).alias("__aud"), F.col(start).alias("__start"),
+        F.col(campaign_key), F.col(audience).alias("__type"), F.col(start).alias("__start"),
         window_end.alias("__stop"), F.explode(_months(F.col(start), window_end)).alias("__m"))
     ent = entities.filter(F.col(entity_date).isNotNull()).select(
         F.col(entity_key), F.col(entity_type).alias("__type"), F.col(entity_date),
         F.trunc(entity_date, "month").alias("__m"))
-    cond = ((ent["__type"] == camp["__aud"]) & (ent["__m"] == camp["__m"])
-            & F.col(entity_date).between(F.col("__start"), F.col("__stop")))
-    return ent.join(camp, cond, "inner").select(entity_key, campaign_key, entity_date)
+    # equi-join on (type, month); a hot audience-month is split off and served
+    # by a broadcast of its (few) campaign rows; the date test is the residual
+    pairs = skew_split_join(ent, camp, ["__type", "__m"], "inner", hot_rows)
+    return pairs.filter(F.col(entity_date).between(F.col("__start"), F.col("__stop"))) \
+        .select(entity_key, campaign_key, entity_date)
 
 
 def choose_one(pairs: DataFrame, key: str, choice: str, seed=42) -> DataFrame:

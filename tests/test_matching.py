@@ -67,3 +67,14 @@ def test_skew_split_join_equals_plain_join(spark):
         split = rows(skew_split_join(big, small, "k", how, hot_rows=100), "k", "v", "w")
         assert split == plain, how
         assert rows(skew_split_join(big, small, "k", how), "k", "v", "w") == plain   # no hot key
+
+
+def test_window_matches_with_a_hot_audience_month(spark):
+    a, c = fixture(spark)
+    hot = a.unionByName(spark.createDataFrame([(f"h{i}", "ind", d("2024-02-05")) for i in range(300)],
+                                              "account_id string, account_type string, acquisition_date date"))
+    kw = dict(entity_key="account_id", entity_type="account_type", entity_date="acquisition_date",
+              campaign_key="campaign_id")
+    assert rows(mt.window_matches(hot, c, hot_rows=50, **kw), "account_id", "campaign_id") == \
+        rows(mt.window_matches(hot, c, **kw), "account_id", "campaign_id")
+    assert mt.window_matches(hot, c, hot_rows=50, **kw).count() == 5 + 1 + 600
