@@ -4,7 +4,8 @@
 
 Derives skewed inputs from the given tables (every third event to user 0,
 every third subscription to member 0), runs the streaks, the exact-n sample
-on the hot key and the K15 fold with partition coalescing off, and prints,
+on the hot key, the K15 fold, and K14 and K18 with broadcasts disabled, all
+with partition coalescing off, and prints,
 per stage, the rows read and the most rows read by one task - taken from the
 Spark event log written to a fresh scratch folder.
 """
@@ -58,6 +59,8 @@ def main() -> None:
     from tallyframe.operators import sampling as sm
     from tallyframe.operators import streaks as sk
     from tallyframe.plans import engagement as eg
+    from tallyframe.plans import operations as op
+    from tallyframe.plans import revenue as rv
     from tallyframe.plans.catalog import common as c
     from tallyframe.session import local_session
 
@@ -83,6 +86,16 @@ def main() -> None:
                            .otherwise(F.col("member_id")))
     eg.engagement_and_value(c.members(spark, d), c.accounts(spark, d), subs, c.plans(spark, d),
                             c.orders(spark, d), c.activity(spark, d)).write.format("noop").mode("overwrite").save()
+
+    # the member-level side as if it were too large to broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    sc.setJobGroup("k14", "k14")
+    rv.revenue_by_campaign(subs, c.members(spark, d), c.acquisition(spark, d), c.campaigns(spark, d)) \
+        .write.format("noop").mode("overwrite").save()
+    sc.setJobGroup("k18", "k18")
+    op.billing_resolution(subs, c.members(spark, d), c.accounts(spark, d), c.plans(spark, d), hot_rows=10000) \
+        .write.format("noop").mode("overwrite").save()
     spark.stop()
 
     for name, rows in stage_sizes(log_dir).items():
