@@ -96,6 +96,9 @@ def main() -> None:
     sc.setJobGroup("k18", "k18")
     op.billing_resolution(subs, c.members(spark, d), c.accounts(spark, d), c.plans(spark, d), hot_rows=10000) \
         .write.format("noop").mode("overwrite").save()
+    sc.setJobGroup("k18_plain", "k18_plain")   # no key counts as hot: the plain shuffled join
+    op.billing_resolution(subs, c.members(spark, d), c.accounts(spark, d), c.plans(spark, d), hot_rows=10**15) \
+        .write.format("noop").mode("overwrite").save()
     spark.stop()
 
     for name, rows in stage_sizes(log_dir).items():
