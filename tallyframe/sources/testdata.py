@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..fixed_values import ACTIVITY_WINDOW_DAYS, CHANNELS, ORDER_TYPES, SEED  # noqa: F401  (re-exported)
+from ..fixed_values import CHANNELS, ORDER_TYPES, SEED  # noqa: F401  (SEED is re-exported for the catalog)
 
 ORDERS_AS_OF = dt.date(2001, 12, 31)
 CAMPAIGN_EPOCH = dt.date(1995, 1, 1)
