@@ -41,8 +41,8 @@ class Settings:
     word_bits: int = 16
     rank: int = 8
     bins: int = 8
-    epochs: int = 8
-    rate: float = 0.1
+    epochs: int = 20
+    rate: float = 0.25
     decay: float = 1e-5
     seed: int = 11
 

@@ -104,23 +104,39 @@ def ratios(raw: memoryview, bands: Bands, z: zstandard.ZstdCompressor) -> tuple[
     return whole, chunks, bad, low <= whole <= high and bad <= bands.bad_share * chunks
 
 
+def judged(column, bands: Bands, z: zstandard.ZstdCompressor):
+    """(first, last, result columns) of each slice of a column of texts."""
+    data, off = A.text_bytes(column)
+    for i, j in A.slices(off):
+        part, o = data[off[i] : off[j]], off[i : j + 1] - off[i]
+        c = count_text(part, o)
+        view = memoryview(part)
+        whole, chunks, bad, fine = zip(*(ratios(view[a:b], bands, z) for a, b in zip(o, o[1:], strict=False)), strict=True)
+        failed = (c["n_words"] < 50) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
+        counts = [pa.array(c[k]) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+        yield i, j, [*counts, pa.array(failed), pa.array(~failed & np.array(fine)), pa.array(whole, pa.float64()),
+                     pa.array(chunks, pa.int64()), pa.array(bad, pa.int64())]
+
+
 def quality_rules(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """One row per document: base counts, compression figures and verdict (:data:`SCHEMA`)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=bands.level)
         for batch in batches:
-            data, off = A.text_bytes(batch.column(1))
-            for i, j in A.slices(off):
-                part, o = data[off[i] : off[j]], off[i : j + 1] - off[i]
-                c = count_text(part, o)
-                view = memoryview(part)
-                whole, chunks, bad, fine = zip(*(ratios(view[a:b], bands, z) for a, b in zip(o, o[1:], strict=False)), strict=True)
-                failed = (c["n_words"] < 50) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i).cast(pa.int64()), *(pa.array(c[k]) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
-                     pa.array(failed), pa.array(~failed & np.array(fine)), pa.array(whole, pa.float64()),
-                     pa.array(chunks, pa.int64()), pa.array(bad, pa.int64())],
-                    names=[x.split()[0] for x in SCHEMA.split(", ")])
+            for i, j, columns in judged(batch.column(1), bands, z):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).cast(pa.int64()), *columns], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+
+
+def reject(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
+    """The documents that the rules keep, all columns as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        z = zstandard.ZstdCompressor(level=bands.level)
+        for batch in batches:
+            for i, j, columns in judged(batch.column("text"), bands, z):
+                yield batch.slice(i, j - i).filter(columns[6])
+
+    return docs.mapInArrow(run, docs.schema)

@@ -296,3 +296,17 @@ def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
 
     scored = docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", fold("doc_id", FOLDS, HELD).alias("held_out"), "score", (F.col("score") >= LIMIT).cast("int").alias("predicted"))
+
+
+def reject(docs: DataFrame, model: Model, limit: float = LIMIT) -> DataFrame:
+    """The documents scored below ``limit``, all columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            data, off = A.text_bytes(batch.column("text"))
+            for i, j in A.slices(off):
+                score = shared.value.score(data[off[i] : off[j]], off[i : j + 1] - off[i])
+                yield batch.slice(i, j - i).filter(pa.array(score < limit))
+
+    return docs.mapInArrow(run, docs.schema)
