@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import packing, quality_rules, substring_dedup, toxicity
+from tallyframe.llm import jaccard_join, packing, quality_rules, substring_dedup, toxicity
 from tallyframe.llm.catalog import table, tokenizer
 from tallyframe.llm.shared import stored
 
@@ -27,6 +27,13 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return quality_rules.reject(docs.select(COLUMNS))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest document of each group of near duplicates."""
+    docs = docs.select(COLUMNS)
+    first = jaccard_join.join(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    return docs.join(first.withColumnRenamed("doc_id", "__tf_id"), F.col("doc_id").eqNullSafe(F.col("__tf_id")), "left_semi")
+
+
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of 50-word passages that an earlier document has; ``n_chars`` follows."""
     out = substring_dedup.dedup(docs, carry=["lang", "source", "n_chars"], keep_text=True)
@@ -42,6 +49,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("toxicity", drop_toxic),
     ("quality rules", drop_low_quality),
+    ("n-gram Jaccard join", drop_near_duplicates),
     ("substring dedup", drop_repeated_passages),
     ("best-fit packing", pack_sequences),
 ]
