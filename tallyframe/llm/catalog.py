@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import jaccard_join, near_vectors, packing, quality_fm, quality_rules, substring_dedup, suffix_dedup, toxicity
+from tallyframe.llm import jaccard_join, license_scan, near_vectors, packing, piece_tokens, quality_fm, quality_rules, substring_dedup, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +77,13 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_tokens.encode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
