@@ -79,9 +79,11 @@ def gather(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
 
 def reply(senders: np.ndarray, me: int, *arrays: np.ndarray) -> pa.Table:
     """Messages back to each sender, given the addressee of each entry."""
+    if not len(senders):
+        return messages([])
     order = np.argsort(senders, kind="stable")
     senders, arrays = senders[order], [a[order] for a in arrays]
-    cuts = np.flatnonzero(np.r_[True, senders[1:] != senders[:-1]]) if len(senders) else np.zeros(0, np.int64)
+    cuts = np.flatnonzero(np.r_[True, senders[1:] != senders[:-1]])
     ends = np.r_[cuts[1:], len(senders)]
     return messages([(int(senders[a]), me, pack(*(x[a:b] for x in arrays))) for a, b in zip(cuts, ends, strict=True)])
 

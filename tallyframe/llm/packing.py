@@ -81,15 +81,14 @@ def reduce_by_dominance(count: dict[int, int], capacity: int) -> tuple[list[Patt
 
     def best_pair(room: int, besides: int) -> int:
         """The largest sum of two pieces within the room (0 if none)."""
-        best, lo, hi = 0, 0, bisect.bisect_right(keys, room) - 1
+        free = [w for w in keys[: bisect.bisect_right(keys, room)] if left[w] > (w == besides)]
+        best, lo, hi = 0, 0, len(free) - 1
         while lo <= hi:
-            s = keys[lo] + keys[hi]
-            if s > room:
+            s = free[lo] + free[hi]
+            if s > room or (lo == hi and left[free[lo]] - (free[lo] == besides) < 2):
                 hi -= 1
-                continue
-            enough = left[keys[lo]] - (keys[lo] == besides) >= 1 + (lo == hi) and left[keys[hi]] - (keys[hi] == besides) >= 1
-            best = max(best, s) if enough else best
-            lo += 1
+            else:
+                best, lo = max(best, s), lo + 1
         return best
 
     changed = True

@@ -40,9 +40,9 @@ class Bands:
     than ``bad_share`` of its chunks outside is rejected."""
 
     whole: tuple[tuple[int, float, float], ...] = (
-        (256, 0.25, 0.90), (1024, 0.22, 0.82), (4096, 0.20, 0.76), (65536, 0.15, 0.74))
+        (256, 0.25, 0.88), (1024, 0.22, 0.76), (4096, 0.20, 0.70), (65536, 0.15, 0.66))
     chunk_bytes: int = 4096
-    chunk: tuple[float, float] = (0.15, 0.82)
+    chunk: tuple[float, float] = (0.15, 0.76)
     bad_share: float = 0.5
     level: int = 3
 
