@@ -1,11 +1,11 @@
-"""Equi-join that splits hot keys off instead of shuffling them to one task."""
+"""Equi-join that deals hot keys over several tasks."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEY_ROWS = 4_000_000  # rows of one key that one join task may receive
+HOT_KEY_ROWS = 4_000_000  # rows of one key that one join task should receive
 
 
 def skew_split_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner",
@@ -13,19 +13,22 @@ def skew_split_join(big: DataFrame, small: DataFrame, on: str | list[str], how:
     """``big.join(small, on, how)`` for how in (inner, left), robust to a key
     that holds a large share of ``big``.
 
-    Keys with more than ``hot_rows`` rows in ``big`` are found with a
-    map-side combined count; there are at most rows / ``hot_rows`` of them,
-    so their rows of ``small`` form a bounded broadcast, and the hot rows of
-    ``big`` are joined where they are read, without a shuffle.  All other
-    keys take an ordinary shuffled join.  With no hot key the hot branch
-    joins an empty broadcast and contributes nothing.
+    Keys with more than ``hot_rows`` rows in ``big`` are found with a map-side
+    combined count; there are at most rows / ``hot_rows`` of them, so only
+    that list of keys is broadcast.  Rows of such a key are dealt by a hash of
+    all their columns over as many parts as its count asks for, and its rows
+    of ``small`` are repeated for each part; then one shuffled join on key and
+    part serves hot and ordinary keys alike.  The rows are the same for any
+    ``hot_rows``.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_split_join supports inner and left joins")
     keys = [on] if isinstance(on, str) else list(on)
-    hot_keys = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")) \
-        .filter(F.col("__rows") > hot_rows).select(*keys)
-    hot_small = small.join(F.broadcast(hot_keys), keys, "left_semi")
-    hot_part = big.join(F.broadcast(hot_keys), keys, "left_semi").join(F.broadcast(hot_small), keys, how)
-    cold_part = big.join(F.broadcast(hot_keys), keys, "left_anti").join(small, keys, how)
-    return hot_part.unionByName(cold_part)
+    hot = F.broadcast(big.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > hot_rows)
+                      .select(*keys, F.ceil(F.col("__rows") / hot_rows).cast("int").alias("__parts")))
+    whole = F.xxhash64(*[F.col(c) for c in big.columns])
+    dealt = big.join(hot, keys, "left") \
+        .withColumn("__part", F.pmod(whole, F.coalesce("__parts", F.lit(1))).cast("int")).drop("__parts")
+    repeated = small.join(hot, keys, "left") \
+        .withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__parts")
+    return dealt.join(repeated, [*keys, "__part"], how).drop("__part")

@@ -11,7 +11,7 @@ join's residual condition.  Each pair is produced once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import ATTRIBUTED_SHARE, DELAYED_CONVERSION_DAYS
@@ -45,8 +45,8 @@ def window_matches(entities: DataFrame, campaigns: DataFrame, *, entity_key: str
     ent = entities.filter(F.col(entity_date).isNotNull()).select(
         F.col(entity_key), F.col(entity_type).alias("__type"), F.col(entity_date),
         F.trunc(entity_date, "month").alias("__m"))
-    # equi-join on (type, month); a hot audience-month is split off and served
-    # by a broadcast of its (few) campaign rows; the date test is the residual
+    # equi-join on (type, month); the entities of a hot audience-month are dealt
+    # over several tasks, each with its campaign rows; the date test is the residual
     pairs = skew_split_join(ent, camp, ["__type", "__m"], "inner", hot_rows)
     return pairs.filter(F.col(entity_date).between(F.col("__start"), F.col("__stop"))) \
         .select(entity_key, campaign_key, entity_date)
@@ -63,6 +63,41 @@ def choose_one(pairs: DataFrame, key: str, choice: str, seed=42) -> DataFrame:
         F.min_by(F.col(choice), F.struct(h.alias("h"), F.col(choice).alias("c"))).alias(choice))
 
 
+def campaign_days(campaigns: DataFrame, *, campaign_key: str, audience: str = "target_audience",
+                  start: str = "start_date", end: str = "end_date",
+                  grace_days: int = DELAYED_CONVERSION_DAYS) -> DataFrame:
+    """Every (audience, day) with the campaigns open on it, numbered from 1 by key, and their count.
+
+    One row per campaign and day of its window (with the grace days), so its
+    size follows the campaigns, not the entities.
+    """
+    stop = F.date_add(F.col(end), grace_days)
+    days = F.when(F.col(start) <= stop, F.sequence(F.col(start), stop)).otherwise(F.array().cast("array<date>"))
+    open_days = campaigns.select(F.col(campaign_key), F.col(audience).alias("__type"), F.explode(days).alias("__day")).distinct()
+    same_day = Window.partitionBy("__type", "__day")
+    return open_days.withColumn("__rank", F.row_number().over(same_day.orderBy(campaign_key))) \
+        .withColumn("__open", F.count(F.lit(1)).over(same_day))
+
+
+def choose_match(entities: DataFrame, campaigns: DataFrame, *, entity_key: str, entity_type: str,
+                 entity_date: str, campaign_key: str, audience: str = "target_audience", start: str = "start_date",
+                 end: str = "end_date", grace_days: int = DELAYED_CONVERSION_DAYS, seed=42) -> DataFrame:
+    """J6 + R7 without the pairs: one eligible campaign per entity, by hash (repeatable).
+
+    The entity's (type, day) tells how many campaigns are open; the hash of
+    its key modulo that count picks one by its number.  Each entity passes two
+    equi-joins that find one row at most, so rows grow with the entities and
+    the campaign days, never with their pairs.  Output: entity_key, campaign_key.
+    """
+    days = campaign_days(campaigns, campaign_key=campaign_key, audience=audience, start=start, end=end, grace_days=grace_days)
+    ent = entities.filter(F.col(entity_date).isNotNull()).select(
+        F.col(entity_key), F.col(entity_type).alias("__type"), F.col(entity_date).alias("__day"))
+    counted = ent.join(days.filter("__rank = 1").select("__type", "__day", "__open"), ["__type", "__day"], "inner")
+    picked = counted.withColumn("__rank", (F.pmod(hash32(entity_key, seed=seed, salt="choice"), F.col("__open")) + 1).cast("int"))
+    return picked.join(days.select("__type", "__day", "__rank", campaign_key), ["__type", "__day", "__rank"], "inner") \
+        .select(entity_key, campaign_key)
+
+
 def attribute_accounts(accounts: DataFrame, campaigns: DataFrame, *, account_key: str = "account_id",
                        account_type: str = "account_type", acquisition_date: str = "acquisition_date",
                        campaign_key: str = "campaign_id", fraction: float | str = ATTRIBUTED_SHARE,
@@ -76,9 +111,8 @@ def attribute_accounts(accounts: DataFrame, campaigns: DataFrame, *, account_key
     """
     candidates = accounts.filter(F.col(acquisition_date).isNotNull())
     quota = candidates.agg(sample_size(fraction, F.count(F.lit(1))).alias("n"))
-    pairs = window_matches(candidates, campaigns, entity_key=account_key, entity_type=account_type,
-                           entity_date=acquisition_date, campaign_key=campaign_key, grace_days=grace_days)
-    chosen = choose_one(pairs, account_key, campaign_key, seed)
+    chosen = choose_match(candidates, campaigns, entity_key=account_key, entity_type=account_type,
+                          entity_date=acquisition_date, campaign_key=campaign_key, grace_days=grace_days, seed=seed)
     return first_n_by_hash(chosen, quota, [account_key], seed, salt="order")
 
 

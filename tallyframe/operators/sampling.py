@@ -5,10 +5,10 @@ Randomness is a hash of the row key and a seed (see
 data is partitioned and survive task retries unchanged.
 
 Global order
-    Rows are ordered by (hash, key columns, remaining columns); inside a hot
-    bucket (below), rows that share one hash value are first ordered by a
-    content hash, which keeps the order total and repeatable while letting
-    the rows of one hot key spread over tasks.  A histogram
+    Rows are ordered by (hash, key columns, content hash, remaining columns),
+    whatever the sizes.  The content hash only orders rows that share all key
+    columns; it lets the rows of one hot key spread over any number of tasks
+    in that same order.  A histogram
     over the top ``BUCKET_BITS`` bits of the 32-bit hash (at most 2^16 rows)
     gives every bucket its offset; the running
     sum over that bounded histogram is the only unpartitioned window.  Rows
@@ -19,13 +19,13 @@ Hot buckets
     A bucket holding more than ``hot_rows`` rows (one key or one group of
     copies can hold a third of a table) is never ranked by one task.  Its
     exact copies are first collapsed map-side into (row, multiplicity); the
-    bucket is split into sub-buckets by the low 16 hash bits (order
-    preserving) and a content hash (to spread rows that share a key); a
-    sub-histogram (at most 2^20 rows per hot bucket, aggregated and joined
-    like any other frame) gives each distinct row a range of numbers; rows are then
-    re-expanded in chunks of at most ``EXPAND_CHUNK`` copies spread over
-    tasks.  Copies are interchangeable, so the result is the same multiset
-    of rows whatever the partitioning.
+    bucket is split along the order, level by level and only where a level is
+    still too large: by the low 16 hash bits, then by the key columns, then by
+    as many leading bits of the content hash as the key's size asks for.  A
+    running sum over the parts gives each distinct row a range of numbers;
+    rows are then re-expanded in chunks of at most ``EXPAND_CHUNK`` copies
+    spread over tasks.  The order is the one of small buckets, so the result
+    is the same whichever path runs.
 
 Driver-side decisions
     Which path a query takes is decided from one row of statistics read
@@ -46,25 +46,30 @@ from pyspark.sql.types import MapType
 
 from ..functions.hashing import TWO_32, hash32
 from ..session import ensure_checkpoint_dir
+from .quality import require_capacity
 
 BUCKET_BITS = 16
 LOW_BITS = 32 - BUCKET_BITS          # hash bits below the bucket: order-preserving sub-buckets
-SPREAD_BITS = 4                      # content-hash bits that split rows sharing one hash
+CONTENT_BITS = 63                    # content hash, non-negative
 HOT_BUCKET_ROWS = 4_000_000          # rows one task may rank in a window
 EXPAND_CHUNK = 1_000_000             # copies one task may emit for one row
-_H, _B = "__h", "__bucket"
+_H, _B, _C = "__h", "__bucket", "__content"
+
+
+def _orderable(schema) -> list[str]:
+    return [f.name for f in schema.fields if not isinstance(f.dataType, MapType)]
 
 
 def _hashed(df: DataFrame, keys: Sequence[str], seed, salt: str | None = None) -> DataFrame:
     h = hash32(*keys, seed=seed, salt=salt)
-    return df.withColumn(_H, h).withColumn(_B, F.shiftright(F.col(_H), LOW_BITS))
+    content = F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in _orderable(df.schema)]), 64 - CONTENT_BITS)
+    return df.withColumn(_H, h).withColumn(_B, F.shiftright(F.col(_H), LOW_BITS)).withColumn(_C, content)
 
 
-def _order(df_cols: Sequence[str], schema, keys: Sequence[str]) -> list[Column]:
-    """(hash, keys, every other orderable column): a total order up to exact copies."""
-    rest = [f.name for f in schema.fields
-            if f.name in df_cols and f.name not in keys and not isinstance(f.dataType, MapType)]
-    return [F.col(_H)] + [F.col(k) for k in keys] + [F.col(c) for c in rest]
+def _order(schema, keys: Sequence[str]) -> list[Column]:
+    """(hash, keys, content hash, every other orderable column): a total order up to exact copies."""
+    rest = [c for c in _orderable(schema) if c not in keys]
+    return [F.col(_H)] + [F.col(k) for k in keys] + [F.col(_C)] + [F.col(c) for c in rest]
 
 
 def bucket_offsets(hashed: DataFrame) -> DataFrame:
@@ -107,20 +112,37 @@ def _rank_cold(rows: DataFrame, order: list[Column]) -> DataFrame:
     return rows.withColumn("__rn", F.row_number().over(Window.partitionBy(_B).orderBy(*order)))
 
 
-def _rank_hot(rows: DataFrame, order: list[Column], data_cols: Sequence[str]) -> DataFrame:
+def _rank_hot(rows: DataFrame, order: list[Column], keys: Sequence[str], hot_rows: int) -> DataFrame:
     """Distinct rows of hot buckets with their copies ``__m`` and the rank
     ``__first`` of their first copy inside the bucket (see module doc)."""
     collapsed = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("__m"))
-    collapsed = collapsed.withColumn("__sa", F.col(_H).bitwiseAND((1 << LOW_BITS) - 1)) \
-        .withColumn("__sb", F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in data_cols]), 64 - SPREAD_BITS))
-    sub = collapsed.groupBy(_B, "__sa", "__sb").agg(F.sum("__m").alias("__sm"))
-    wsub = Window.partitionBy(_B).orderBy("__sa", "__sb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sub = sub.withColumn("__sub_before", F.sum("__sm").over(wsub) - F.col("__sm")).drop("__sm")
-    joined = collapsed.join(sub, [_B, "__sa", "__sb"], "inner")
-    w = Window.partitionBy(_B, "__sa", "__sb").orderBy(*order) \
+    collapsed = collapsed.withColumn("__low", F.col(_H).bitwiseAND((1 << LOW_BITS) - 1)) \
+        .withColumn("__keys", F.struct(*[F.col(k) for k in keys]))
+    # hash values, and then keys, with more distinct rows than one task should order;
+    # at most rows / hot_rows of either, so they are broadcast
+    count = F.count(F.lit(1)).alias("__n")
+    hashes = collapsed.groupBy(_H).agg(count).filter(F.col("__n") > hot_rows).select(_H, F.lit(True).alias("__hot"))
+    split = collapsed.join(F.broadcast(hashes), _H, "left") \
+        .withColumn("__keys", F.when(F.col("__hot"), F.col("__keys")))
+    wide = split.filter("__hot").groupBy(_H, F.col("__keys").alias("__wide")).agg(count).filter(F.col("__n") > hot_rows) \
+        .select(F.col(_H).alias("__wh"), "__wide",
+                F.least(F.ceil(F.log2(F.col("__n") / hot_rows)) + 1, F.lit(CONTENT_BITS)).cast("int").alias("__bits"))
+    split = split.join(F.broadcast(wide), (F.col(_H) == F.col("__wh")) & F.col("__keys").eqNullSafe(F.col("__wide")), "left") \
+        .withColumn("__part", F.when(F.col("__bits").isNotNull(),
+                                     F.expr(f"shiftright({_C}, {CONTENT_BITS} - __bits)")).otherwise(F.lit(0))) \
+        .drop("__hot", "__wh", "__wide", "__bits")
+    part = [_B, "__low", "__keys", "__part"]
+    sub = split.groupBy(*part).agg(F.sum("__m").alias("__sm"))
+    wsub = Window.partitionBy(_B).orderBy("__low", "__keys", "__part") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sub = sub.withColumn("__sub_before", F.sum("__sm").over(wsub) - F.col("__sm")).drop("__sm") \
+        .select(*[F.col(c).alias(f"__s{c}") for c in part], "__sub_before")
+    same = [F.col(c).eqNullSafe(F.col(f"__s{c}")) if c == "__keys" else F.col(c) == F.col(f"__s{c}") for c in part]
+    joined = split.join(sub, same, "inner").drop(*[f"__s{c}" for c in part])
+    w = Window.partitionBy(*part).orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return joined.withColumn("__first", F.col("__sub_before") + F.sum("__m").over(w) - F.col("__m") + 1) \
-        .drop("__sa", "__sb", "__sub_before")
+        .drop("__low", "__keys", "__part", "__sub_before")
 
 
 def _histogram(source: DataFrame) -> DataFrame:
@@ -141,8 +163,9 @@ def _histogram(source: DataFrame) -> DataFrame:
 def dense_number(df: DataFrame, keys: Sequence[str], seed=42, col: str = "row_no",
                  salt: str | None = None, with_total: bool = False,
                  histogram_from: DataFrame | None = None, hot_rows: int = HOT_BUCKET_ROWS) -> DataFrame:
-    """1-based dense row number in (hash, key, other columns) order.
+    """1-based dense row number in (hash, keys, content hash, rest) order.
 
+    The numbers are a snapshot: the histogram is taken when this is called.
     The rows are shuffled once, by bucket, for the in-bucket ranking; the
     bucket histogram is a map-side combined count.  One row of statistics
     (largest bucket, total) is read on the driver to choose the plan: hot
@@ -154,7 +177,7 @@ def dense_number(df: DataFrame, keys: Sequence[str], seed=42, col: str = "row_no
     """
     data_cols = list(df.columns)
     hashed = _hashed(df, keys, seed, salt)
-    order = _order(data_cols, df.schema, keys)
+    order = _order(df.schema, keys)
     source = hashed if histogram_from is None else _hashed(histogram_from.select(*keys), keys, seed, salt)
     hist = _histogram(source)
     stats = hist.agg(F.max("__cnt").alias("max_cnt"), F.sum("__cnt").alias("total")).first()
@@ -171,7 +194,7 @@ def dense_number(df: DataFrame, keys: Sequence[str], seed=42, col: str = "row_no
     cold = hashed.join(F.broadcast(info.filter(F.col("__cnt") <= hot_rows)), _B, "inner")
     cold = _rank_cold(cold, order).withColumn(col, (F.col("__before") + F.col("__rn")).cast("bigint"))
     hot = hashed.join(F.broadcast(info.filter(F.col("__cnt") > hot_rows)), _B, "inner")
-    hot = expand(_rank_hot(hot, order, data_cols), "__m", F.col("__before") + F.col("__first"), col, spread=[_H])
+    hot = expand(_rank_hot(hot, order, keys, hot_rows), "__m", F.col("__before") + F.col("__first"), col, spread=[_H])
     return cold.select(*data_cols, *extra, col).unionByName(hot.select(*data_cols, *extra, col)).select(*keep)
 
 
@@ -183,7 +206,7 @@ def sample_size(fraction: float | str | Decimal, total: Column) -> Column:
 
 def first_n_by_hash(df: DataFrame, n: Column | int | DataFrame, keys: Sequence[str], seed=42,
                     salt: str | None = None, hot_rows: int = HOT_BUCKET_ROWS) -> DataFrame:
-    """O4 / R1 core: the ``n`` first rows in (hash, key, other columns) order.
+    """O4 / R1 core: the ``n`` first rows in (hash, keys, content hash, rest) order.
 
     From the bucket histogram the driver reads one row: the target ``n``,
     the first bucket not wholly taken, the rows before it and its size.  The
@@ -195,7 +218,7 @@ def first_n_by_hash(df: DataFrame, n: Column | int | DataFrame, keys: Sequence[s
     """
     data_cols = list(df.columns)
     hashed = _hashed(df, keys, seed, salt)
-    order = _order(data_cols, df.schema, keys)
+    order = _order(df.schema, keys)
     hist = _histogram(hashed)
     totals = hist.agg(F.sum("__cnt").alias("__total"))
     if isinstance(n, DataFrame):
@@ -216,7 +239,7 @@ def first_n_by_hash(df: DataFrame, n: Column | int | DataFrame, keys: Sequence[s
     if cut["__cnt"] <= hot_rows:
         part = _rank_cold(rows, order).filter(F.col("__rn") <= need)
     else:
-        hot = _rank_hot(rows, order, data_cols)
+        hot = _rank_hot(rows, order, keys, hot_rows)
         take = F.greatest(F.lit(0), F.least(F.col("__m"), F.lit(need) - F.col("__first") + 1))
         part = expand(hot.withColumn("__take", take), "__take", 0, "__copy", spread=[_H])
     return whole.unionByName(part.select(*data_cols))
@@ -275,3 +298,30 @@ def zip_by_rank(a: DataFrame, a_keys: Sequence[str], b: DataFrame, b_keys: Seque
     an = dense_number(a, a_keys, seed, col, salt="left")
     bn = dense_number(b, b_keys, seed, col, salt="right")
     return an.join(bn, col, "inner")
+
+
+def serve_in_order(entities: DataFrame, entity_keys: Sequence[str], count_col: str, pool: DataFrame,
+                   pool_keys: Sequence[str], seed=42, col: str = "pair_no", hot_rows: int = HOT_BUCKET_ROWS) -> DataFrame:
+    """J9 with counts: entities in hash order each take the next ``count_col`` rows of the pool.
+
+    Entity i takes the pool rows numbered (sum of earlier counts) + 1, ...;
+    null and negative counts take none.  The running sum goes over entities
+    in ranges of their dense number (a sum per range, then inside the range),
+    so no task orders them all.  A pool smaller than the demand is refused
+    (Q-P): both sides are counted first.
+    """
+    n = F.greatest(F.coalesce(F.col(count_col).cast("bigint"), F.lit(0).cast("bigint")), F.lit(0).cast("bigint"))
+    wanted = entities.withColumn("__want", n)
+    demand = int(wanted.agg(F.sum("__want")).first()[0] or 0)
+    require_capacity(pool, demand, "pool rows")
+    numbered = dense_number(wanted, entity_keys, seed, "__no", salt="left", hot_rows=hot_rows) \
+        .withColumn("__range", F.floor(F.col("__no") / 100_000))
+    sums = numbered.groupBy("__range").agg(F.sum("__want").alias("__sum"))
+    before = sums.withColumn("__start", F.sum("__sum").over(Window.orderBy("__range")) - F.col("__sum")).drop("__sum")
+    inner = Window.partitionBy("__range").orderBy("__no")
+    placed = numbered.join(before, "__range") \
+        .withColumn("__first", F.col("__start") + F.sum("__want").over(inner) - F.col("__want") + 1) \
+        .drop("__range", "__start", "__no")
+    slots = expand(placed.withColumnRenamed("__first", "__from"), "__want", F.col("__from"), col, spread=list(entity_keys)) \
+        .drop("__want", "__from")
+    return slots.join(dense_number(pool, pool_keys, seed, col, salt="right", hot_rows=hot_rows), col, "inner")

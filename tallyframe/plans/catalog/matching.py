@@ -23,12 +23,13 @@ from members m join campaigns cp
   on m.account_id = cp.target_audience
  and m.join_date between cp.start_date and cp.end_date + 45"""
 
+# the campaign whose place among the eligible ones (by id) is the account's hash modulo their count
 CHOSEN_SQL = f"""
 select account_id, campaign_id from (
-  select *, row_number() over (partition by account_id
-                               order by {h_sql('account_id', 'campaign_id', salt='choice')}, campaign_id) as rn
+  select *, row_number() over (partition by account_id order by campaign_id) as rn,
+         count(*) over (partition by account_id) as n
   from ({ELIGIBLE_SQL}) e) x
-where rn = 1"""
+where rn = {h_sql('account_id', salt='choice')} % n + 1"""
 
 
 def accounts(spark, d):
@@ -56,7 +57,8 @@ def eligible_matches(spark, d):
 
 @register("chosen_match", sql(CHOSEN_SQL, "members", "campaigns"))
 def chosen_match(spark, d):
-    return mt.choose_one(_pairs(spark, d), "account_id", "campaign_id", td.SEED)
+    return mt.choose_match(accounts(spark, d), c.campaigns(spark, d), entity_key="account_id", entity_type="account_type",
+                           entity_date="acquisition_date", campaign_key="campaign_id", seed=td.SEED)
 
 
 @register("attributed_accounts", sql(f"""

@@ -7,9 +7,9 @@ a masked integer.  So that a comparison of the two results does not depend on
 those client mappings, the query and its oracle are both brought to the same
 portable column types at the boundary:
 
-* decimal                  -> double (exact decimals cast to the same double in both)
+* decimal                  -> text (exact, scale included)
 * date / timestamp         -> ISO text
-* integer that may be null -> double
+* integer that may be null -> text
 * everything else unchanged
 
 The library functions themselves keep decimals and dates; this applies only
@@ -30,24 +30,20 @@ def kinds(schema: StructType) -> list[tuple[str, str]]:
     out = []
     for f in schema.fields:
         t = f.dataType
-        if isinstance(t, DecimalType):
-            out.append((f.name, "double"))
-        elif isinstance(t, (DateType, TimestampType, TimestampNTZType)):
+        if isinstance(t, (DecimalType, DateType, TimestampType, TimestampNTZType)):
             out.append((f.name, "text"))
         elif isinstance(t, IntegralType) and f.nullable:
-            out.append((f.name, "double"))
+            out.append((f.name, "text"))
         else:
             out.append((f.name, "keep"))
     return out
 
 
 def portable_df(df: DataFrame) -> DataFrame:
-    cast = {"double": "double", "text": "string"}
-    return df.select(*[F.col(n).cast(cast[k]).alias(n) if k != "keep" else F.col(n)
+    return df.select(*[F.col(n).cast("string").alias(n) if k != "keep" else F.col(n)
                        for n, k in kinds(df.schema)])
 
 
 def portable_sql(sql: str, spec: list[tuple[str, str]]) -> str:
-    cast = {"double": "double", "text": "varchar"}
-    cols = ", ".join(f'cast(q."{n}" as {cast[k]}) as "{n}"' if k != "keep" else f'q."{n}"' for n, k in spec)
+    cols = ", ".join(f'cast(q."{n}" as varchar) as "{n}"' if k != "keep" else f'q."{n}"' for n, k in spec)
     return f"select {cols} from (\n{sql}\n) as q"

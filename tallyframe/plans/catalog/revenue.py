@@ -116,6 +116,59 @@ def monthly_revenue(spark, d):
     return _monthly(spark, d)
 
 
+# the same subscriptions with every 17th start missing and every 13th ending before it starts
+IMPERFECT_SQL = """
+select * replace (case when cast(subscription_id as bigint) % 17 = 0 then null else start_date end as start_date,
+                  case when cast(subscription_id as bigint) % 13 = 0 then start_date - 70 else end_date end as end_date)
+from subscriptions"""
+
+
+@register("monthly_revenue_imperfect_dates", sql(
+    f"""select * from (with subscriptions_i as ({IMPERFECT_SQL})
+    {MONTHLY_SQL.replace("with spine as", ", spine as").replace("from subscriptions)", "from subscriptions_i)").replace("join subscriptions s", "join subscriptions_i s")}) q""",
+    "subscriptions", "one_time_orders"))
+def monthly_revenue_imperfect_dates(spark, d):
+    number = F.col("subscription_id").cast("bigint")
+    subs = c.subscriptions(spark, d).withColumns({
+        "end_date": F.when(number % 13 == 0, F.date_sub("start_date", 70)).otherwise(F.col("end_date")),
+        "start_date": F.when(number % 17 != 0, F.col("start_date"))})
+    return rv.monthly_revenue(subs, c.orders(spark, d), td.ORDERS_AS_OF)
+
+
+# subscription ids that occur under two members and under two plans
+SHARED_SQL = """
+select * from subscriptions
+union all
+select * replace (cast(cast(member_id as bigint) + 1 as varchar) as member_id) from subscriptions
+where cast(subscription_id as bigint) % 11 = 0
+union all
+select * replace ((select min(plan_id) from plans) as plan_id) from subscriptions
+where cast(subscription_id as bigint) % 7 = 0"""
+
+
+def _shared(spark, d):
+    subs, plans = c.subscriptions(spark, d), c.plans(spark, d)
+    number = F.col("subscription_id").cast("bigint")
+    moved = subs.filter(number % 11 == 0).withColumn("member_id", (F.col("member_id").cast("bigint") + 1).cast(subs.schema["member_id"].dataType))
+    planned = subs.filter(number % 7 == 0).withColumn("plan_id", plans.agg(F.min("plan_id")).scalar())
+    return subs.unionByName(moved).unionByName(planned)
+
+
+@register("attributed_revenue_shared_ids", sql(f"""
+with subscriptions_s as ({SHARED_SQL})
+select campaign_id, cast(mrr as decimal(38,2)) as attributed_mrr, n as attributed_subscriptions
+from ({ATTRIBUTED_SQL.replace("from subscriptions s", "from subscriptions_s s")}) t""", "plans", *REV_DEPS))
+def attributed_revenue_shared_ids(spark, d):
+    return rv.attributed_revenue(_shared(spark, d), c.members(spark, d), c.acquisition(spark, d))
+
+
+@register("revenue_by_segment_shared_ids", sql(f"""
+with subscriptions_s as ({SHARED_SQL})
+{SEGMENT_SQL.replace("from subscriptions s", "from subscriptions_s s")}""", "subscriptions", "members", "accounts", "plans"))
+def revenue_by_segment_shared_ids(spark, d):
+    return rv.revenue_by_segment(_shared(spark, d), c.members(spark, d), c.accounts(spark, d), c.plans(spark, d))
+
+
 @register("revenue_trend", sql(f"select * from ({MONTHLY_SQL}) q", "subscriptions", "one_time_orders"))
 def revenue_trend(spark, d):
     return rv.revenue_trend(_monthly(spark, d))

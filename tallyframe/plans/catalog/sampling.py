@@ -58,6 +58,21 @@ def zip_by_rank(spark, d):
         .select("c_custkey", "s_suppkey", "pair_no")
 
 
+@register("serve_in_order", f"""
+with a as (
+  select c_custkey, c_custkey % 4 as want,
+         sum(c_custkey % 4) over (order by {h_sql('c_custkey', salt='left')}, c_custkey) as through
+  from customer),
+p as (select o_orderkey, row_number() over (order by {h_sql('o_orderkey', salt='right')}, o_orderkey) as pair_no from orders)
+select a.c_custkey, p.o_orderkey, p.pair_no
+from a join p on p.pair_no > a.through - a.want and p.pair_no <= a.through""")
+def serve_in_order(spark, d):
+    need = td.table(spark, d, "customer").select("c_custkey", (F.col("c_custkey") % 4).alias("want"))
+    pool = td.table(spark, d, "orders").select("o_orderkey")
+    return sm.serve_in_order(need, ["c_custkey"], "want", pool, ["o_orderkey"], td.SEED) \
+        .select("c_custkey", "o_orderkey", "pair_no")
+
+
 @register("sequence_ids", f"""
 select event_id, printf('evt_%07d', row_number() over (order by {h_sql('event_id', salt='seq')}, event_id)) as seq_id
 from events""")

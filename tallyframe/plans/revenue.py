@@ -30,37 +30,54 @@ def member_campaigns(members: DataFrame, acquisition: DataFrame) -> DataFrame:
     ).select("member_id", "campaign_id")
 
 
+def distinct_ids(rows: DataFrame, holder: list[str], groups: DataFrame, by: list[str], out: str) -> DataFrame:
+    """Exact count of distinct ``subscription_id`` per group of holders.
+
+    ``rows`` holds (subscription_id, *holder); ``groups`` maps holder to
+    ``by``, one row per pair.  An id seen under one holder only (all of them,
+    where the id is a key) is counted per holder before the join, so a holder
+    of a third of all rows joins as one row; ids seen under several holders
+    are joined one by one and counted distinct per group.  An id never adds
+    to a group twice: it is of one kind or the other.
+    """
+    where = F.struct(*[F.col(c) for c in holder])
+    ids = rows.filter(F.col("subscription_id").isNotNull()).groupBy("subscription_id").agg(
+        F.min(where).alias("__least"), F.max(where).alias("__most"))
+    single = ids.filter(F.col("__least").eqNullSafe(F.col("__most"))) \
+        .groupBy(*[F.col("__least")[c].alias(c) for c in holder]).agg(F.count(F.lit(1)).alias("__n"))
+    shared = ids.filter(~F.col("__least").eqNullSafe(F.col("__most"))).select("subscription_id")
+    pairs = rows.select("subscription_id", *holder).join(shared, "subscription_id", "left_semi").distinct()
+    one = single.join(groups, holder, "inner").groupBy(*by).agg(F.sum("__n").alias("__n"))
+    many = pairs.join(groups, holder, "inner").select(*by, "subscription_id").distinct() \
+        .groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    return one.unionByName(many).groupBy(*by).agg(F.sum("__n").cast("bigint").alias(out))
+
+
 def attributed_revenue(subscriptions: DataFrame, members: DataFrame, acquisition: DataFrame,
                        status: str | None = "active") -> DataFrame:
     """J1 + A5: per campaign, summed billed amount and distinct subscriptions.
 
-    Subscriptions are folded per member first (billed total and distinct
-    subscription count), so a member holding a third of all subscriptions
-    leaves the map side as one row; the member -> campaign pairs carry their
-    join multiplicity ``k``.  Per campaign:
+    Subscriptions are folded per member first, so a member holding a third of
+    all subscriptions leaves the map side as one row; the member -> campaign
+    pairs carry their join multiplicity ``k``.  Per campaign:
 
     * attributed_mrr = sum(billed total x k): the sum is multiplied by any
       fan-out of the member/acquisition join, as in the reference (Q6);
-    * attributed_subscriptions = sum of the members' distinct counts over the
-      distinct (member, campaign) pairs: protected against that fan-out.
-
-    This equals ``count(distinct subscription_id)`` over the joined rows
-    whenever ``subscription_id`` is the key of the subscriptions (a declared
-    unique test); run the quality suite first, as for Q6.
+    * attributed_subscriptions = count of distinct subscription ids over the
+      joined rows (:func:`distinct_ids`), whether or not the id is a key.
     """
     subs = subscriptions
     if status is not None:
         subs = subs.filter(F.col("status") == status)
-    per_member = subs.groupBy("member_id").agg(
-        F.sum("billed_amount").alias("__billed"),
-        F.countDistinct("subscription_id").alias("__subs"))
+    per_member = subs.groupBy("member_id").agg(F.sum("billed_amount").alias("__billed"))
     pairs = member_campaigns(members, acquisition).groupBy("member_id", "campaign_id") \
         .agg(F.count(F.lit(1)).alias("__k"))
-    joined = per_member.join(pairs, "member_id", "inner")
-    return joined.groupBy("campaign_id").agg(
-        F.sum(F.col("__billed") * F.col("__k")).cast(MONEY_SUM).alias("attributed_mrr"),
-        F.coalesce(F.sum("__subs"), F.lit(0)).cast("bigint").alias("attributed_subscriptions"),
-    )
+    money = per_member.join(pairs, "member_id", "inner").groupBy("campaign_id").agg(
+        F.sum(F.col("__billed") * F.col("__k")).cast(MONEY_SUM).alias("attributed_mrr"))
+    ids = distinct_ids(subs, ["member_id"], pairs.select("member_id", "campaign_id"), ["campaign_id"],
+                       "attributed_subscriptions")
+    return money.join(ids.withColumnRenamed("campaign_id", "__c"), F.col("campaign_id").eqNullSafe(F.col("__c")), "left").select(
+        "campaign_id", "attributed_mrr", F.coalesce("attributed_subscriptions", F.lit(0)).cast("bigint").alias("attributed_subscriptions"))
 
 
 def campaigns_with_revenue(campaigns: DataFrame, attributed: DataFrame) -> DataFrame:
@@ -100,24 +117,26 @@ def revenue_by_segment(subscriptions: DataFrame, members: DataFrame, accounts: D
     """K13 [inferred]: active MRR and active subscriptions by account type and plan name.
 
     Inner joins, since both group columns are declared not null.  As in K14,
-    subscriptions are folded per (member, plan) before any join, and the
-    member -> account type and plan -> plan name sides carry their join
-    multiplicities, so sums keep the fan-out of the plain join while the
-    distinct subscription count is taken over distinct pairs (exact when
-    ``subscription_id`` is the subscriptions key).
+    subscriptions are folded per (member, plan) before any join, the member ->
+    account type and plan -> plan name sides carry their join multiplicities,
+    and distinct subscriptions are counted exactly (:func:`distinct_ids`).
     """
-    per_member_plan = subscriptions.filter(F.col("status") == status).groupBy("member_id", "plan_id").agg(
-        F.sum("billed_amount").alias("__billed"),
-        F.countDistinct("subscription_id").alias("__subs"))
+    active = subscriptions.filter(F.col("status") == status)
+    per_member_plan = active.groupBy("member_id", "plan_id").agg(F.sum("billed_amount").alias("__billed"))
     member_type = members.select("member_id", "account_id").join(
         accounts.select("account_id", "account_type"), "account_id", "inner") \
         .groupBy("member_id", "account_type").agg(F.count(F.lit(1)).alias("__km"))
     plan_name = plans.groupBy("plan_id", "plan_name").agg(F.count(F.lit(1)).alias("__kp"))
-    joined = per_member_plan.join(member_type, "member_id", "inner").join(plan_name, "plan_id", "inner")
-    return joined.groupBy("account_type", "plan_name").agg(
-        F.sum(F.col("__billed") * F.col("__km") * F.col("__kp")).cast(MONEY_SUM).alias("active_mrr"),
-        F.coalesce(F.sum("__subs"), F.lit(0)).cast("bigint").alias("active_subscriptions"),
-    )
+    by = ["account_type", "plan_name"]
+    money = per_member_plan.join(member_type, "member_id", "inner").join(plan_name, "plan_id", "inner") \
+        .groupBy(*by).agg(F.sum(F.col("__billed") * F.col("__km") * F.col("__kp")).cast(MONEY_SUM).alias("active_mrr"))
+    # the groups that the (member, plan) pairs in use belong to
+    groups = per_member_plan.select("member_id", "plan_id").join(member_type, "member_id", "inner") \
+        .join(plan_name, "plan_id", "inner").select("member_id", "plan_id", *by)
+    ids = distinct_ids(active, ["member_id", "plan_id"], groups, by, "active_subscriptions")
+    ids = ids.select(*[F.col(c).alias(f"__{c}") for c in by], "active_subscriptions")
+    return money.join(ids, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by], "left").select(
+        *by, "active_mrr", F.coalesce("active_subscriptions", F.lit(0)).cast("bigint").alias("active_subscriptions"))
 
 
 def month_spine(start: Column, end: Column, frame: DataFrame) -> DataFrame:
@@ -138,7 +157,8 @@ def monthly_revenue(subscriptions: DataFrame, orders: DataFrame, as_of: dt.date
     """K11 [inferred]: one row per month from the first subscription to the as-of month.
 
     A subscription counts in month m when its start month <= m and its end
-    date is null or its end month >= m.  Computed in delta form: +amount at
+    date is null or its end month >= m; so a null start, or an end month
+    before the start month, never counts.  Computed in delta form: +amount at
     the start month, -amount in the month after the end month, summed per
     month (map-side combined to at most one row per month per task), then a
     running sum over the month spine.  The spine has one row per month, so
@@ -149,7 +169,9 @@ def monthly_revenue(subscriptions: DataFrame, orders: DataFrame, as_of: dt.date
     subs = subscriptions.select("start_date", "end_date", "billed_amount")
     start_m = F.trunc("start_date", "month")
     end_next = F.add_months(F.trunc("end_date", "month"), 1)
-    deltas = subs.select(F.explode(F.array(
+    # a row without a start, or with an end before its start month, never counts
+    valid = F.col("start_date").isNotNull() & (F.col("end_date").isNull() | (F.trunc("end_date", "month") >= start_m))
+    deltas = subs.filter(valid).select(F.explode(F.array(
         F.struct(start_m.alias("m"), F.col("billed_amount").alias("amt"), F.lit(1).alias("n")),
         F.when(F.col("end_date").isNotNull(),
                F.struct(end_next.alias("m"), (-F.col("billed_amount")).alias("amt"), F.lit(-1).alias("n"))),

@@ -41,13 +41,43 @@ def read_text_csv(spark: SparkSession, paths: str | Sequence[str], multi_line: b
     casts treat both as missing).  Malformed rows fail the read (FAILFAST).
     ``multi_line`` is needed only when quoted values contain line breaks; it
     makes each file a single split, so it is off by default.
+
+    Columns are matched by name.  Files of several paths are read per
+    distinct header, and their rows are aligned; a file that lacks a column
+    another one has is refused.  With ``schema`` the header of every file must
+    be that schema, in its order; a file with another header fails the read.
     """
     reader = (spark.read.option("header", True).option("inferSchema", False)
               .option("encoding", "UTF-8").option("quote", '"').option("escape", '"')
               .option("multiLine", multi_line).option("mode", "FAILFAST"))
     if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(list(paths) if not isinstance(paths, str) else paths)
+        return reader.schema(schema).option("enforceSchema", False).csv(list(paths) if not isinstance(paths, str) else paths)
+    headers: dict[tuple[str, ...], list[str]] = {}
+    for path in [paths] if isinstance(paths, str) else paths:
+        for file in _files(spark, path):
+            headers.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    first, *others = headers or {(): [paths]}
+    for other in others:
+        if set(other) != set(first):
+            raise ValueError(f"{headers[other][0]} has columns {list(other)}, {headers[first][0]} has {list(first)}")
+    out = None
+    for header, files in headers.items():
+        # the header is checked file by file when it is read
+        part = reader.schema(text_schema(header)).option("enforceSchema", False).csv(files)
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else reader.csv(paths)
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The files that a path, folder or glob stands for (names only, listed by Spark's file system)."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = []
+    for status in system.globStatus(at) or []:
+        inner = system.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [s.getPath().toString() for s in inner if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+    return found or [path]
 
 
 @dataclass

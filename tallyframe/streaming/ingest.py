@@ -32,6 +32,7 @@ def ingest_new_files(spark: SparkSession, source_dir: str, columns: Sequence[str
         checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{name}"
     stream = (spark.readStream.schema(text_schema(columns)).option("header", True)
               .option("quote", '"').option("escape", '"').option("mode", "FAILFAST")
+              .option("enforceSchema", False)   # a file with another header fails instead of being read by position
               .csv(source_dir))
     query = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
              .outputMode("append").trigger(availableNow=True).start(target_path))

@@ -72,3 +72,23 @@ def test_full_refresh_to_a_given_location(spark, scratch):
     assert spark.read.parquet(os.path.join(base, "five")).count() == 5
     again = sinks.load_all(spark, {"five": spark.range(2).withColumnRenamed("id", "k")}, "path_test", base_path=base)
     assert again.collect()[0].rows == 2 and spark.table("path_test.five").count() == 2
+
+
+def test_columns_are_matched_by_name(spark, scratch):
+    import os
+    import pytest
+    from tallyframe.sources.text import read_text_csv, text_schema
+    def put(name, text):
+        path = os.path.join(scratch, name)
+        with open(path, "w") as f:
+            f.write(text)
+        return path
+    one, two = put("a.csv", "id,x\n1,ax\n"), put("b.csv", "x,id\nbx,2\n")
+    want = [("1", "ax"), ("2", "bx")]
+    assert sorted((r.id, r.x) for r in read_text_csv(spark, [one, two]).collect()) == want
+    assert sorted((r.id, r.x) for r in read_text_csv(spark, os.path.join(scratch, "*.csv")).collect()) == want
+    for other in ("id\n3\n", "id,x,y\n3,c,d\n"):
+        with pytest.raises(ValueError):
+            read_text_csv(spark, [one, put("c.csv", other)])
+    with pytest.raises(Exception):
+        read_text_csv(spark, [two], schema=text_schema(["id", "x"])).collect()

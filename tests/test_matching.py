@@ -43,6 +43,10 @@ def test_choose_one_and_quota(spark):
                               entity_date="acquisition_date", campaign_key="campaign_id")
     chosen = mt.choose_one(pairs, "account_id", "campaign_id")
     assert chosen.count() == 4 and chosen.select("account_id").distinct().count() == 4
+    chosen = mt.choose_match(a, c, entity_key="account_id", entity_type="account_type",
+                             entity_date="acquisition_date", campaign_key="campaign_id")
+    assert chosen.count() == 4 and chosen.select("account_id").distinct().count() == 4
+    assert chosen.join(pairs, ["account_id", "campaign_id"], "left_anti").count() == 0
     attributed = mt.attribute_accounts(a, c, fraction="0.55")
     # 6 accounts have a date -> quota floor(3.3) = 3, filled from the 4 eligible ones
     assert attributed.count() == 3
@@ -78,3 +82,22 @@ def test_window_matches_with_a_hot_audience_month(spark):
     assert rows(mt.window_matches(hot, c, hot_rows=50, **kw), "account_id", "campaign_id") == \
         rows(mt.window_matches(hot, c, **kw), "account_id", "campaign_id")
     assert mt.window_matches(hot, c, hot_rows=50, **kw).count() == 5 + 1 + 600
+
+
+def test_choose_match_null_reversed_and_repeated_campaigns(spark):
+    a, c = fixture(spark)
+    odd = spark.createDataFrame([("c4", "ind", None, d("2024-05-01")), ("c5", "ind", d("2024-05-01"), d("2023-01-01")), ("c1", "ind", d("2024-01-10"), d("2024-01-31"))],
+                                c.schema)
+    args = {"entity_key": "account_id", "entity_type": "account_type", "entity_date": "acquisition_date", "campaign_key": "campaign_id"}
+    assert rows(mt.choose_match(a, c.unionByName(odd), **args)) == rows(mt.choose_match(a, c, **args))
+
+
+def test_choose_match_makes_no_pairs(spark):
+    """Rows out of every join are bounded by the entities."""
+    a, c = fixture(spark)
+    many = spark.range(200).select(F.concat(F.lit("x"), "id").alias("campaign_id"), F.lit("ind").alias("target_audience"),
+                                   F.lit("2024-01-01").cast("date").alias("start_date"), F.lit("2024-02-01").cast("date").alias("end_date"))
+    out = mt.choose_match(a, many, entity_key="account_id", entity_type="account_type", entity_date="acquisition_date", campaign_key="campaign_id")
+    assert out.count() == out.select("account_id").distinct().count() == 5
+    days = mt.campaign_days(many, campaign_key="campaign_id")
+    assert days.groupBy("__type", "__day").agg(F.max("__rank").alias("r"), F.max("__open").alias("o")).filter("r <> 200 or o <> 200").count() == 0

@@ -119,3 +119,29 @@ def test_hot_key_with_distinct_rows(spark):
     a = rows(sm.exact_n_sample(df, "0.4", ["k"], hot_rows=100))
     b = rows(sm.exact_n_sample(df.repartition(5, "v"), "0.4", ["k"], hot_rows=100))
     assert a == b and len(a) == 2000
+
+
+def _awkward(spark, n):
+    """One key with distinct contents, nulls and exact copies, another hot key, and ordinary keys."""
+    data = [(0, f"r{i}", i % 3) for i in range(n)] + [(0, "same", 1)] * n + [(0, None, None)] * 7 + [(None, None, 2)] * 9 + [(None, f"n{i}", None) for i in range(n // 2)]
+    data += [(k, "u", k % 5) for k in range(1, 2 * n)]
+    return spark.createDataFrame(data, "k long, v string, w long")
+
+
+@pytest.mark.parametrize("hot_rows", [1, 10, 37])
+def test_hot_and_cold_paths_give_the_same_rows_and_numbers(spark, hot_rows):
+    df = _awkward(spark, 90)
+    assert rows(sm.dense_number(df, ["k"], hot_rows=hot_rows)) == rows(sm.dense_number(df, ["k"]))
+    for frac in ("0.1", "0.5", "0.83"):
+        assert rows(sm.exact_n_sample(df, frac, ["k"], hot_rows=hot_rows)) == rows(sm.exact_n_sample(df, frac, ["k"]))
+
+
+def test_serve_in_order(spark):
+    from tallyframe.operators.quality import CapacityError
+    need = spark.createDataFrame([("a", 2), ("b", 0), ("c", None), ("d", 3), ("e", -1)], "k string, n int")
+    pool = spark.range(6).withColumnRenamed("id", "p")
+    got = rows(sm.serve_in_order(need, ["k"], "n", pool, ["p"]), "pair_no", "k")
+    assert [n for n, _ in got] == [1, 2, 3, 4, 5]
+    assert [k for _, k in got] in (["a", "a", "d", "d", "d"], ["d", "d", "d", "a", "a"])
+    with pytest.raises(CapacityError):
+        sm.serve_in_order(need, ["k"], "n", spark.range(4).withColumnRenamed("id", "p"), ["p"])
