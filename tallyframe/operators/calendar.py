@@ -26,6 +26,9 @@ def _date(v: Column | str | dt.date) -> Column:
     return F.lit(v).cast("date")
 
 
+SPINE_ROWS = 2_000_000  # rows of a spine that one task makes
+
+
 def entity_day_spine(entities: DataFrame, key: str, join_col: str, as_of: Column | dt.date | str,
                      window_days: int = ACTIVITY_WINDOW_DAYS, day_col: str = "activity_date",
                      partitions: int | None = None) -> DataFrame:
@@ -34,15 +37,17 @@ def entity_day_spine(entities: DataFrame, key: str, join_col: str, as_of: Column
     Entities that join after the as-of date get no rows; a null join date
     means the whole window.  The explode multiplies each entity row by up to
     ``window_days``, so the (narrow) entity rows are first hash-spread over
-    ``partitions`` tasks (default: the session's shuffle partitions) - a
-    small entity table stored in one file would otherwise generate the whole
-    spine in one task.
+    ``partitions`` tasks - a small entity table stored in one file would
+    otherwise generate the whole spine in one task.  By default they are
+    counted and as many tasks are taken as give each about
+    ``SPINE_ROWS`` rows, one per core at least.
     """
     end = _date(as_of)
     start = F.date_sub(end, window_days - 1)
     first = F.greatest(F.coalesce(F.col(join_col), start), start)
     if partitions is None:
-        partitions = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        cores = entities.sparkSession.sparkContext.defaultParallelism
+        partitions = max(cores, -(-entities.count() * window_days // SPINE_ROWS))
     spread = entities.filter(first <= end).select(key, first.alias("__first"), end.alias("__end")) \
         .repartition(partitions, key)
     return spread.select(key, F.explode(F.sequence("__first", "__end")).alias(day_col))

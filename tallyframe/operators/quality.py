@@ -91,9 +91,55 @@ def check_relationships(child: DataFrame, column: str, parent: DataFrame, parent
     return _row(model, column, "relationships", orphans)
 
 
+def check_rows(df: DataFrame, model: str, not_null: Sequence[str], accepted: Sequence[tuple[str, Sequence]]) -> DataFrame:
+    """Q-N and Q-A of one model in one pass over it.
+
+    Only offending (test, column, value) entries leave a row; they are grouped
+    map-side, so one row per test and bad value is shuffled.
+    """
+    found = [F.when(F.col(c).isNull(), F.struct(F.lit("not_null").alias("t"), F.lit(c).alias("c"), F.lit(None).cast("string").alias("v")))
+             for c in not_null]
+    found += [F.when(F.col(c).isNotNull() & ~F.col(c).isin(list(values)),
+                     F.struct(F.lit("accepted_values").alias("t"), F.lit(c).alias("c"), F.col(c).cast("string").alias("v")))
+              for c, values in accepted]
+    seen = df.select(F.explode(F.array_compact(F.array(*found))).alias("p")).select("p.*") \
+        .groupBy("t", "c", "v").agg(F.count(F.lit(1)).alias("n"))
+    failures = seen.select("t", "c", F.when(F.col("t") == "not_null", F.col("n")).otherwise(F.lit(1)).alias("n"))
+    return _with_declared(failures, [("not_null", c) for c in not_null] + [("accepted_values", c) for c, _ in accepted]) \
+        .select(F.lit(model).alias("model"), F.col("c").alias("column_name"), F.col("t").alias("test_name"), "failures", "passed")
+
+
+def _with_declared(failures: DataFrame, declared: Sequence[tuple[str, str]]) -> DataFrame:
+    """Failures summed per (t, c), with zero for declared tests that found none."""
+    tests = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(c).alias("c"), F.lit(0).cast("bigint").alias("n")) for t, c in declared])
+    zero = failures.sparkSession.range(1).select(F.explode(tests).alias("d")).select("d.*")
+    return failures.withColumn("n", F.col("n").cast("bigint")).unionByName(zero).groupBy("t", "c") \
+        .agg(F.sum("n").alias("failures")).withColumn("passed", F.col("failures") == 0)
+
+
+def check_references(tests: Sequence[tuple[str, str, DataFrame]], parent: DataFrame, parent_column: str) -> DataFrame:
+    """Q-R of every (model, column, child) that refers to one parent column.
+
+    Each child is grouped by value first; the values of all children meet the
+    parent's distinct keys in one anti join.
+    """
+    values = reduce(lambda a, b: a.unionByName(b), [
+        child.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("v"))
+        .agg(F.count(F.lit(1)).alias("n")).select(F.lit(model).alias("t"), F.lit(column).alias("c"), "v", "n")
+        for model, column, child in tests])
+    keys = parent.select(F.col(parent_column).cast("string").alias("__parent_key")).distinct()
+    orphans = values.join(keys, F.col("v") == F.col("__parent_key"), "left_anti").select("t", "c", "n")
+    return _with_declared(orphans, [(model, column) for model, column, _ in tests]).select(
+        F.col("t").alias("model"), F.col("c").alias("column_name"), F.lit("relationships").alias("test_name"), "failures", "passed")
+
+
 @dataclass
 class Suite:
-    """Q-S: declared tests over named tables, run as one union of small aggregates."""
+    """Q-S: declared tests over named tables, in few passes.
+
+    One pass per model for all its not_null and accepted_values tests, one
+    grouping per unique test, and one anti join per parent column.
+    """
 
     unique: list[tuple[str, str]] = field(default_factory=list)
     not_null: list[tuple[str, str]] = field(default_factory=list)
@@ -101,18 +147,17 @@ class Suite:
     relationships: list[tuple[str, str, str, str]] = field(default_factory=list)
 
     def run(self, tables: Mapping[str, DataFrame]) -> DataFrame:
-        parts: list[DataFrame] = []
-        for model, col in self.unique:
-            parts.append(check_unique(tables[model], col, model))
-        by_model: dict[str, list[str]] = {}
+        parts = [check_unique(tables[model], col, model) for model, col in self.unique]
+        by_model: dict[str, tuple[list[str], list[tuple[str, Sequence]]]] = {}
         for model, col in self.not_null:
-            by_model.setdefault(model, []).append(col)
-        for model, cols in by_model.items():
-            parts.append(check_not_null(tables[model], cols, model))
+            by_model.setdefault(model, ([], []))[0].append(col)
         for model, col, values in self.accepted_values:
-            parts.append(check_accepted_values(tables[model], col, values, model))
+            by_model.setdefault(model, ([], []))[1].append((col, values))
+        parts += [check_rows(tables[model], model, *tests) for model, tests in by_model.items()]
+        by_parent: dict[tuple[str, str], list[tuple[str, str, DataFrame]]] = {}
         for model, col, parent, parent_col in self.relationships:
-            parts.append(check_relationships(tables[model], col, tables[parent], parent_col, model))
+            by_parent.setdefault((parent, parent_col), []).append((model, col, tables[model]))
+        parts += [check_references(tests, tables[parent], col) for (parent, col), tests in by_parent.items()]
         return reduce(lambda a, b: a.unionByName(b), parts)
 
 

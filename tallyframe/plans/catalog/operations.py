@@ -31,27 +31,20 @@ def _band_sql(col: str, idx: int) -> str:
     return f"case {whens} else {fv.DEFAULT_RESOLUTION_DAYS[idx]} end"
 
 
-@register("resolution_bands", f"""
+TICKETS_AS_OF = "2024-02-01"  # early enough to cap some resolution dates
+
+
+@register("resolution_bands", sql(f"""
 select ticket_id, ticket_priority, ticket_status, created_at, band_low, band_high,
        case when lower(ticket_status) like '%closed%' or lower(ticket_status) like '%resolved%'
             then least(created_at + cast(band_low + {h_sql('ticket_id', salt='resolve')} % (band_high - band_low + 1)
-                                         as integer), date '2001-12-31') end as resolved_at
+                                         as integer), date '{TICKETS_AS_OF}') end as resolved_at
 from (
   select *, {_band_sql('ticket_priority', 0)} as band_low, {_band_sql('ticket_priority', 1)} as band_high
-  from (select cast(o_orderkey as varchar) as ticket_id, o_orderpriority as ticket_priority,
-               case o_orderstatus when 'F' then 'Closed' when 'O' then 'Open' else 'Partially resolved' end
-                 as ticket_status,
-               cast(o_orderdate as date) as created_at
-        from orders) t) b""")
+  from (select ticket_id, ticket_priority, ticket_status, created_at from tickets) t) b""", "tickets"))
 def resolution_bands(spark, d):
-    o = td.table(spark, d, "orders")
-    tickets = o.select(
-        F.col("o_orderkey").cast("string").alias("ticket_id"),
-        F.col("o_orderpriority").alias("ticket_priority"),
-        F.when(F.col("o_orderstatus") == "F", "Closed").when(F.col("o_orderstatus") == "O", "Open")
-        .otherwise("Partially resolved").alias("ticket_status"),
-        F.to_date("o_orderdate").alias("created_at"))
-    return op.resolution_bands(tickets, td.ORDERS_AS_OF, seed=td.SEED)
+    """Staged tickets carry all four priorities, the first band's among them."""
+    return op.resolution_bands(c.tickets(spark, d), TICKETS_AS_OF, seed=td.SEED)
 
 
 def _title(code: str) -> str:

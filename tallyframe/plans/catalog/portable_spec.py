@@ -40,7 +40,7 @@ SPEC = {'accounts_with_activity': [('c_custkey', 'text'), ('c_name', 'keep')],
  'dq_accepted_values': [('model', 'keep'),
                         ('column_name', 'keep'),
                         ('test_name', 'keep'),
-                        ('failures', 'keep'),
+                        ('failures', 'text'),
                         ('passed', 'keep')],
  'dq_declared_suite': [('model', 'keep'),
                        ('column_name', 'keep'),
@@ -55,7 +55,7 @@ SPEC = {'accounts_with_activity': [('c_custkey', 'text'), ('c_name', 'keep')],
  'dq_relationships': [('model', 'keep'),
                       ('column_name', 'keep'),
                       ('test_name', 'keep'),
-                      ('failures', 'keep'),
+                      ('failures', 'text'),
                       ('passed', 'keep')],
  'dq_report': [('model', 'keep'),
                ('column_name', 'keep'),
@@ -79,6 +79,17 @@ SPEC = {'accounts_with_activity': [('c_custkey', 'text'), ('c_name', 'keep')],
                           ('count_orders', 'text'),
                           ('avg_length_of_membership_days', 'text'),
                           ('avg_length_of_membership_months', 'text')],
+ 'engagement_over_workouts': [('account_type', 'keep'),
+                              ('tier', 'keep'),
+                              ('count_members', 'keep'),
+                              ('total_billed_amount', 'text'),
+                              ('rev_per_member', 'text'),
+                              ('count_mem_with_current_streak', 'text'),
+                              ('avg_current_streak_length', 'text'),
+                              ('avg_longest_streak_days', 'text'),
+                              ('count_orders', 'text'),
+                              ('avg_length_of_membership_days', 'text'),
+                              ('avg_length_of_membership_months', 'text')],
  'entity_day_spine': [('member_id', 'keep'), ('activity_date', 'text')],
  'exact_n_sample': [('c_custkey', 'text'), ('c_name', 'keep'), ('c_nationkey', 'text')],
  'guarded_ratio': [('campaign_id', 'keep'),

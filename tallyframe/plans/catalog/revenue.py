@@ -8,6 +8,7 @@ from ...operators import streaks as sk
 from ...sources import testdata as td
 from .. import engagement as eg
 from .. import revenue as rv
+from .. import staging as st
 from ..oracle_base import avg_one_place, ratio_money_by_count, ratio_money_by_money, sql
 from . import common as c
 from .registry import register
@@ -155,16 +156,16 @@ def _shared(spark, d):
 
 
 @register("attributed_revenue_shared_ids", sql(f"""
-with subscriptions_s as ({SHARED_SQL})
+select * from (with subscriptions_s as ({SHARED_SQL})
 select campaign_id, cast(mrr as decimal(38,2)) as attributed_mrr, n as attributed_subscriptions
-from ({ATTRIBUTED_SQL.replace("from subscriptions s", "from subscriptions_s s")}) t""", "plans", *REV_DEPS))
+from ({ATTRIBUTED_SQL.replace("from subscriptions s", "from subscriptions_s s")}) t) q""", "plans", *REV_DEPS))
 def attributed_revenue_shared_ids(spark, d):
     return rv.attributed_revenue(_shared(spark, d), c.members(spark, d), c.acquisition(spark, d))
 
 
 @register("revenue_by_segment_shared_ids", sql(f"""
-with subscriptions_s as ({SHARED_SQL})
-{SEGMENT_SQL.replace("from subscriptions s", "from subscriptions_s s")}""", "subscriptions", "members", "accounts", "plans"))
+select * from (with subscriptions_s as ({SHARED_SQL})
+{SEGMENT_SQL.replace("from subscriptions s", "from subscriptions_s s")}) q""", "subscriptions", "members", "accounts", "plans"))
 def revenue_by_segment_shared_ids(spark, d):
     return rv.revenue_by_segment(_shared(spark, d), c.members(spark, d), c.accounts(spark, d), c.plans(spark, d))
 
@@ -275,3 +276,16 @@ def engagement_and_value(spark, d):
     return eg.engagement_and_value(c.members(spark, d), c.accounts(spark, d), c.subscriptions(spark, d),
                                    c.plans(spark, d), c.orders(spark, d), act,
                                    streaks=_streaks(spark, d))
+
+
+WORKOUT_ROWS = ENGAGEMENT_ROWS.replace("from streaks st", "from workout_streaks st").replace("from as_of", "from workout_as_of")
+
+
+@register("engagement_over_workouts", sql(f"""
+select account_type, tier, {M_VALUE}, {M_COND}, {M_LEN}
+from ({WORKOUT_ROWS}) r group by account_type, tier""", "workout_streaks", "workout_as_of", *ENG_DEPS[2:]))
+def engagement_over_workouts(spark, d):
+    """K5 -> K10 -> K15 as in the reference: as-of day and streaks from staged workouts (15-minute rule)."""
+    workouts = st.stage_workouts(td.raw_workouts(spark, d), money=td.MONEY)
+    return eg.engagement_and_value(c.members(spark, d), c.accounts(spark, d), c.subscriptions(spark, d),
+                                   c.plans(spark, d), c.orders(spark, d), workouts)

@@ -26,8 +26,7 @@ def exact_n_sample(spark, d):
 
 
 @register("weighted_assign", f"""
-select c_custkey, {weighted_sql(h_sql('c_custkey', salt='plan_tier'), PLAN_LABELS,
-                                sm.cumulative_thresholds(PLAN_WEIGHTS))} as plan_tier
+select c_custkey, {weighted_sql(h_sql('c_custkey', salt='plan_tier'), PLAN_LABELS, [3221225472, 4294967296])} as plan_tier
 from customer""")
 def weighted_assign(spark, d):
     return sm.weighted_assign(td.table(spark, d, "customer").select("c_custkey"), ["c_custkey"],
@@ -37,7 +36,7 @@ def weighted_assign(spark, d):
 @register("replicate_rows", f"""
 select c_custkey, cast(unnest(generate_series(1, n)) as integer) as copy_no from (
   select c_custkey, {weighted_sql(h_sql('c_custkey', salt='n_orders'), COUNT_LABELS,
-                                  sm.cumulative_thresholds(COUNT_WEIGHTS))} as n from customer) x""")
+                                  [2147483648, 3435973836, 4080218931, 4294967296])} as n from customer) x""")
 def replicate_rows(spark, d):
     c = sm.weighted_assign(td.table(spark, d, "customer").select("c_custkey"), ["c_custkey"],
                            COUNT_LABELS, COUNT_WEIGHTS, "n_orders", td.SEED)

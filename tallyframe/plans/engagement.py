@@ -54,13 +54,14 @@ def member_order_rollup(orders: DataFrame) -> DataFrame:
 def member_tiers(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
     """Subscriptions folded to (member_id, tier): row count and billed total.
 
-    The plan side is one row per plan; AQE broadcasts it after measuring it.
+    Folded per (member, plan) before the plan join, so what meets the few
+    plan keys is one row per member and plan, not one per subscription.
     """
-    return subscriptions.select("member_id", "plan_id", "billed_amount").join(
-        plans.select("plan_id", "tier"), "plan_id", "inner"
-    ).groupBy("member_id", "tier").agg(
-        F.count(F.lit(1)).alias("n_subs"),
-        F.sum("billed_amount").alias("billed"),
+    per_plan = subscriptions.groupBy("member_id", "plan_id").agg(
+        F.count(F.lit(1)).alias("n_subs"), F.sum("billed_amount").alias("billed"))
+    return per_plan.join(plans.select("plan_id", "tier"), "plan_id", "inner").groupBy("member_id", "tier").agg(
+        F.sum("n_subs").alias("n_subs"),
+        F.sum("billed").alias("billed"),
     )
 
 

@@ -199,15 +199,16 @@ cte("acquisition", "select * from raw_acquisition", ("raw_acquisition",))
 
 cte("streaks", """
 select member_id, streak_start_date, streak_end_date, streak_length_days,
-       cast(row_number() over (partition by member_id order by streak_end_date desc) as bigint) as streak_recency_rank
+       cast(rank() over (partition by member_id order by streak_end_date desc) as bigint) as streak_recency_rank
 from (
   select member_id, min(activity_date) as streak_start_date, max(activity_date) as streak_end_date,
-         count(*) as streak_length_days
+         date_diff('day', min(activity_date), max(activity_date)) + 1 as streak_length_days
   from (
-    select member_id, activity_date,
-           activity_date - cast(row_number() over (partition by member_id order by activity_date) as integer) as run_key
-    from activity where is_active_day) k
-  group by member_id, run_key) b""", ("activity",))
+    select *, count(*) filter (where opens) over (partition by member_id order by activity_date) as island
+    from (select member_id, activity_date,
+                 coalesce(activity_date > lag(activity_date) over (partition by member_id order by activity_date) + 1, true) as opens
+          from activity where is_active_day) o) i
+  group by member_id, island) b""", ("activity",))
 
 cte("as_of", "select max(activity_date) as as_of_date from activity", ("activity",))
 
@@ -275,14 +276,15 @@ from raw_workouts""", ("raw_workouts",))
 
 cte("workout_streaks", """
 select member_id, streak_start_date, streak_end_date, streak_length_days,
-       cast(row_number() over (partition by member_id order by streak_end_date desc) as bigint) as streak_recency_rank
+       cast(rank() over (partition by member_id order by streak_end_date desc) as bigint) as streak_recency_rank
 from (
   select member_id, min(activity_date) as streak_start_date, max(activity_date) as streak_end_date,
-         count(*) as streak_length_days
+         date_diff('day', min(activity_date), max(activity_date)) + 1 as streak_length_days
   from (
-    select member_id, activity_date,
-           activity_date - cast(row_number() over (partition by member_id order by activity_date) as integer) as run_key
-    from (select member_id, activity_date, bool_or(is_active_day) as is_active_day
-          from workouts group by member_id, activity_date) g
-    where is_active_day) k
-  group by member_id, run_key) b""", ("workouts",))
+    select *, count(*) filter (where opens) over (partition by member_id order by activity_date) as island
+    from (select member_id, activity_date,
+                 coalesce(activity_date > lag(activity_date) over (partition by member_id order by activity_date) + 1, true) as opens
+          from (select member_id, activity_date from workouts group by all having bool_or(is_active_day)) g) o) i
+  group by member_id, island) b""", ("workouts",))
+
+cte("workout_as_of", "select max(activity_date) as as_of_date from workouts", ("workouts",))
