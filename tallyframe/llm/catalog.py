@@ -13,9 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.llm import jaccard_join, license_scan, near_vectors, packing, piece_tokens, quality_fm, quality_rules, substring_dedup, suffix_dedup, toxicity
+from tallyframe.llm.oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
