@@ -91,30 +91,19 @@ def check_relationships(child: DataFrame, column: str, parent: DataFrame, parent
     return _row(model, column, "relationships", orphans)
 
 
-def check_rows(df: DataFrame, model: str, not_null: Sequence[str], accepted: Sequence[tuple[str, Sequence]]) -> DataFrame:
-    """Q-N and Q-A of one model in one pass over it.
+def _stacked(counts: DataFrame, tests: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """One report row per test from a one-row frame with a column ``f0``, ``f1``, ... of failures each."""
+    rows = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(c).alias("column_name"), F.lit(t).alias("test_name"),
+                              F.coalesce(F.col(f"f{i}"), F.lit(0)).cast("bigint").alias("failures")) for i, (m, c, t) in enumerate(tests)])
+    return counts.select(F.explode(rows).alias("r")).select("r.*").withColumn("passed", F.col("failures") == 0)
 
-    Only offending (test, column, value) entries leave a row; they are grouped
-    map-side, so one row per test and bad value is shuffled.
-    """
-    found = [F.when(F.col(c).isNull(), F.struct(F.lit("not_null").alias("t"), F.lit(c).alias("c"), F.lit(None).cast("string").alias("v")))
-             for c in not_null]
-    found += [F.when(F.col(c).isNotNull() & ~F.col(c).isin(list(values)),
-                     F.struct(F.lit("accepted_values").alias("t"), F.lit(c).alias("c"), F.col(c).cast("string").alias("v")))
-              for c, values in accepted]
-    seen = df.select(F.explode(F.array_compact(F.array(*found))).alias("p")).select("p.*") \
-        .groupBy("t", "c", "v").agg(F.count(F.lit(1)).alias("n"))
-    failures = seen.select("t", "c", F.when(F.col("t") == "not_null", F.col("n")).otherwise(F.lit(1)).alias("n"))
-    return _with_declared(failures, [("not_null", c) for c in not_null] + [("accepted_values", c) for c, _ in accepted]) \
-        .select(F.lit(model).alias("model"), F.col("c").alias("column_name"), F.col("t").alias("test_name"), "failures", "passed")
-
-
-def _with_declared(failures: DataFrame, declared: Sequence[tuple[str, str]]) -> DataFrame:
-    """Failures summed per (t, c), with zero for declared tests that found none."""
-    tests = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(c).alias("c"), F.lit(0).cast("bigint").alias("n")) for t, c in declared])
-    zero = failures.sparkSession.range(1).select(F.explode(tests).alias("d")).select("d.*")
-    return failures.withColumn("n", F.col("n").cast("bigint")).unionByName(zero).groupBy("t", "c") \
-        .agg(F.sum("n").alias("failures")).withColumn("passed", F.col("failures") == 0)
+
+def check_rows(df: DataFrame, model: str, not_null: Sequence[str], accepted: Sequence[tuple[str, Sequence]]) -> DataFrame:
+    """Q-N and Q-A of one model in one aggregation over one scan."""
+    counts = [F.count_if(F.col(c).isNull()) for c in not_null]
+    counts += [F.count_distinct(F.when(~F.col(c).isin(list(values)), F.col(c))) for c, values in accepted]
+    tests = [(model, c, "not_null") for c in not_null] + [(model, c, "accepted_values") for c, _ in accepted]
+    return _stacked(df.agg(*[n.alias(f"f{i}") for i, n in enumerate(counts)]), tests)
 
 
 def check_references(tests: Sequence[tuple[str, str, DataFrame]], parent: DataFrame, parent_column: str) -> DataFrame:
@@ -125,12 +114,12 @@ def check_references(tests: Sequence[tuple[str, str, DataFrame]], parent: DataFr
     """
     values = reduce(lambda a, b: a.unionByName(b), [
         child.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n")).select(F.lit(model).alias("t"), F.lit(column).alias("c"), "v", "n")
-        for model, column, child in tests])
+        .agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("k"), "v", "n")
+        for k, (_, column, child) in enumerate(tests)])
     keys = parent.select(F.col(parent_column).cast("string").alias("__parent_key")).distinct()
-    orphans = values.join(keys, F.col("v") == F.col("__parent_key"), "left_anti").select("t", "c", "n")
-    return _with_declared(orphans, [(model, column) for model, column, _ in tests]).select(
-        F.col("t").alias("model"), F.col("c").alias("column_name"), F.lit("relationships").alias("test_name"), "failures", "passed")
+    orphans = values.join(keys, F.col("v") == F.col("__parent_key"), "left_anti")
+    counts = orphans.agg(*[F.sum(F.when(F.col("k") == k, F.col("n"))).alias(f"f{k}") for k in range(len(tests))])
+    return _stacked(counts, [(model, column, "relationships") for model, column, _ in tests])
 
 
 @dataclass

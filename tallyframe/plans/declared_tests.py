@@ -20,6 +20,7 @@ from ..fixed_values import (ACCOUNT_STATUSES, ACCOUNT_TYPES, AUDIENCES, CAMPAIGN
                             ELIGIBILITY_STATUSES, ORDER_STATUSES, ORDER_TYPES, PLAN_TIERS, SUBSCRIPTION_STATUSES,
                             TICKET_CATEGORIES)
 from ..operators import streaks as sk
+from ..session import ensure_checkpoint_dir
 from ..operators.quality import Suite
 from . import revenue as rv
 from .build import stage_all
@@ -72,9 +73,15 @@ DECLARED_SUITE = Suite(
 )
 
 
-def models(raw: Mapping[str, DataFrame], as_of: dt.date | str, money: str | None = None) -> dict[str, DataFrame]:
-    """Every relation the declared suite tests, built from the raw text tables."""
+def models(raw: Mapping[str, DataFrame], as_of: dt.date | str, money: str | None = None,
+           keep: bool = False) -> dict[str, DataFrame]:
+    """Every relation the declared suite tests, built from the raw text tables.
+
+    With ``keep`` the derived models are checkpointed to the shared folder, so
+    that several tests of one model do not build it again.
+    """
     m = stage_all(raw, money)
+    staged = set(m)
     m["int_member_streaks"] = sk.member_streaks(m["stg_workouts"])
     m["int_monthly_revenue"] = rv.monthly_revenue(m["stg_subscriptions"], m["stg_orders"], as_of)
     m["mart_revenue_trend"] = rv.revenue_trend(m["int_monthly_revenue"])
@@ -83,9 +90,13 @@ def models(raw: Mapping[str, DataFrame], as_of: dt.date | str, money: str | None
     m["mart_revenue_by_campaign"] = rv.revenue_by_campaign(m["stg_subscriptions"], m["stg_members"],
                                                            m["stg_account_acquisition"], m["stg_campaigns"],
                                                            sort=False)
+    if keep:
+        ensure_checkpoint_dir(m["stg_members"].sparkSession)
+        m |= {name: df.checkpoint() for name, df in m.items() if name not in staged and name != "mart_revenue_trend"}
+        m["mart_revenue_trend"] = rv.revenue_trend(m["int_monthly_revenue"])
     return m
 
 
 def run_declared_suite(raw: Mapping[str, DataFrame], as_of: dt.date | str, money: str | None = None) -> DataFrame:
     """The reference's 57 column tests over models built from ``raw``."""
-    return DECLARED_SUITE.run(models(raw, as_of, money))
+    return DECLARED_SUITE.run(models(raw, as_of, money, keep=True))
