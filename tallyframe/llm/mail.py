@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 BATCH = "__tf_batch"
 MESSAGES = "__tf_to int, __tf_from int, __tf_payload binary"
 _SCHEMA = pa.schema([("__tf_to", pa.int32()), ("__tf_from", pa.int32()), ("__tf_payload", pa.binary())])
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 10 << 20
 LEAST_BATCHES = 64
 LAST_ID = np.iinfo(np.int64).max
 

@@ -3,7 +3,7 @@
 A window is ``WINDOW`` consecutive words.  Each window is counted under its
 anchor, the ``GRAM``-word gram of least hash inside it: windows with equal
 words have equal anchors, so an anchor's count is at least the window's.
-First pass: every batch of documents adds its anchors (once per document) to
+First pass: every part of the documents, where it is read, adds its anchors (once per document) to
 a count-min sketch; the partition sketches are sent as sparse slices, summed
 slice by slice, and kept as one bit per cell ("two or more").  The merged
 sketch never underestimates, so no repeated window is lost.  Second pass:
@@ -26,6 +26,7 @@ result; extra columns of any name are carried only when asked for.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,6 +43,7 @@ WINDOW, GRAM = 50, 16
 ROWS = 2
 LEAST_BITS, MOST_BITS = 16, 30
 SLICES = 64
+PART_BYTES = 8 << 20
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
@@ -87,18 +89,24 @@ def sketch(docs: DataFrame, bits: int, most_slices: int = SLICES) -> list[np.nda
     """For each row of the merged sketch, one bit per cell: counted at least twice."""
     width = max(0, bits - (most_slices.bit_length() - 1))
 
-    def count(batch: int, table: pa.Table) -> pa.Table:
-        w = Windows.of(table.column("text"))
-        keys = []
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, off = A.text_bytes(batch.column(0))
+            for i, j in A.slices(off, PART_BYTES):
+                yield from messages(Windows.of(batch.column(0).slice(i, j - i))).to_batches()
+
+    def messages(w: Windows) -> pa.Table:
+        docs, anchors = [], []
         for pos, anchor, _, _ in w.blocks():
-            pair = np.lexsort((anchor, w.doc[pos]))
-            pair = pair[A.group_starts(w.doc[pos][pair], anchor[pair])]
-            keys.append(np.stack([w.doc[pos][pair].astype(A.U64), anchor[pair]]))
-        if not keys:
+            doc = w.doc[pos]
+            run = A.group_starts(doc, anchor)  # neighbouring windows mostly share their anchor
+            docs.append(doc[run])
+            anchors.append(anchor[run])
+        if not docs:
             return M.messages([])
-        both = np.concatenate(keys, axis=1)
-        order = np.lexsort((both[1], both[0]))
-        anchor = both[1][order][A.group_starts(both[0][order], both[1][order])]
+        doc, anchor = np.concatenate(docs), np.concatenate(anchors)
+        order = np.lexsort((anchor, doc))
+        anchor = anchor[order][A.group_starts(doc[order], anchor[order])]
         out = []
         for row in range(ROWS):
             c = np.sort(cells(anchor, row, bits))
@@ -108,7 +116,7 @@ def sketch(docs: DataFrame, bits: int, most_slices: int = SLICES) -> list[np.nda
             part = (c >> A.U64(width)).astype(np.int64)
             cut = np.r_[A.group_starts(part), len(c)]
             low = (c & A.U64((1 << width) - 1)).astype(np.uint32)
-            out += [(int(part[a]) * ROWS + row, batch, M.pack(low[a:b], times[a:b])) for a, b in zip(cut, cut[1:], strict=False)]
+            out += [(int(part[a]) * ROWS + row, 0, M.pack(low[a:b], times[a:b])) for a, b in zip(cut, cut[1:], strict=False)]
         return M.messages(out)
 
     def merge(key: int, table: pa.Table) -> pa.Table:
@@ -118,7 +126,7 @@ def sketch(docs: DataFrame, bits: int, most_slices: int = SLICES) -> list[np.nda
         return M.messages([(key, 0, M.pack(np.packbits(total >= 2)))])
 
     merged = [np.zeros((1 << bits) // 8, np.uint8) for _ in range(ROWS)]
-    for r in M.answer(M.ask(docs, count), merge).collect():  # at most ROWS * 2**bits / 8 bytes, bounded by MOST_BITS
+    for r in M.answer(docs.select("text").mapInArrow(count, M.MESSAGES), merge).collect():  # at most ROWS * 2**bits / 8 bytes, bounded by MOST_BITS
         part, row = divmod(r["__tf_to"], ROWS)
         size = (1 << width) // 8
         merged[row][part * size : (part + 1) * size] = M.unpack(r["__tf_payload"])[0]
@@ -173,7 +181,7 @@ def dedup(docs: DataFrame, carry: list[str] = (), keep_text: bool = False) -> Da
     bits = min(MOST_BITS, max(LEAST_BITS, (4 * total // 100).bit_length()))
     batches, n = M.batched(docs.select("doc_id", "text", *[F.col(c).alias(f"__tf_c{i}") for i, c in enumerate(carry)]), total)
     plain = batches.select("doc_id", "text", M.BATCH)
-    bitmaps = spark.sparkContext.broadcast(sketch(plain, bits))
+    bitmaps = spark.sparkContext.broadcast(sketch(docs, bits))
 
     def ask(batch: int, table: pa.Table) -> pa.Table:
         w = Windows.of(table.column("text"))
