@@ -34,7 +34,7 @@ from tallyframe.llm.suffix_sort import sort_suffixes, words
 
 MARK = "▁"  # stands for a blank in pieces
 RAW_MARK = MARK.encode()
-SLICE = 8 << 20
+SLICE = 4 << 20
 ENCODED = "doc_id long, n_ids long, ids array<int>, decodes_back boolean"
 
 
