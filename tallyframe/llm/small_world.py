@@ -89,7 +89,7 @@ class Graph:
     def search(self, k: int, q: np.ndarray, start: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, similarities) of the ``beam`` best found in a layer, best first; -1 and -inf where fewer."""
         table, n = self.layers[k], len(q)
-        seen = np.zeros((n, len(self.x)), bool)
+        seen = np.zeros((n, len(self.x) + 1), bool)  # the spare last column takes the -1 of free places
         rows = np.arange(n)
         ids = np.full((n, beam), -1, np.int32)
         sims = np.full((n, beam), -np.inf, np.float32)
@@ -107,7 +107,7 @@ class Graph:
             open_[go, pick] = False
             near = table[node]
             fresh = (near >= 0) & ~seen[go[:, None], near]
-            seen[go[:, None], near] |= near >= 0
+            seen[go[:, None], near] = True
             value = np.einsum("nkd,nd->nk", self.x[near], q[go])
             value[~fresh] = -np.inf
             better = value > sims[go].min(axis=1)[:, None]

@@ -1,6 +1,7 @@
 """Operator 5 against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyframe.llm import near_vectors
@@ -70,3 +71,19 @@ def test_graph_finds_neighbours():
     true = set(zip(*np.nonzero(x[:600] @ x.T >= 0.9)))
     found = set(zip(row.tolist(), node.tolist()))
     assert found <= true and len(found) >= 0.97 * len(true)
+
+
+def shard(ids, x):
+    return near_vectors.build_shard(pa.table([pa.array(ids, pa.int64()), pa.array([1] * len(ids), pa.int64()), pa.array(x.astype(np.float32).tolist(), pa.list_(pa.float32()))],
+                                             names=["vec_id", "copies", "embedding"]))
+
+
+def test_last_vector_of_a_shard_is_found():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(600, 24))
+    x[450] = x[299] * 1.5 + 1e-3  # the only link: to the largest vec_id of the left shard
+    left, right = shard(range(300), x[:300]), shard(range(300, 600), x[300:])
+    assert near_vectors.search_shards(left, right).to_pylist() == [{"a": 299, "b": 299, "links": 1}, {"a": 450, "b": 299, "links": 1}]
+    graph = near_vectors.open_shard(left)[3]
+    ids, _ = graph.search(0, graph.x, np.full((300, 1), graph.entry, np.int32), 24)
+    assert all(len(set(r)) == len(r) for r in ids.tolist()) and (ids == 299).any()
