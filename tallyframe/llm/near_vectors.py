@@ -6,8 +6,10 @@ shard's hierarchical graph is built once and stored; then every shard's
 vectors query every shard of their label (each pair of shards once), a
 query block at a time.  A query is a beam search followed by a walk through
 all vectors near enough.  For an audit, queries chosen by hash are compared
-with brute force over the shard; while their recall is below ``RECALL``, the
-beam is doubled and all queries are repeated, up to an exhaustive beam.  Each
+with brute force over the shard, a vector's match with itself left out: the
+recall of their ``NEAREST`` nearest vectors (never empty, however rare links
+are) and of their links must both reach ``RECALL``.  Until they do, the beam
+is doubled; past ``WIDEST`` all queries are compared by brute force.  Each
 link found is verified by its cosine in double precision.  A pair of shards
 returns, for each vector, the number of links (copies counted) and one edge
 to the smallest vector it is joined with there, never the pairs themselves,
@@ -33,7 +35,7 @@ from tallyframe.llm.components import components
 from tallyframe.llm.shared import stored
 from tallyframe.llm.small_world import LOT, Graph
 
-LEAST, RECALL, AUDIT, FIRST_BEAM, SHARD_ROWS = 0.98, 0.97, 64, 24, 8192
+LEAST, RECALL, AUDIT, NEAREST, FIRST_BEAM, WIDEST, SHARD_ROWS = 0.98, 0.97, 64, 10, 24, 768, 8192
 #: single-precision similarities may be off by this much before verification
 SLACK = 1e-5
 
@@ -70,28 +72,43 @@ def open_shard(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, Grap
     return ids, count, x, Graph(unit(x), [t.reshape(len(ids), w) for t, w in zip(layers, shape[2:], strict=True)], int(shape[1]))
 
 
-def find(graph: Graph, x: np.ndarray, q: np.ndarray, beam: int):
-    """Verified (query, vector) pairs, a block of queries at a time."""
+def find(graph: Graph, x: np.ndarray, q: np.ndarray, beam: int | None):
+    """Verified (query, vector) pairs, a block of queries at a time; all there are if ``beam`` is None."""
     qu = unit(q)
     for a in range(0, len(q), LOT):
-        row, node = graph.within(qu[a : a + LOT], LEAST - SLACK, beam)
+        part = qu[a : a + LOT]
+        row, node = np.nonzero(part @ graph.x.T >= LEAST - SLACK) if beam is None else graph.within(part, LEAST - SLACK, beam)
         for lo in range(0, len(row), 1 << 18):
             r, c = row[lo : lo + (1 << 18)] + a, node[lo : lo + (1 << 18)]
             fit = exact(q[r], x[c]) >= LEAST
             yield r[fit], c[fit]
 
 
-def audited_beam(graph: Graph, x: np.ndarray, q: np.ndarray, q_ids: np.ndarray) -> int:
-    """The first beam whose recall over the audit queries is high enough."""
-    sample = q[np.argsort(A.mix(q_ids.view(A.U64), 61), kind="stable")[:AUDIT]]
-    row, col = np.nonzero(unit(sample) @ graph.x.T >= LEAST - SLACK)
-    truth = int((exact(sample[row], x[col]) >= LEAST).sum())
-    beam = FIRST_BEAM
-    while beam < len(x):
-        if sum(len(r) for r, _ in find(graph, x, sample, beam)) >= RECALL * truth:
+def audited_beam(graph: Graph, x: np.ndarray, q: np.ndarray, q_ids: np.ndarray, own: bool) -> int | None:
+    """The first beam whose recall over the audit queries is high enough (None: none is, compare all).
+    ``own``: the queries are the shard's vectors, in its order."""
+    pick = np.argsort(A.mix(q_ids.view(A.U64), 61), kind="stable")[:AUDIT]
+    sample, itself = q[pick], pick[:, None] if own else np.full((len(pick), 1), -1)
+    sims = unit(sample) @ graph.x.T
+    if own:
+        np.put_along_axis(sims, itself, -np.inf, 1)
+    k = min(NEAREST, len(x) - own)
+    if not k:
+        return FIRST_BEAM
+    # a vector as near as the k-th counts in its place
+    last = np.partition(sims, len(x) - k, axis=1)[:, len(x) - k, None] - SLACK
+
+    def links(beam: int | None) -> int:
+        return sum(int((itself[r, 0] != c).sum()) for r, c in find(graph, x, sample, beam))
+
+    truth, beam = links(None), FIRST_BEAM
+    while beam <= WIDEST:
+        ids, value = graph.nearest(unit(sample), beam)
+        near = np.minimum(((value >= last) & (ids >= 0) & (ids != itself)).sum(axis=1), k).sum()
+        if near >= RECALL * k * len(sample) and links(beam) >= RECALL * truth:
             return beam
         beam *= 2
-    return len(x)
+    return None
 
 
 def search_shards(left: bytes, right: bytes | None) -> pa.Table:
@@ -106,7 +123,7 @@ def search_shards(left: bytes, right: bytes | None) -> pa.Table:
     links, root = np.zeros(shift + len(q_ids), np.int64), np.arange(shift + len(q_ids))
     all_ids = ids if right is None else np.r_[ids, q_ids]
     met: list[np.ndarray] = []
-    for r, c in find(graph, x, q, audited_beam(graph, x, q, q_ids)):
+    for r, c in find(graph, x, q, audited_beam(graph, x, q, q_ids, right is None)):
         if right is None:
             r, c = r[r != c], c[r != c]
             met.append(np.unique(np.minimum(r, c) * n + np.maximum(r, c)))

@@ -120,13 +120,17 @@ class Graph:
             ids[go] = np.where(np.isfinite(sims[go]), np.take_along_axis(all_ids, order, 1), -1)
             open_[go] = np.take_along_axis(all_open, order, 1) & (ids[go] >= 0)
 
-    def within(self, q: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, vector) pairs found with a similarity of at least ``least``: a beam search, then
-        the whole neighbourhood of what it found, step by step through vectors that are near enough."""
+    def nearest(self, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, similarities) of the ``beam`` best found from the top layer down."""
         near = np.full((len(q), 1), self.entry, np.int32)
         for k in range(len(self.layers) - 1, 0, -1):
             near = self.search(k, q, near, 1)[0]
-        ids, sims = self.search(0, q, near, beam)
+        return self.search(0, q, near, beam)
+
+    def within(self, q: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, vector) pairs found with a similarity of at least ``least``: a beam search, then
+        the whole neighbourhood of what it found, step by step through vectors that are near enough."""
+        ids, sims = self.nearest(q, beam)
         row, col = np.nonzero(sims >= least)
         node = ids[row, col].astype(np.int64)
         seen = np.zeros((len(q), len(self.x)), bool)

@@ -87,3 +87,21 @@ def test_last_vector_of_a_shard_is_found():
     graph = near_vectors.open_shard(left)[3]
     ids, _ = graph.search(0, graph.x, np.full((300, 1), graph.entry, np.int32), 24)
     assert all(len(set(r)) == len(r) for r in ids.tolist()) and (ids == 299).any()
+
+
+def test_audit_measures_without_links():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(900, 24))
+    ids, _, left, graph = near_vectors.open_shard(shard(range(900), x))
+    q = rng.normal(size=(200, 24)).astype(np.float32)
+    q_ids = np.arange(1000, 1200)
+    assert near_vectors.audited_beam(graph, left, q, q_ids, False) is not None
+    # a broken graph finds nothing but its entry, and a self match is no proof: all is compared then
+    graph.layers = [np.full_like(t, -1) for t in graph.layers]
+    assert near_vectors.audited_beam(graph, left, q, q_ids, False) is None
+    # every vector finds itself and nothing else
+    graph.search = lambda k, u, start, beam: (np.pad((u @ graph.x.T).argmax(axis=1)[:, None].astype(np.int32), ((0, 0), (0, beam - 1)), constant_values=-1),
+                                              np.pad((u @ graph.x.T).max(axis=1)[:, None], ((0, 0), (0, beam - 1)), constant_values=-np.inf))
+    assert near_vectors.audited_beam(graph, left, left, ids, True) is None
+    r, c = (np.concatenate(z) for z in zip(*near_vectors.find(graph, left, left, None)))
+    assert (r == c).all() and len(r) == 900
