@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import jaccard_join, license_scan, near_vectors, packing, piece_tokens, quality_fm, quality_rules, substring_dedup, suffix_dedup, toxicity
+from tallyframe.llm import fair_mix, jaccard_join, license_scan, near_vectors, packing, piece_tokens, quality_fm, quality_rules, substring_dedup, suffix_dedup, toxicity
 from tallyframe.llm.oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,8 @@ def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fair_mix.per_document(fair_mix.mix(table(spark, sf_dir, "documents")))

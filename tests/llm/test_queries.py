@@ -29,7 +29,7 @@ def test_sql_twins(spark, con, name):
 
 def test_all_registered():
     names = entry.queries()
-    assert all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 11)) and "pipeline" in names
+    assert all(any(k.startswith(f"op{n}_") for k in names) for n in range(1, 14)) and "pipeline" in names
     assert [k for k, _ in corpus_pipeline.STAGES] == ["toxicity", "quality rules", "n-gram Jaccard join", "substring dedup", "best-fit packing"]
 
 
