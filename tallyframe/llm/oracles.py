@@ -64,4 +64,23 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_
 FROM d LEFT JOIN gone USING (doc_id)
 """
 
-ORACLES = {"op2_suffix_dedup": BYTES, "op3_jaccard_join": JACCARD, "op5_near_vectors": VECTORS, "op7_substring_dedup": PASSAGES}
+PHRASES = f"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER_AZ}, '[.,;:!?\x0A-\x0D]')) AS t FROM documents),
+w AS (SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM piece),
+g AS (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) ks(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL),
+total AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
+candidate AS (SELECT * FROM f WHERE k >= 2 AND f >= 100),
+alone AS (SELECT * FROM candidate c WHERE NOT EXISTS (SELECT 1 FROM candidate x WHERE x.lang = c.lang AND x.k > c.k AND 100 * x.f >= 100 * c.f
+            AND contains(' ' || x.phrase || ' ', ' ' || c.phrase || ' '))),
+cut AS (SELECT lang, phrase, k, f, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS j FROM alone),
+scored AS (SELECT cut.lang, cut.phrase, cut.j, cut.f AS a, x.f AS l, y.f AS r, n, (1000::HUGEINT * cut.f * n) // (x.f::HUGEINT * y.f) AS score
+  FROM cut JOIN total USING (lang)
+  JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(cut.w[:cut.j], ' ')
+  JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(cut.w[cut.j + 1:], ' ')),
+least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+top AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM least)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM top WHERE rank <= 2000
+"""
+
+ORACLES = {"op2_suffix_dedup": BYTES, "op3_jaccard_join": JACCARD, "op5_near_vectors": VECTORS, "op7_substring_dedup": PASSAGES, "op12_collocations": PHRASES}
