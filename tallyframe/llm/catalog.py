@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import collocations, fair_mix, jaccard_join, license_scan, near_vectors, packing, piece_tokens, quality_fm, quality_rules, substring_dedup, suffix_dedup, toxicity
+from tallyframe.llm import collocations, fair_mix, jaccard_join, license_scan, near_vectors, packing, piece_tokens, quality_fm, quality_rules, substring_dedup, suffix_dedup, toxicity, whitening
 from tallyframe.llm.oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +89,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
