@@ -22,9 +22,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .bloom import surely_absent
+
+SMALL_DEMAND = 1_000_000        # rows; a limit gathers them in one task
 REPORT_COLUMNS = ["model", "column_name", "test_name", "failures", "passed"]
 
 
@@ -48,17 +52,62 @@ def unexpected_values(df: DataFrame, column: str, values: Sequence) -> DataFrame
         .groupBy(column).agg(F.count(F.lit(1)).alias("occurrences"))
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+_TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type in which values of two column types are compared.
+
+    Equal types stay; whole numbers take the wider type; with decimals, a
+    decimal that holds both (38 digits at most: a value of one side that does
+    not fit cannot equal any of the other); with floats, double; of two date
+    or time types, the timestamp.  Text is compared as the other side's type,
+    and text that does not parse equals nothing.
+    """
+    if a == b:
+        return a
+    kinds = {type(a), type(b)}
+    if T.StringType in kinds:
+        return b if isinstance(a, T.StringType) else a
+    if kinds <= set(_INTEGRAL):
+        return max((a, b), key=lambda t: _DIGITS[type(t)])
+    if kinds <= {*_INTEGRAL, T.DecimalType}:
+        scale = max(t.scale if isinstance(t, T.DecimalType) else 0 for t in (a, b))
+        whole = max(t.precision - t.scale if isinstance(t, T.DecimalType) else _DIGITS[type(t)] for t in (a, b))
+        return T.DecimalType(min(38, whole + scale), scale)
+    if kinds <= {*_INTEGRAL, T.DecimalType, T.FloatType, T.DoubleType}:
+        return T.DoubleType()
+    if kinds <= set(_TIMES):
+        return T.TimestampType() if T.TimestampType in kinds else T.TimestampNTZType()
+    raise TypeError(f"values of {a.simpleString()} and {b.simpleString()} cannot be compared")
+
+
+def as_type(column: Column, given: T.DataType, wanted: T.DataType) -> Column:
+    """``column`` in the type it is compared in; null where it has no such value."""
+    out = column if given == wanted else column.try_cast(wanted)
+    # one zero: as in joins and groupings
+    return out + F.lit(0.0) if isinstance(wanted, (T.FloatType, T.DoubleType)) else out
+
+
 def orphan_values(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Q-R detail (J10): each non-null child value missing from the parent, with its row count.
 
-    The child is grouped by value first (map-side combined), so the anti join
-    sees one row per distinct value however skewed the child is.  The parent
-    side is reduced to its distinct keys; AQE broadcasts it when it is small.
+    Both sides are compared in their :func:`common_type`.  The child is
+    grouped by value first (map-side combined), so what follows sees one row
+    per distinct value however skewed the child is.  A Bloom filter of the
+    parent's keys tells the values that are surely missing; only the doubtful
+    ones meet the parent's distinct keys in the anti join.
     """
+    own, other = child.schema[column].dataType, parent.schema[parent_column].dataType
+    wanted = common_type(own, other)
     keys = child.select(column).filter(F.col(column).isNotNull()).groupBy(column) \
-        .agg(F.count(F.lit(1)).alias("occurrences"))
-    parent_keys = parent.select(F.col(parent_column).alias("__parent_key")).distinct()
-    return keys.join(parent_keys, keys[column] == parent_keys["__parent_key"], "left_anti")
+        .agg(F.count(F.lit(1)).alias("occurrences")).withColumn("__v", as_type(F.col(column), own, wanted))
+    parent_keys = parent.select(as_type(F.col(parent_column), other, wanted).alias("__parent_key"))
+    told = surely_absent(keys, "__v", parent_keys, "__parent_key", "__absent")
+    doubtful = told.filter(~F.col("__absent")).join(parent_keys.distinct(), F.col("__v") == F.col("__parent_key"), "left_anti")
+    return told.filter("__absent").unionByName(doubtful).select(column, "occurrences")
 
 
 def _row(model: str, column: str, test: str, failures) -> DataFrame:
@@ -91,43 +140,17 @@ def check_relationships(child: DataFrame, column: str, parent: DataFrame, parent
     return _row(model, column, "relationships", orphans)
 
 
-def _stacked(counts: DataFrame, tests: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """One report row per test from a one-row frame with a column ``f0``, ``f1``, ... of failures each."""
-    rows = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(c).alias("column_name"), F.lit(t).alias("test_name"),
-                              F.coalesce(F.col(f"f{i}"), F.lit(0)).cast("bigint").alias("failures")) for i, (m, c, t) in enumerate(tests)])
-    return counts.select(F.explode(rows).alias("r")).select("r.*").withColumn("passed", F.col("failures") == 0)
-
-
-def check_rows(df: DataFrame, model: str, not_null: Sequence[str], accepted: Sequence[tuple[str, Sequence]]) -> DataFrame:
-    """Q-N and Q-A of one model in one aggregation over one scan."""
-    counts = [F.count_if(F.col(c).isNull()) for c in not_null]
-    counts += [F.count_distinct(F.when(~F.col(c).isin(list(values)), F.col(c))) for c, values in accepted]
-    tests = [(model, c, "not_null") for c in not_null] + [(model, c, "accepted_values") for c, _ in accepted]
-    return _stacked(df.agg(*[n.alias(f"f{i}") for i, n in enumerate(counts)]), tests)
-
-
-def check_references(tests: Sequence[tuple[str, str, DataFrame]], parent: DataFrame, parent_column: str) -> DataFrame:
-    """Q-R of every (model, column, child) that refers to one parent column.
-
-    Each child is grouped by value first; the values of all children meet the
-    parent's distinct keys in one anti join.
-    """
-    values = reduce(lambda a, b: a.unionByName(b), [
-        child.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("k"), "v", "n")
-        for k, (_, column, child) in enumerate(tests)])
-    keys = parent.select(F.col(parent_column).cast("string").alias("__parent_key")).distinct()
-    orphans = values.join(keys, F.col("v") == F.col("__parent_key"), "left_anti")
-    counts = orphans.agg(*[F.sum(F.when(F.col("k") == k, F.col("n"))).alias(f"f{k}") for k in range(len(tests))])
-    return _stacked(counts, [(model, column, "relationships") for model, column, _ in tests])
-
-
 @dataclass
 class Suite:
-    """Q-S: declared tests over named tables, in few passes.
-
-    One pass per model for all its not_null and accepted_values tests, one
-    grouping per unique test, and one anti join per parent column.
+    """Q-S: declared tests over named tables: one scan per table and one grouping for all tests.
+
+    Every row tells, per test on its table, the value the test is about (if
+    any): the value of a unique column, a null, a value outside the list, a
+    child's reference, a parent's key.  All of them meet in one grouping by
+    (test group, value), combined map-side; the tests that refer to one
+    parent column share a group with that column's keys, so an orphan is a
+    value without a parent's entry and no join is needed.  References are
+    compared in the :func:`common_type` of child and parent.
     """
 
     unique: list[tuple[str, str]] = field(default_factory=list)
@@ -136,18 +159,63 @@ class Suite:
     relationships: list[tuple[str, str, str, str]] = field(default_factory=list)
 
     def run(self, tables: Mapping[str, DataFrame]) -> DataFrame:
-        parts = [check_unique(tables[model], col, model) for model, col in self.unique]
-        by_model: dict[str, tuple[list[str], list[tuple[str, Sequence]]]] = {}
+        entries: dict[str, list[Column]] = {}              # per model: what its rows tell
+        tests: list[tuple[str, str, str, int, int]] = []   # model, column, test, group, slot
+        groups: dict[object, int] = {}
+        slots: dict[int, int] = {}
+
+        def tell(model: str, group: int, slot: int, value: Column) -> None:
+            entries.setdefault(model, []).append(F.struct(F.lit(group).alias("g"), F.lit(slot).alias("slot"), value.cast("string").alias("v")))
+
+        def declare(model: str, column: str, test: str, key: object, value: Column) -> None:
+            group = groups.setdefault(key, len(groups))
+            slot = slots[group] = slots.get(group, 0) + 1
+            tests.append((model, column, test, group, slot))
+            tell(model, group, slot, value)
+
+        kind = {m: {f.name: f.dataType for f in df.schema.fields} for m, df in tables.items()}
+        whole = []                                          # columns whose text does not tell values apart
+        for model, col in self.unique:
+            if isinstance(kind[model][col], (T.ArrayType, T.MapType, T.StructType)):
+                whole.append(check_unique(tables[model], col, model))
+            else:
+                declare(model, col, "unique", ("unique", model, col), as_type(F.col(col), kind[model][col], kind[model][col]))
         for model, col in self.not_null:
-            by_model.setdefault(model, ([], []))[0].append(col)
+            declare(model, col, "not_null", ("not_null", model, col), F.when(F.col(col).isNull(), F.lit("")))
         for model, col, values in self.accepted_values:
-            by_model.setdefault(model, ([], []))[1].append((col, values))
-        parts += [check_rows(tables[model], model, *tests) for model, tests in by_model.items()]
-        by_parent: dict[tuple[str, str], list[tuple[str, str, DataFrame]]] = {}
+            declare(model, col, "accepted_values", ("accepted_values", model, col, *values), F.when(~F.col(col).isin(list(values)), F.col(col)))
         for model, col, parent, parent_col in self.relationships:
-            by_parent.setdefault((parent, parent_col), []).append((model, col, tables[model]))
-        parts += [check_references(tests, tables[parent], col) for (parent, col), tests in by_parent.items()]
-        return reduce(lambda a, b: a.unionByName(b), parts)
+            own, other = kind[model][col], kind[parent][parent_col]
+            wanted = common_type(own, other)
+            key = (parent, parent_col, wanted.simpleString())
+            if key not in groups:
+                groups[key] = len(groups)
+                tell(parent, groups[key], 0, as_type(F.col(parent_col), other, wanted))
+            value = as_type(F.col(col), own, wanted)
+            # a value that the parent's type does not have is an orphan: told under a text no key has
+            declare(model, col, "relationships", key, F.when(F.col(col).isNotNull(), F.coalesce(value.cast("string"), F.lit("\x00 not of the parent's type"))))
+        if not tests:
+            return reduce(lambda a, b: a.unionByName(b), whole)
+
+        told = reduce(lambda a, b: a.unionByName(b), [
+            tables[m].select(F.explode(F.filter(F.array(*cols), lambda e: e["v"].isNotNull())).alias("e")).select("e.*")
+            for m, cols in entries.items()])
+        width = range(1, max(slots.values()) + 1)
+        values = told.groupBy("g", "v").agg(
+            F.max(F.col("slot") == 0).alias("known"), *[F.count_if(F.col("slot") == s).alias(f"n{s}") for s in width])
+        per_group = values.groupBy("g").agg(*[F.array(
+            F.count_if(F.col(f"n{s}") > 1), F.coalesce(F.sum(f"n{s}"), F.lit(0)), F.count_if(F.col(f"n{s}") > 0),
+            F.coalesce(F.sum(F.when(~F.col("known"), F.col(f"n{s}"))), F.lit(0))).alias(f"s{s}") for s in width])
+        measure = {"unique": 1, "not_null": 2, "accepted_values": 3, "relationships": 4}
+        rows = F.array(*[F.struct(F.lit(m).alias("model"), F.lit(c).alias("column_name"), F.lit(t).alias("test_name"),
+                                  F.lit(g).alias("__g"), F.lit(s).alias("__s"), F.lit(measure[t]).alias("__m")) for m, c, t, g, s in tests])
+        session = next(iter(tables.values())).sparkSession
+        declared = session.range(1).select(F.explode(rows).alias("r")).select("r.*")
+        found = declared.join(F.broadcast(per_group), F.col("__g") == F.col("g"), "left")      # one row per group
+        counts = F.element_at(F.element_at(F.array(*[F.col(f"s{s}") for s in width]), F.col("__s")), F.col("__m"))
+        report = found.select("model", "column_name", "test_name", F.coalesce(counts, F.lit(0)).cast("bigint").alias("failures")) \
+            .withColumn("passed", F.col("failures") == 0)
+        return reduce(lambda a, b: a.unionByName(b), [report, *whole])
 
 
 class CapacityError(RuntimeError):
@@ -157,9 +225,9 @@ class CapacityError(RuntimeError):
 def require_capacity(pool: DataFrame, demand: int, what: str = "rows") -> int:
     """Q-P: stop when a pool is smaller than what is demanded.
 
-    One count (a single small aggregate) is brought to the driver.
+    The number of rows found is returned; for a small demand the count stops there.
     """
-    have = pool.count()
+    have = pool.limit(demand).count() if demand <= SMALL_DEMAND else pool.count()
     if have < demand:
         raise CapacityError(f"need {demand} {what} but the pool has only {have}")
     return have
