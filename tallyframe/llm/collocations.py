@@ -20,10 +20,12 @@ leads from its first k words to its last k.
    parts; whole numbers of up to 38 digits throughout (:func:`scored`).
 
 Before the first step, words and pairs of neighbours are counted in a table
-of hashed cells (:class:`Frequent`), merged over all data.  A cell below
-``least`` proves that nothing through it is a candidate or a part of one, so
-the chain is broken there as at the end of a piece.  Counts of everything
-that can be returned stay exact: no frequent phrase crosses a broken place.
+of hashed cells (:class:`Frequent`), merged over all data, and then the grams
+of three to five words that consist of frequent pairs in a second one.  A cell
+below ``least`` proves that nothing through it is a candidate or a part of
+one, so the chain is broken there as at the end of a piece.  Counts of
+everything that can be returned stay exact: no frequent phrase crosses a
+broken place.
 
 Scale: a batch sends one row per distinct gram, summed again by Spark before
 and after the shuffle, so a hot phrase costs one row per batch.  The cells are
@@ -40,7 +42,7 @@ at its pieces, so memory follows the longest piece.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -60,7 +62,7 @@ GAP[[0x20, 0x09]] = True
 STOP = np.zeros(256, bool)
 STOP[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 OTHER = np.uint8(0xA5)                      # bytes exchanged for a second, independent hash
-WORD_SALT, PAIR_SALT, GRAM_SALT, AGAIN_SALT = 41, 42, 43, 44
+WORD_SALT, PAIR_SALT, GRAM_SALT, AGAIN_SALT, LONG_SALT = 41, 42, 43, 44, 50
 MULTIPLY = U64(0x9E3779B97F4A7C15)
 NUMBER = "decimal(38,0)"
 
@@ -73,7 +75,7 @@ class Settings:
     most_bits: int = 30       # 2 ** most_bits cells at most (one bit each once merged)
     least_bits: int = 16
     slices: int = 64          # of the cells, merged apart
-    fan_in: int = 64          # messages that one merge reads, about
+    fan_in: int = 256         # messages that one merge reads, about
     hot_rows: int = 100_000   # rows of one key in a look-up before it is split
     shares: int = 256         # of a language's phrases, ranked apart first
 
@@ -155,49 +157,51 @@ def keys_of(w: Words, lang: np.ndarray, names: list[str]) -> tuple[np.ndarray, n
     return h, A.mix(h, WORD_SALT), A.mix(h[:-1] * MULTIPLY + h[1:], PAIR_SALT)
 
 
-# ---- the table of cells ----------------------------------------------------
+# ---- tables of cells ----------------------------------------------------------
+
+Keys = Callable[[Words, np.ndarray, list[str]], list[np.ndarray]]
+
 
 class Frequent:
-    """Cells of words and of neighbouring pairs that occur at least ``least`` times; may hold others, misses none."""
+    """Hashed cells whose keys occur at least ``least`` times together; may hold rare keys, misses no frequent one.
+
+    ``keys`` lists the key arrays of a slice that are counted.
+    """
 
-    def __init__(self, texts: DataFrame, total: int, settings: Settings):
+    def __init__(self, texts: DataFrame, total: int, keys: Keys, settings: Settings):
         s = settings
         bits = self.bits = min(s.most_bits, max(s.least_bits, (total // 16).bit_length()))
         slices, width = s.slices, bits - (s.slices.bit_length() - 1)
         parts = max(1, -(-total // (s.slice_bytes * s.fan_in)))
-        shift, low, size, least = U64(64 - bits), np.uint32((1 << width) - 1), s.slice_bytes, s.least
+        shift, size, least = U64(64 - bits), s.slice_bytes, s.least
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for w, lang, names in batch_words(batch, size):
-                    h, word, pair = keys_of(w, lang, names)
-                    cells = np.concatenate([word >> shift, (pair >> shift)[w.joined]]).astype(np.uint32)
-                    cells, counts = np.unique(cells, return_counts=True)
-                    part = int(h[0] % U64(parts))            # by content: the same on every run
-                    sent = M.deal((cells >> np.uint32(width)).astype(np.int64), slices, 0, cells & low, counts.astype(np.uint32))
-                    to = pa.array(sent.column(0).to_numpy() * parts + part, pa.int32())
-                    yield from sent.set_column(0, "__tf_to", to).to_batches()
+                    every = keys(w, lang, names)
+                    part = int(w.starts.sum() + w.ends[-1]) % parts          # by content: the same on every run
+                    cells, counts = np.unique(np.concatenate(every) >> shift, return_counts=True)
+                    yield from sent(cells, counts, width, slices, lambda k: k * parts + part).to_batches()
 
         def merge(now: int, after: int):
             """Adds up the messages of one slice and part; after the last level, keeps a bit per frequent cell."""
             def run(key: int, table: pa.Table) -> pa.Table:
                 sums = np.zeros(1 << width, np.int64)
-                for _, (cell, n) in M.received(table):
-                    sums[cell] += n
+                for _, (steps, n) in M.received(table):
+                    sums[np.cumsum(steps, dtype=np.int64)] += n
                 if after == 0:
                     return M.messages([(key, 0, M.pack(np.packbits(sums >= least)))])
-                cell = np.flatnonzero(sums)
-                part = key % now // s.fan_in
-                return M.messages([(key // now * after + part, 0, M.pack(cell.astype(np.uint32), np.minimum(sums[cell], least).astype(np.uint32)))])
+                cell, part = np.flatnonzero(sums), key % now // s.fan_in
+                return sent(cell, np.minimum(sums[cell], least), width, 1, lambda _: key // now * after + part)
             return run
 
-        sent = texts.mapInArrow(count, M.MESSAGES)
+        asked = texts.mapInArrow(count, M.MESSAGES)
         while parts > 1:
             fewer = -(-parts // s.fan_in)
-            sent, parts = M.answer(sent, merge(parts, fewer)), fewer
+            asked, parts = M.answer(asked, merge(parts, fewer)), fewer
         cells = np.zeros((1 << bits) // 8, np.uint8)
         each = (1 << width) // 8
-        for r in M.answer(sent, merge(1, 0)).collect():      # 2 ** most_bits / 8 bytes at most
+        for r in M.answer(asked, merge(1, 0)).collect():      # 2 ** most_bits / 8 bytes at most
             cells[r["__tf_to"] * each : (r["__tf_to"] + 1) * each] = M.unpack(r["__tf_payload"])[0]
         self.cells = texts.sparkSession.sparkContext.broadcast(cells)
 
@@ -206,16 +210,54 @@ class Frequent:
         return (self.cells.value[(c >> U64(3)).astype(np.int64)] >> (7 - (c & U64(7))).astype(np.uint8)) & 1 == 1
 
 
-# ---- the longest grams of a batch -------------------------------------------
-
-def chain_lengths(joined: np.ndarray, n: int) -> np.ndarray:
-    """For each of ``n`` words, how many words its gram has: up to ORDER, less where the chain ends."""
-    length = np.ones(n, np.int64)
-    for k in range(1, ORDER):
-        on = np.zeros(n, bool)
-        on[: max(0, n - k)] = joined[k - 1 :]
-        length += (length == k) & on
-    return length
+def sent(cells: np.ndarray, counts: np.ndarray, width: int, slices: int, address: Callable[[int], int]) -> pa.Table:
+    """One message per slice of rising cells: steps from one cell to the next, and counts."""
+    cells = cells.astype(np.int64)
+    edges = np.searchsorted(cells, np.arange(slices + 1, dtype=np.int64) << width)
+    rows = []
+    for k in range(slices):
+        a, b = edges[k], edges[k + 1]
+        if b > a:
+            steps = np.diff(cells[a:b], prepend=k << width).astype(np.uint32)
+            rows.append((address(k), 0, M.pack(steps, counts[a:b].astype(np.uint32))))
+    return M.messages(rows)
+
+
+# ---- the longest grams of a slice -------------------------------------------
+
+def words_and_pairs(w: Words, lang: np.ndarray, names: list[str]) -> list[np.ndarray]:
+    _, word, pair = keys_of(w, lang, names)
+    return [word, pair[w.joined]]
+
+
+class Chains:
+    """Where frequent words and pairs follow each other, and the grams on them."""
+
+    def __init__(self, w: Words, lang: np.ndarray, names: list[str], pairs: Frequent):
+        self.h, word, pair = keys_of(w, lang, names)
+        self.common = pairs(word)
+        joined = w.joined & pairs(pair)
+        self.length = np.ones(len(self.h), np.int64)            # words of the gram from each word: up to ORDER
+        for k in range(1, ORDER):
+            on = np.zeros(len(self.h), bool)
+            on[: max(0, len(on) - k)] = joined[k - 1 :]
+            self.length += (self.length == k) & on
+
+    def longer(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For three words and more: where such a gram starts, and its key."""
+        at = np.flatnonzero(self.length > 2)
+        key = self.h[at] * MULTIPLY + self.h[at + 1]
+        for k in range(3, ORDER + 1):
+            on = self.length[at] >= k
+            at, key = at[on], key[on] * MULTIPLY
+            key = key + self.h[at + k - 1]
+            yield k, at, A.mix(key, LONG_SALT + k)
+
+    def shorten(self, grams: Frequent) -> None:
+        """Ends each gram before the first word that makes it rare."""
+        for k, at, key in list(self.longer()):
+            rare = at[~grams(key)]
+            self.length[rare] = np.minimum(self.length[rare], k - 1)
 
 
 def gram_hash(h: np.ndarray, length: np.ndarray, salt: int) -> np.ndarray:
@@ -249,12 +291,12 @@ GRAMS = "lang string, gram string, words int, n long"
 _SCHEMA = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
 
 
-def slice_grams(w: Words, lang: np.ndarray, names: list[str], frequent: Frequent) -> pa.RecordBatch:
+def slice_grams(w: Words, lang: np.ndarray, names: list[str], pairs: Frequent, longer: Frequent) -> pa.RecordBatch:
     """Distinct longest grams of a slice with their counts; a gram without words has the number of all words."""
-    h, word, pair = keys_of(w, lang, names)
-    joined = w.joined & frequent(pair)
-    length = chain_lengths(joined, len(h))
-    some = np.flatnonzero(frequent(word))
+    chains = Chains(w, lang, names, pairs)
+    chains.shorten(longer)
+    h, length = chains.h, chains.length
+    some = np.flatnonzero(chains.common)
     h2 = np.zeros(len(h), U64)
     inside = np.zeros(len(h) + ORDER, bool)
     for k in range(ORDER):
@@ -280,13 +322,14 @@ def grams(docs: DataFrame, settings: Settings = Settings(), lang: str = "lang",
     """(lang, gram, words, n): edges of the highest order, shorter grams where a chain ends, and, with 0 words, all words."""
     s = settings
     texts = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where(F.length("text") > 0)
-    frequent = Frequent(texts, M.text_size(docs, text), s)
-    size = s.slice_bytes
+    total, size = M.text_size(docs, text), s.slice_bytes
+    pairs = Frequent(texts, total, words_and_pairs, s)
+    longer = Frequent(texts, total, lambda w, number, names: [key for _, _, key in Chains(w, number, names, pairs).longer()], s)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for w, number, names in batch_words(batch, size):
-                yield slice_grams(w, number, names, frequent)
+                yield slice_grams(w, number, names, pairs, longer)
 
     return texts.mapInArrow(run, GRAMS).groupBy("lang", "gram", "words").agg(F.sum("n").alias("n"))
 
