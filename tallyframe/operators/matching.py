@@ -3,31 +3,58 @@
 The match condition is an equality (entity type = campaign audience) plus a
 date range (campaign start <= entity date <= campaign end + grace).  An
 equi-join on the type alone would put every entity of a popular type into one
-join partition, so the key is widened with a month bucket: each campaign is
-exploded over the months its window touches (bounded by the window length),
-each entity lands in exactly one month, and the exact date test runs as the
-join's residual condition.  Each pair is produced once.
+join partition, and test every pair.  Instead a campaign's window is cut into
+dyadic day ranges (aligned blocks of 1, 2, 4, ... days; at most two of each
+size), and an entity looks up the one block of each size that holds its date:
+an equi-join on (type, size, block) with no residual condition, in which
+every pair occurs exactly once.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import ATTRIBUTED_SHARE, DELAYED_CONVERSION_DAYS
 from ..functions.hashing import hash32
-from .joins import HOT_KEY_ROWS, skew_split_join
+from .joins import HOT_KEY_ROWS, lookup_join, measured
 from .sampling import first_n_by_hash, sample_size
 
+DYADIC_LEVELS = 13           # block sizes of up to 4,096 days; longer windows take several of the largest
+
 
 def earliest_date(df: DataFrame, key: str, date: str, out: str = "acquisition_date") -> DataFrame:
     """Earliest date per key (map-side combined min)."""
     return df.groupBy(key).agg(F.min(date).alias(out))
 
 
-def _months(start: Column, stop: Column) -> Column:
-    seq = F.sequence(F.trunc(start, "month"), F.trunc(stop, "month"), F.expr("interval 1 month"))
-    return F.when(start <= stop, seq).otherwise(F.array().cast("array<date>"))
+def _day_number(date: Column) -> Column:
+    """Days since 0001-01-01, so that blocks of days are numbered from zero up."""
+    return F.datediff(date, F.lit("0001-01-01").cast("date"))
+
+
+def dyadic_ranges(start: Column, stop: Column, levels: int = DYADIC_LEVELS) -> Column:
+    """The aligned blocks that make up the days start..stop: array of (size, block), none if start > stop or null.
+
+    A block of size s holds the 2**s days numbered block * 2**s and on.  At
+    each size only the first whole block, if it is a right half, and the last,
+    if it is a left half, are not part of a larger whole block.
+    """
+    first, last = _day_number(start), _day_number(stop) + 1
+    sizes = []
+    for s in range(levels):
+        low, high = F.shiftright(first + ((1 << s) - 1), s), F.shiftright(last, s) - 1
+        odd = low.bitwiseAND(F.lit(1)) == 1
+        even = high.bitwiseAND(F.lit(1)) == 0
+        if s == levels - 1:                                # the largest size: every whole block
+            largest = F.lit(s).alias("size")
+            sizes.append(F.when(low <= high, F.transform(F.sequence(low, F.greatest(low, high)), lambda i: F.struct(largest, i.alias("block")))))
+        else:
+            sizes += [F.when((low <= high) & odd, F.array(F.struct(F.lit(s).alias("size"), low.alias("block")))),
+                      F.when((low <= high) & even, F.array(F.struct(F.lit(s).alias("size"), high.alias("block"))))]
+    return F.flatten(F.array_compact(F.array(*sizes)))
 
 
 def window_matches(entities: DataFrame, campaigns: DataFrame, *, entity_key: str, entity_type: str,
@@ -36,20 +63,19 @@ def window_matches(entities: DataFrame, campaigns: DataFrame, *, entity_key: str
                    grace_days: int = DELAYED_CONVERSION_DAYS, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Every (entity, campaign) with equal type and start <= date <= end + grace.
 
+    Entities look up only block sizes that some campaign has, so one read of
+    the entities gives at most as many rows as the longest window has sizes.
     Output: entity_key, campaign_key, entity_date.
     """
     window_end = F.date_add(F.col(end), grace_days)
-    camp = campaigns.select(
-        F.col(campaign_key), F.col(audience).alias("__type"), F.col(start).alias("__start"),
-        window_end.alias("__stop"), F.explode(_months(F.col(start), window_end)).alias("__m"))
+    camp = campaigns.select(F.col(campaign_key), F.col(audience).alias("__type"),
+                            F.explode(dyadic_ranges(F.col(start), window_end)).alias("__r")) \
+        .select(campaign_key, "__type", F.col("__r.size").alias("__size"), F.col("__r.block").alias("__block"))
+    sizes = F.coalesce(camp.agg(F.collect_set("__size").alias("s")).scalar(), F.array().cast("array<int>"))
     ent = entities.filter(F.col(entity_date).isNotNull()).select(
-        F.col(entity_key), F.col(entity_type).alias("__type"), F.col(entity_date),
-        F.trunc(entity_date, "month").alias("__m"))
-    # equi-join on (type, month); the entities of a hot audience-month are dealt
-    # over several tasks, each with its campaign rows; the date test is the residual
-    pairs = skew_split_join(ent, camp, ["__type", "__m"], "inner", hot_rows)
-    return pairs.filter(F.col(entity_date).between(F.col("__start"), F.col("__stop"))) \
-        .select(entity_key, campaign_key, entity_date)
+        F.col(entity_key), F.col(entity_type).alias("__type"), F.col(entity_date), F.explode(sizes).alias("__size")) \
+        .withColumn("__block", F.call_function("shiftright", _day_number(F.col(entity_date)), F.col("__size")))
+    return lookup_join(ent, camp, ["__type", "__size", "__block"], "inner", hot_rows).select(entity_key, campaign_key, entity_date)
 
 
 def choose_one(pairs: DataFrame, key: str, choice: str, seed=42) -> DataFrame:
@@ -81,21 +107,25 @@ def campaign_days(campaigns: DataFrame, *, campaign_key: str, audience: str = "t
 
 def choose_match(entities: DataFrame, campaigns: DataFrame, *, entity_key: str, entity_type: str,
                  entity_date: str, campaign_key: str, audience: str = "target_audience", start: str = "start_date",
-                 end: str = "end_date", grace_days: int = DELAYED_CONVERSION_DAYS, seed=42) -> DataFrame:
+                 end: str = "end_date", grace_days: int = DELAYED_CONVERSION_DAYS, seed=42,
+                 hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """J6 + R7 without the pairs: one eligible campaign per entity, by hash (repeatable).
 
     The entity's (type, day) tells how many campaigns are open; the hash of
     its key modulo that count picks one by its number.  Each entity passes two
-    equi-joins that find one row at most, so rows grow with the entities and
-    the campaign days, never with their pairs.  Output: entity_key, campaign_key.
+    look-ups that find one row at most, so rows grow with the entities and
+    the campaign days, never with their pairs.  The campaign days are
+    measured: broadcast where they fit, otherwise the entities of a heavy
+    (type, day) are dealt over several tasks.  Output: entity_key, campaign_key.
     """
     days = campaign_days(campaigns, campaign_key=campaign_key, audience=audience, start=start, end=end, grace_days=grace_days)
     ent = entities.filter(F.col(entity_date).isNotNull()).select(
         F.col(entity_key), F.col(entity_type).alias("__type"), F.col(entity_date).alias("__day"))
-    counted = ent.join(days.filter("__rank = 1").select("__type", "__day", "__open"), ["__type", "__day"], "inner")
+    all_days = measured(days.select("__type", "__day", "__rank", campaign_key))
+    open_days = days.filter("__rank = 1").select("__type", "__day", "__open")
+    counted = lookup_join(ent, replace(all_days, df=open_days) if all_days.fits else open_days, ["__type", "__day"], "inner", hot_rows)
     picked = counted.withColumn("__rank", (F.pmod(hash32(entity_key, seed=seed, salt="choice"), F.col("__open")) + 1).cast("int"))
-    return picked.join(days.select("__type", "__day", "__rank", campaign_key), ["__type", "__day", "__rank"], "inner") \
-        .select(entity_key, campaign_key)
+    return lookup_join(picked, all_days, ["__type", "__day", "__rank"], "inner", hot_rows).select(entity_key, campaign_key)
 
 
 def attribute_accounts(accounts: DataFrame, campaigns: DataFrame, *, account_key: str = "account_id",

@@ -16,7 +16,7 @@ from ..fixed_values import (DEFAULT_RESOLUTION_DAYS, LABEL_SEPARATOR, RESOLUTION
 from ..functions.exprs import any_keyword, clamp, first_keyword_band, lifecycle_status, miles_to_km, \
     title_label, truncating_int
 from ..functions.hashing import hash32
-from ..operators.joins import HOT_KEY_ROWS, skew_split_join
+from ..operators.joins import HOT_KEY_ROWS, lookup_join
 
 
 def billing_resolution(subscriptions: DataFrame, members: DataFrame, accounts: DataFrame,
@@ -24,16 +24,17 @@ def billing_resolution(subscriptions: DataFrame, members: DataFrame, accounts: D
     """K18 (J8): sponsored members pay their account's per-member rate, everyone
     else the plan's list price.
 
-    Members are joined to their account first (the account side is one row
-    per account; AQE broadcasts it), so subscriptions meet a single
-    member-level lookup; a member holding a large share of the subscriptions
-    is split off and served by a bounded broadcast (``skew_split_join``).
+    Members are joined to their account first, so subscriptions meet one
+    member-level and one plan-level look-up.  Each is a
+    :func:`~tallyframe.operators.joins.lookup_join`: broadcast if it measures
+    small enough, otherwise shuffled with the heavy members, accounts or
+    plans of a sketch dealt over several tasks.
     """
-    rates = members.select("member_id", "account_id", "sponsored").join(
-        accounts.select("account_id", "per_member_rate"), "account_id", "left")
-    joined = skew_split_join(subscriptions.select("subscription_id", "member_id", "plan_id"), rates,
-                             "member_id", "inner", hot_rows) \
-        .join(plans.select("plan_id", "monthly_price"), "plan_id", "inner")
+    rates = lookup_join(members.select("member_id", "account_id", "sponsored"),
+                        accounts.select("account_id", "per_member_rate"), "account_id", "left", hot_rows)
+    joined = lookup_join(subscriptions.select("subscription_id", "member_id", "plan_id"),
+                         plans.select("plan_id", "monthly_price"), "plan_id", "inner", hot_rows)
+    joined = lookup_join(joined, rates, "member_id", "inner", hot_rows)
     return joined.select(
         "subscription_id", "member_id", "plan_id", "sponsored",
         F.when(F.col("sponsored"), F.col("per_member_rate")).otherwise(F.col("monthly_price"))
