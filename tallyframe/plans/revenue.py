@@ -12,72 +12,82 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import default_zero, guarded_ratio
+from ..operators.joins import HOT_KEY_ROWS, lookup_join
 
 MONEY = "decimal(18,2)"
 # sums of money: wide enough for totals over very large tables
 MONEY_SUM = "decimal(38,2)"
 
 
-def member_campaigns(members: DataFrame, acquisition: DataFrame) -> DataFrame:
+def member_campaigns(members: DataFrame, acquisition: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """member_id -> campaign_id through the member's account (J1, second half).
 
-    The acquisition side has at most one row per account; AQE turns this join
-    into a broadcast once it has measured that side, otherwise it stays a
-    sort-merge join with skew splitting on the account key.
+    A :func:`~tallyframe.operators.joins.lookup_join`: the acquisition side is
+    broadcast if it measures small enough; otherwise the members of a large
+    employer are dealt over several tasks.
     """
-    return members.select("member_id", "account_id").join(
-        acquisition.select("account_id", "campaign_id"), "account_id", "inner"
-    ).select("member_id", "campaign_id")
+    return lookup_join(members.select("member_id", "account_id"), acquisition.select("account_id", "campaign_id"),
+                       "account_id", "inner", hot_rows).select("member_id", "campaign_id")
 
 
-def distinct_ids(rows: DataFrame, holder: list[str], groups: DataFrame, by: list[str], out: str) -> DataFrame:
-    """Exact count of distinct ``subscription_id`` per group of holders.
+def holdings(subscriptions: DataFrame, holder: list[str]) -> DataFrame:
+    """Subscriptions folded per holder as far as exact distinct counts allow.
 
-    ``rows`` holds (subscription_id, *holder); ``groups`` maps holder to
-    ``by``, one row per pair.  An id seen under one holder only (all of them,
-    where the id is a key) is counted per holder before the join, so a holder
-    of a third of all rows joins as one row; ids seen under several holders
-    are joined one by one and counted distinct per group.  An id never adds
-    to a group twice: it is of one kind or the other.
+    One grouping by (subscription_id, holder) serves sums and ownership.  Per
+    id it tells the range of its holders and the billed total: an id under
+    one holder only (all of them, where the id is a key) adds its total and
+    one subscription to that holder's row.  An id under several holders stays
+    a row per holder, so that it can be counted once per group.  Rows without
+    an id add money only; they are kept apart by holder, so they meet in no
+    one task.
+
+    Returns rows (*holder, subscription_id, __billed, __ids): a folded row has
+    no id and the number of ids in it, any other has its id and no number.
     """
     where = F.struct(*[F.col(c) for c in holder])
-    ids = rows.filter(F.col("subscription_id").isNotNull()).groupBy("subscription_id").agg(
-        F.min(where).alias("__least"), F.max(where).alias("__most"))
-    single = ids.filter(F.col("__least").eqNullSafe(F.col("__most"))) \
-        .groupBy(*[F.col("__least")[c].alias(c) for c in holder]).agg(F.count(F.lit(1)).alias("__n"))
-    shared = ids.filter(~F.col("__least").eqNullSafe(F.col("__most"))).select("subscription_id")
-    pairs = rows.select("subscription_id", *holder).join(shared, "subscription_id", "left_semi").distinct()
-    one = single.join(groups, holder, "inner").groupBy(*by).agg(F.sum("__n").alias("__n"))
-    many = pairs.join(groups, holder, "inner").select(*by, "subscription_id").distinct() \
-        .groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    return one.unionByName(many).groupBy(*by).agg(F.sum("__n").cast("bigint").alias(out))
+    base = subscriptions.groupBy("subscription_id", *holder).agg(F.sum("billed_amount").alias("__b"))
+    own = base.groupBy("subscription_id", F.when(F.col("subscription_id").isNull(), where).alias("__of")).agg(
+        F.min(where).alias("__least"), F.max(where).alias("__most"), F.sum("__b").alias("__b"))
+    alone = F.col("__least").eqNullSafe(F.col("__most"))
+    single = own.filter(alone).groupBy(*[F.col("__least")[c].alias(c) for c in holder]).agg(
+        F.sum("__b").alias("__billed"), F.count("subscription_id").alias("__ids"))
+    shared = base.join(own.filter(~alone).select("subscription_id"), "subscription_id", "left_semi")
+    no_id = F.lit(None).cast(subscriptions.schema["subscription_id"].dataType)
+    return single.select(*holder, no_id.alias("subscription_id"), "__billed", "__ids").unionByName(
+        shared.select(*holder, "subscription_id", F.col("__b").alias("__billed"), F.lit(0).cast("bigint").alias("__ids")))
+
+
+def grouped_revenue(held: DataFrame, by: list[str], revenue: str, ids: str) -> DataFrame:
+    """Per group: billed amounts times the join multiplicity ``__k``, and the exact count of distinct ids.
+
+    ``held`` are rows of :func:`holdings` joined to their groups, each (holder, group) once.
+    """
+    per_id = held.groupBy(*by, "subscription_id").agg(
+        F.sum(F.col("__billed") * F.col("__k")).cast(MONEY_SUM).alias("__revenue"), F.sum("__ids").alias("__n"))
+    return per_id.groupBy(*by).agg(F.sum("__revenue").cast(MONEY_SUM).alias(revenue),
+                                   (F.sum("__n") + F.count("subscription_id")).cast("bigint").alias(ids))
 
 
 def attributed_revenue(subscriptions: DataFrame, members: DataFrame, acquisition: DataFrame,
                        status: str | None = "active") -> DataFrame:
     """J1 + A5: per campaign, summed billed amount and distinct subscriptions.
 
-    Subscriptions are folded per member first, so a member holding a third of
-    all subscriptions leaves the map side as one row; the member -> campaign
-    pairs carry their join multiplicity ``k``.  Per campaign:
+    Subscriptions are folded per member first (:func:`holdings`), so a member
+    holding a third of all subscriptions joins as one row; the member ->
+    campaign pairs carry their join multiplicity ``__k``.  Per campaign:
 
     * attributed_mrr = sum(billed total x k): the sum is multiplied by any
       fan-out of the member/acquisition join, as in the reference (Q6);
     * attributed_subscriptions = count of distinct subscription ids over the
-      joined rows (:func:`distinct_ids`), whether or not the id is a key.
+      joined rows, whether or not the id is a key.
     """
     subs = subscriptions
     if status is not None:
         subs = subs.filter(F.col("status") == status)
-    per_member = subs.groupBy("member_id").agg(F.sum("billed_amount").alias("__billed"))
     pairs = member_campaigns(members, acquisition).groupBy("member_id", "campaign_id") \
         .agg(F.count(F.lit(1)).alias("__k"))
-    money = per_member.join(pairs, "member_id", "inner").groupBy("campaign_id").agg(
-        F.sum(F.col("__billed") * F.col("__k")).cast(MONEY_SUM).alias("attributed_mrr"))
-    ids = distinct_ids(subs, ["member_id"], pairs.select("member_id", "campaign_id"), ["campaign_id"],
-                       "attributed_subscriptions")
-    return money.join(ids.withColumnRenamed("campaign_id", "__c"), F.col("campaign_id").eqNullSafe(F.col("__c")), "left").select(
-        "campaign_id", "attributed_mrr", F.coalesce("attributed_subscriptions", F.lit(0)).cast("bigint").alias("attributed_subscriptions"))
+    return grouped_revenue(holdings(subs, ["member_id"]).join(pairs, "member_id", "inner"), ["campaign_id"],
+                           "attributed_mrr", "attributed_subscriptions")
 
 
 def campaigns_with_revenue(campaigns: DataFrame, attributed: DataFrame) -> DataFrame:
@@ -117,26 +127,17 @@ def revenue_by_segment(subscriptions: DataFrame, members: DataFrame, accounts: D
     """K13 [inferred]: active MRR and active subscriptions by account type and plan name.
 
     Inner joins, since both group columns are declared not null.  As in K14,
-    subscriptions are folded per (member, plan) before any join, the member ->
-    account type and plan -> plan name sides carry their join multiplicities,
-    and distinct subscriptions are counted exactly (:func:`distinct_ids`).
+    subscriptions are folded per (member, plan) before any join, and the
+    member -> account type and plan -> plan name sides carry their join
+    multiplicities; accounts and plans are look-ups.
     """
     active = subscriptions.filter(F.col("status") == status)
-    per_member_plan = active.groupBy("member_id", "plan_id").agg(F.sum("billed_amount").alias("__billed"))
-    member_type = members.select("member_id", "account_id").join(
-        accounts.select("account_id", "account_type"), "account_id", "inner") \
+    member_type = lookup_join(members.select("member_id", "account_id"), accounts.select("account_id", "account_type"), "account_id") \
         .groupBy("member_id", "account_type").agg(F.count(F.lit(1)).alias("__km"))
     plan_name = plans.groupBy("plan_id", "plan_name").agg(F.count(F.lit(1)).alias("__kp"))
-    by = ["account_type", "plan_name"]
-    money = per_member_plan.join(member_type, "member_id", "inner").join(plan_name, "plan_id", "inner") \
-        .groupBy(*by).agg(F.sum(F.col("__billed") * F.col("__km") * F.col("__kp")).cast(MONEY_SUM).alias("active_mrr"))
-    # the groups that the (member, plan) pairs in use belong to
-    groups = per_member_plan.select("member_id", "plan_id").join(member_type, "member_id", "inner") \
-        .join(plan_name, "plan_id", "inner").select("member_id", "plan_id", *by)
-    ids = distinct_ids(active, ["member_id", "plan_id"], groups, by, "active_subscriptions")
-    ids = ids.select(*[F.col(c).alias(f"__{c}") for c in by], "active_subscriptions")
-    return money.join(ids, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by], "left").select(
-        *by, "active_mrr", F.coalesce("active_subscriptions", F.lit(0)).cast("bigint").alias("active_subscriptions"))
+    held = holdings(active, ["member_id", "plan_id"]).join(member_type, "member_id", "inner")
+    return grouped_revenue(lookup_join(held, plan_name, "plan_id").withColumn("__k", F.col("__km") * F.col("__kp")),
+                           ["account_type", "plan_name"], "active_mrr", "active_subscriptions")
 
 
 def month_spine(start: Column, end: Column, frame: DataFrame) -> DataFrame:
