@@ -46,6 +46,7 @@ from pyspark.sql.types import MapType
 
 from ..functions.hashing import TWO_32, hash32
 from ..session import ensure_checkpoint_dir
+from .prefix import running_totals
 from .quality import require_capacity
 
 BUCKET_BITS = 16
@@ -305,23 +306,18 @@ def serve_in_order(entities: DataFrame, entity_keys: Sequence[str], count_col: s
     """J9 with counts: entities in hash order each take the next ``count_col`` rows of the pool.
 
     Entity i takes the pool rows numbered (sum of earlier counts) + 1, ...;
-    null and negative counts take none.  The running sum goes over entities
-    in ranges of their dense number (a sum per range, then inside the range),
-    so no task orders them all.  A pool smaller than the demand is refused
-    (Q-P): both sides are counted first.
+    null and negative counts take none.  The running sum is taken in levels
+    over ranges of the entities' order
+    (:func:`~tallyframe.operators.prefix.running_totals`), so no task orders
+    them all or adds up a list that grows with them.  A pool smaller than the
+    demand is refused (Q-P): both sides are counted first.
     """
     n = F.greatest(F.coalesce(F.col(count_col).cast("bigint"), F.lit(0).cast("bigint")), F.lit(0).cast("bigint"))
     wanted = entities.withColumn("__want", n)
     demand = int(wanted.agg(F.sum("__want")).first()[0] or 0)
     require_capacity(pool, demand, "pool rows")
-    numbered = dense_number(wanted, entity_keys, seed, "__no", salt="left", hot_rows=hot_rows) \
-        .withColumn("__range", F.floor(F.col("__no") / 100_000))
-    sums = numbered.groupBy("__range").agg(F.sum("__want").alias("__sum"))
-    before = sums.withColumn("__start", F.sum("__sum").over(Window.orderBy("__range")) - F.col("__sum")).drop("__sum")
-    inner = Window.partitionBy("__range").orderBy("__no")
-    placed = numbered.join(before, "__range") \
-        .withColumn("__first", F.col("__start") + F.sum("__want").over(inner) - F.col("__want") + 1) \
-        .drop("__range", "__start", "__no")
+    numbered = dense_number(wanted, entity_keys, seed, "__no", salt="left", hot_rows=hot_rows)
+    placed = running_totals(numbered, ["__no"], {"__before": "__want"}).withColumn("__first", F.col("__before") + 1).drop("__before", "__no")
     slots = expand(placed.withColumnRenamed("__first", "__from"), "__want", F.col("__from"), col, spread=list(entity_keys)) \
         .drop("__want", "__from")
     return slots.join(dense_number(pool, pool_keys, seed, col, salt="right", hot_rows=hot_rows), col, "inner")
