@@ -73,3 +73,10 @@ def _before(totals: DataFrame, befores: Mapping[str, str], keep, level_rows: int
     w = Window.partitionBy(PART).orderBy("__lower").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return lower.join(upper, PART, "inner").select(
         F.col("__lower").alias(PART), *[(F.col(f"__upper{a}") + F.sum(a).over(w) - F.col(a)).alias(b) for a, b in befores.items()])
+
+
+def with_position(df: DataFrame, order: Sequence[Column | str], col: str = "position",
+                  keep: Callable[[DataFrame], DataFrame] = checkpointed) -> DataFrame:
+    """O1: each row's place (from 1) in the order; ``order`` must be total."""
+    return running_totals(df.withColumn("__one", F.lit(1).cast("bigint")), order, {"__rows": "__one"}, keep) \
+        .withColumn(col, F.col("__rows") + 1).drop("__one", "__rows")

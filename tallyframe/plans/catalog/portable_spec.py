@@ -11,10 +11,10 @@ SPEC = {'accounts_with_activity': [('c_custkey', 'text'), ('c_name', 'keep')],
  'attributed_accounts': [('account_id', 'keep'), ('campaign_id', 'keep')],
  'attributed_revenue': [('campaign_id', 'keep'),
                         ('attributed_mrr', 'text'),
-                        ('attributed_subscriptions', 'keep')],
+                        ('attributed_subscriptions', 'text')],
  'attributed_revenue_shared_ids': [('campaign_id', 'keep'),
                                    ('attributed_mrr', 'text'),
-                                   ('attributed_subscriptions', 'keep')],
+                                   ('attributed_subscriptions', 'text')],
  'billing_resolution': [('subscription_id', 'keep'),
                         ('member_id', 'keep'),
                         ('plan_id', 'keep'),
@@ -25,6 +25,7 @@ SPEC = {'accounts_with_activity': [('c_custkey', 'text'), ('c_name', 'keep')],
                         ('steps', 'text'),
                         ('value_sum', 'text')],
  'campaign_labels': [('campaign_id', 'keep'), ('campaign_label', 'keep'), ('status', 'keep')],
+ 'campaign_order': [('position', 'text'), ('campaign_id', 'keep'), ('attributed_mrr', 'text')],
  'chosen_match': [('account_id', 'keep'), ('campaign_id', 'keep')],
  'conditional_measures': [('account_type', 'keep'),
                           ('tier', 'keep'),
@@ -37,6 +38,13 @@ SPEC = {'accounts_with_activity': [('c_custkey', 'text'), ('c_name', 'keep')],
                       ('with_events', 'keep'),
                       ('pct_with_orders', 'text'),
                       ('pct_with_events', 'text')],
+ 'csv_quoting': [('doc_id', 'keep'), ('text', 'keep'), ('source', 'keep')],
+ 'csv_round_trip': [('order_id', 'keep'),
+                    ('member_id', 'keep'),
+                    ('order_type', 'keep'),
+                    ('order_date', 'text'),
+                    ('amount', 'text'),
+                    ('status', 'keep')],
  'dq_accepted_values': [('model', 'keep'),
                         ('column_name', 'keep'),
                         ('test_name', 'keep'),
@@ -92,6 +100,12 @@ SPEC = {'accounts_with_activity': [('c_custkey', 'text'), ('c_name', 'keep')],
                               ('avg_length_of_membership_months', 'text')],
  'entity_day_spine': [('member_id', 'keep'), ('activity_date', 'text')],
  'exact_n_sample': [('c_custkey', 'text'), ('c_name', 'keep'), ('c_nationkey', 'text')],
+ 'file_pool': [('order_id', 'keep'),
+               ('member_id', 'keep'),
+               ('order_type', 'keep'),
+               ('order_date', 'text'),
+               ('amount', 'text'),
+               ('status', 'keep')],
  'guarded_ratio': [('campaign_id', 'keep'),
                    ('spend_per_attributed_subscription', 'text'),
                    ('payback_period_months', 'text')],
@@ -99,6 +113,7 @@ SPEC = {'accounts_with_activity': [('c_custkey', 'text'), ('c_name', 'keep')],
                           ('streak_length_days', 'keep'),
                           ('days_since_streak_end', 'text'),
                           ('is_current', 'keep')],
+ 'load_report': [('table_name', 'keep'), ('status', 'keep'), ('rows', 'text')],
  'longest_streak': [('member_id', 'keep'), ('longest_streak', 'text')],
  'member_order_rollup': [('member_id', 'keep'), ('count_orders', 'keep'), ('total_orders_amount', 'text')],
  'member_streaks': [('member_id', 'keep'),
@@ -119,6 +134,13 @@ SPEC = {'accounts_with_activity': [('c_custkey', 'text'), ('c_name', 'keep')],
                                      ('mrr', 'text'),
                                      ('active_subscriptions', 'text'),
                                      ('one_time_revenue', 'text')],
+ 'named_source': [('subscription_id', 'keep'),
+                  ('member_id', 'keep'),
+                  ('plan_id', 'keep'),
+                  ('start_date', 'text'),
+                  ('end_date', 'text'),
+                  ('status', 'keep'),
+                  ('billed_amount', 'text')],
  'pooled_union': [('event_id', 'text'), ('user_id', 'text'), ('event_type', 'keep'), ('origin', 'keep')],
  'reanchor_sequence': [('member_id', 'keep'), ('original_date', 'text'), ('activity_date', 'text')],
  'recency_rank': [('member_id', 'keep'),
@@ -127,6 +149,13 @@ SPEC = {'accounts_with_activity': [('c_custkey', 'text'), ('c_name', 'keep')],
                   ('streak_end_date', 'text'),
                   ('streak_length_days', 'keep'),
                   ('streak_recency_rank', 'keep')],
+ 'refreshed_table': [('member_id', 'keep'),
+                     ('account_id', 'keep'),
+                     ('email', 'keep'),
+                     ('join_date', 'text'),
+                     ('eligibility_status', 'keep'),
+                     ('sponsored', 'keep'),
+                     ('is_fitbit_seed', 'keep')],
  'replicate_rows': [('c_custkey', 'text'), ('copy_no', 'keep')],
  'resolution_bands': [('ticket_id', 'keep'),
                       ('ticket_priority', 'keep'),
@@ -148,11 +177,11 @@ SPEC = {'accounts_with_activity': [('c_custkey', 'text'), ('c_name', 'keep')],
  'revenue_by_segment': [('account_type', 'keep'),
                         ('plan_name', 'keep'),
                         ('active_mrr', 'text'),
-                        ('active_subscriptions', 'keep')],
+                        ('active_subscriptions', 'text')],
  'revenue_by_segment_shared_ids': [('account_type', 'keep'),
                                    ('plan_name', 'keep'),
                                    ('active_mrr', 'text'),
-                                   ('active_subscriptions', 'keep')],
+                                   ('active_subscriptions', 'text')],
  'revenue_trend': [('month_start', 'text'),
                    ('mrr', 'text'),
                    ('active_subscriptions', 'text'),
@@ -248,6 +277,7 @@ SPEC = {'accounts_with_activity': [('c_custkey', 'text'), ('c_name', 'keep')],
                       ('count_members', 'keep'),
                       ('total_billed_amount', 'text'),
                       ('rev_per_member', 'text')],
+ 'view_rows': [('plan_id', 'keep'), ('plan_name', 'keep'), ('tier', 'keep'), ('monthly_price', 'text')],
  'weighted_assign': [('c_custkey', 'text'), ('plan_tier', 'keep')],
  'workout_streaks': [('member_id', 'keep'),
                      ('streak_start_date', 'text'),

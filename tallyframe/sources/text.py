@@ -6,11 +6,13 @@ the staging models, where a bad value raises instead of being guessed.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 # fixed values: the reference's raw tables and the file each is exported to
@@ -44,30 +46,70 @@ def read_text_csv(spark: SparkSession, paths: str | Sequence[str], multi_line: b
 
     Columns are matched by name.  Files of several paths are read per
     distinct header, and their rows are aligned; a file that lacks a column
-    another one has is refused.  With ``schema`` the header of every file must
-    be that schema, in its order; a file with another header fails the read.
+    another one has is refused.  Which file has which header is found by one
+    job over all files (:func:`header_census`), however many there are.  With
+    ``schema`` the header of every file must be that schema, in its order; a
+    file with another header fails the read.
     """
     reader = (spark.read.option("header", True).option("inferSchema", False)
               .option("encoding", "UTF-8").option("quote", '"').option("escape", '"')
               .option("multiLine", multi_line).option("mode", "FAILFAST"))
     if schema is not None:
         return reader.schema(schema).option("enforceSchema", False).csv(list(paths) if not isinstance(paths, str) else paths)
+    files = [f for path in ([paths] if isinstance(paths, str) else paths) for f in _files(spark, path)]
     headers: dict[tuple[str, ...], list[str]] = {}
-    for path in [paths] if isinstance(paths, str) else paths:
-        for file in _files(spark, path):
-            headers.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    for same in header_census(spark, files).values():
+        # files with one first line have one header; Spark's own reader parses it
+        headers.setdefault(tuple(reader.csv(same[0]).columns), []).extend(same)
     first, *others = headers or {(): [paths]}
     for other in others:
         if set(other) != set(first):
             raise ValueError(f"{headers[other][0]} has columns {list(other)}, {headers[first][0]} has {list(first)}")
     out = None
-    for header, files in headers.items():
+    for header, same in headers.items():
         # the header is checked file by file when it is read
-        part = reader.schema(text_schema(header)).option("enforceSchema", False).csv(files)
+        part = reader.schema(text_schema(header)).option("enforceSchema", False).csv(same)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else reader.csv(paths)
 
 
+def header_census(spark: SparkSession, files: Sequence[str]) -> dict[str | None, list[str]]:
+    """Files by their first line (None: no line), found by one Spark job.
+
+    Every file is one task, which stops after the first line.  What reaches
+    the driver is one row per file, like the list of files itself.
+    """
+    if len(files) < 2:
+        return {None: list(files)} if files else {}
+    alone = {"spark.sql.files.maxPartitionBytes": str(1 << 60), "spark.sql.files.openCostInBytes": str(1 << 60)}
+    before = {k: spark.conf.get(k, None) for k in alone}
+    try:
+        for k, v in alone.items():
+            spark.conf.set(k, v)
+        lines = spark.read.text(list(files)).select(F.col("_metadata.file_path").alias("file"), "value")
+        got = lines.mapInArrow(_first_row, "file string, value string").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    first = {_plain(r["file"]): r["value"] for r in got}
+    out: dict[str | None, list[str]] = {}
+    for f in files:
+        out.setdefault(first.get(_plain(f)), []).append(f)
+    return out
+
+
+def _first_row(batches: Iterator) -> Iterator:
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def _plain(path: str) -> str:
+    """One spelling of a file's address, whether it comes from a listing or from a scan."""
+    return unquote(path).replace("file:///", "file:/")
+
+
 def _files(spark: SparkSession, path: str) -> list[str]:
     """The files that a path, folder or glob stands for (names only, listed by Spark's file system)."""
     jvm = spark._jvm

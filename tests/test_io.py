@@ -68,8 +68,7 @@ def test_full_refresh_to_a_given_location(spark, scratch):
     base = os.path.join(scratch, "warehouse_path")
     report = sinks.load_all(spark, {"five": df}, "path_test", base_path=base)
     assert report.collect()[0].rows == 5
-    assert os.path.isdir(os.path.join(base, "five"))
-    assert spark.read.parquet(os.path.join(base, "five")).count() == 5
+    assert spark.read.parquet(sinks.live_version(spark, os.path.join(base, "five"))).count() == 5
     again = sinks.load_all(spark, {"five": spark.range(2).withColumnRenamed("id", "k")}, "path_test", base_path=base)
     assert again.collect()[0].rows == 2 and spark.table("path_test.five").count() == 2
 
@@ -92,3 +91,43 @@ def test_columns_are_matched_by_name(spark, scratch):
             read_text_csv(spark, [one, put("c.csv", other)])
     with pytest.raises(Exception):
         read_text_csv(spark, [two], schema=text_schema(["id", "x"])).collect()
+
+
+def test_a_refresh_that_fails_leaves_the_table(spark, scratch):
+    import pytest
+    at = os.path.join(scratch, "t")
+    sinks.full_refresh(spark.range(3), "kept", path=at)
+    live = sinks.live_version(spark, at)
+    bad = spark.range(100).selectExpr("cast(if(id = 77, 'x', '1') as int) as id")
+    with pytest.raises(Exception):
+        sinks.full_refresh(bad, "kept", path=at)
+    assert sinks.live_version(spark, at) == live and spark.table("kept").count() == 3
+    reader = spark.table("kept")                             # of the version that is live now
+    assert sinks.full_refresh(spark.range(7), "kept", path=at) == 7
+    assert spark.table("kept").count() == 7 and reader.count() == 3
+    for n in range(3):
+        sinks.full_refresh(spark.range(n), "kept", path=at)
+    assert len([v for v in os.listdir(at) if v.startswith("v-")]) == 2 and spark.table("kept").count() == 2
+
+
+def test_a_table_of_an_older_load_is_replaced(spark, scratch):
+    spark.range(4).write.mode("overwrite").saveAsTable("older_load")
+    assert sinks.full_refresh(spark.range(2), "older_load") == 2 and spark.table("older_load").count() == 2
+
+
+def test_header_census_takes_one_job(spark, scratch):
+    for i in range(40):
+        write(os.path.join(scratch, f"f {i}.csv"), ("a,b\n" if i % 3 else "b,a\n") + "".join(f"{i},{k}\n" for k in range(50)))
+    write(os.path.join(scratch, "empty.csv"), "")
+    files = text._files(spark, scratch)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("census", "census")
+    got = text.header_census(spark, files)
+    spark.sparkContext.setJobGroup("other", "other")
+    assert len(tracker.getJobIdsForGroup("census")) <= 2     # one, and Spark's own listing of many paths
+    assert {k: len(v) for k, v in got.items()} == {"a,b": 26, "b,a": 14, None: 1}
+    assert text.header_census(spark, []) == {} and text.header_census(spark, files[:1]) == {None: files[:1]}
+    os.rename(os.path.join(scratch, "empty.csv"), os.path.join(scratch, "_empty"))
+    df = text.read_text_csv(spark, scratch)
+    assert df.count() == 2000
+    assert df.filter("cast(a as int) >= 40").count() == 14 * 10        # rows of files with the columns exchanged
