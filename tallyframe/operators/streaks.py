@@ -36,8 +36,10 @@ def run_keys(days: DataFrame, entity: str = "member_id", day: str = "activity_da
 
     The flag filter is applied before the window (legal, since the flag is a
     partition key of the row number, and Catalyst would not push it itself).
+    Rows without a date are numbered last, have no run key, and so make one
+    run without dates.
     """
-    w = Window.partitionBy(entity).orderBy(day)
+    w = Window.partitionBy(entity).orderBy(F.col(day).asc_nulls_last())
     active = days.filter(F.col(flag)).select(entity, day)
     return active.withColumn("run_key", F.date_sub(F.col(day), F.row_number().over(w)))
 
@@ -52,8 +54,9 @@ def run_bounds(keyed: DataFrame, entity: str = "member_id", day: str = "activity
 
 
 def recency_rank(runs: DataFrame, entity: str = "member_id") -> DataFrame:
-    """The run that ends last gets rank 1."""
-    w = Window.partitionBy(entity).orderBy(F.col("streak_end_date").desc())
+    """The run that ends last gets rank 1; a run without dates comes before all others, as in the
+    reference's database, where a descending order puts nulls first."""
+    w = Window.partitionBy(entity).orderBy(F.col("streak_end_date").desc_nulls_first())
     return runs.withColumn("streak_recency_rank", F.row_number().over(w).cast("bigint"))
 
 
@@ -107,8 +110,8 @@ def streak_summary(streaks: DataFrame, as_of: DataFrame, entity: str = "member_i
     """
     agg = streaks.groupBy(entity).agg(
         F.max("streak_length_days").alias("longest_streak"),
-        F.max_by("streak_length_days", "streak_end_date").alias("latest_streak_length"),
-        F.max("streak_end_date").alias("latest_streak_end"),
+        F.max(F.when(F.col("streak_recency_rank") == 1, F.col("streak_length_days"))).alias("latest_streak_length"),
+        F.max(F.when(F.col("streak_recency_rank") == 1, F.col("streak_end_date"))).alias("latest_streak_end"),
     )
     cur: Column = F.col("latest_streak_end") == as_of.select("as_of_date").scalar()
     return agg.select(

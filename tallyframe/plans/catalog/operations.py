@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ... import fixed_values as fv
+from ...functions.hashing import hash32
 from ...sources import testdata as td
 from .. import operations as op
 from ..oracle_base import avg_one_place, h_sql, sql
@@ -44,7 +45,7 @@ from (
   from (select ticket_id, ticket_priority, ticket_status, created_at from tickets) t) b""", "tickets"))
 def resolution_bands(spark, d):
     """Staged tickets carry all four priorities, the first band's among them."""
-    return op.resolution_bands(c.tickets(spark, d), TICKETS_AS_OF, seed=td.SEED)
+    return op.resolution_bands(c.tickets(spark, d), TICKETS_AS_OF, hash32("ticket_id", seed=td.SEED, salt="resolve"))
 
 
 def _title(code: str) -> str:
@@ -62,7 +63,9 @@ select campaign_id,
        case when end_date < date '2001-12-31' then 'completed' else 'active' end as status
 from campaigns""", "campaigns"))
 def campaign_labels(spark, d):
-    return op.campaign_labels(c.campaigns(spark, d), td.ORDERS_AS_OF, seed=td.SEED)
+    pick = (hash32("campaign_id", seed=td.SEED, salt="theme") % len(fv.THEMES) + 1).cast("int")
+    theme = F.element_at(F.array(*[F.lit(t) for t in fv.THEMES]), pick)
+    return op.campaign_labels(c.campaigns(spark, d), td.ORDERS_AS_OF, theme)
 
 
 @register("unit_conversion", """

@@ -13,34 +13,42 @@ def streaks_of(spark, d):
     return sk.member_streaks(td.activity_days(spark, d), already_daily=True)
 
 
-@register("run_key", sql("""
-select member_id, activity_date,
-       activity_date - cast(row_number() over (partition by member_id order by activity_date) as integer) as run_key
-from activity where is_active_day""", "activity"))
+# runs told without numbering days: a day starts a run when the day before it is not active; the n-th active day
+# of a member has run key day - n, and n counts the starts of the run and the days since
+RUNS = """
+day as (select member_id, activity_date as d, lag(activity_date) over w as before from activity where is_active_day
+        window w as (partition by member_id order by activity_date)),
+run as (select member_id, d, sum(case when before is null or d - before > 1 then 1 else 0 end)
+               over (partition by member_id order by d) as run_no from day),
+bound as (select member_id, run_no, min(d) as first_day, max(d) as last_day, max(d) - min(d) + 1 as days from run group by member_id, run_no),
+keyed as (select b.*, cast(b.first_day - cast((select coalesce(sum(e.days), 0) from bound e
+                                               where e.member_id = b.member_id and e.run_no < b.run_no) as integer) - 1 as date) as run_key
+          from bound b)"""
+
+
+def runs_sql(body: str) -> str:
+    return sql(f"select * from (with {RUNS.strip()} {body}) q", "activity")
+
+
+@register("run_key", runs_sql("""
+select run.member_id, run.d as activity_date, keyed.run_key
+from run join keyed on keyed.member_id = run.member_id and keyed.run_no = run.run_no"""))
 def run_key(spark, d):
     return sk.run_keys(td.activity_days(spark, d))
 
 
-@register("run_bounds", sql("""
-select member_id, run_key, min(activity_date) as streak_start_date, max(activity_date) as streak_end_date,
-       count(*) as streak_length_days
-from (select member_id, activity_date,
-             activity_date - cast(row_number() over (partition by member_id order by activity_date) as integer) as run_key
-      from activity where is_active_day) k
-group by member_id, run_key""", "activity"))
+@register("run_bounds", runs_sql("""
+select member_id, run_key, first_day as streak_start_date, last_day as streak_end_date,
+       cast(days as bigint) as streak_length_days from keyed"""))
 def run_bounds(spark, d):
     return sk.run_bounds(sk.run_keys(td.activity_days(spark, d)))
 
 
-@register("recency_rank", sql("""
-select *, cast(row_number() over (partition by member_id order by streak_end_date desc) as bigint) as streak_recency_rank
-from (select member_id, run_key, min(activity_date) as streak_start_date, max(activity_date) as streak_end_date,
-             count(*) as streak_length_days
-      from (select member_id, activity_date,
-                   activity_date - cast(row_number() over (partition by member_id order by activity_date) as integer)
-                     as run_key
-            from activity where is_active_day) k
-      group by member_id, run_key) b""", "activity"))
+@register("recency_rank", runs_sql("""
+select k.member_id, k.run_key, k.first_day as streak_start_date, k.last_day as streak_end_date,
+       cast(k.days as bigint) as streak_length_days,
+       (select count(*) from keyed later where later.member_id = k.member_id and later.last_day >= k.last_day) as streak_recency_rank
+from keyed k"""))
 def recency_rank(spark, d):
     return sk.recency_rank(sk.run_bounds(sk.run_keys(td.activity_days(spark, d))))
 

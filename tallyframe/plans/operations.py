@@ -8,14 +8,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import (DEFAULT_RESOLUTION_DAYS, LABEL_SEPARATOR, RESOLUTION_DAYS_BY_PRIORITY,
-                            RESOLVED_STATUS_KEYWORDS, THEMES)
+                            RESOLVED_STATUS_KEYWORDS)
 from ..functions.exprs import any_keyword, clamp, first_keyword_band, lifecycle_status, miles_to_km, \
     title_label, truncating_int
-from ..functions.hashing import hash32
 from ..operators.joins import HOT_KEY_ROWS, lookup_join
 
 
@@ -41,36 +40,36 @@ def billing_resolution(subscriptions: DataFrame, members: DataFrame, accounts: D
         .cast("decimal(18,2)").alias("billed_amount"))
 
 
-def resolution_bands(tickets: DataFrame, as_of: dt.date | str, *, key: str = "ticket_id",
+def resolution_bands(tickets: DataFrame, as_of: dt.date | str, offset: Column | str, *, key: str = "ticket_id",
                      priority: str = "ticket_priority", status: str = "ticket_status",
-                     created: str = "created_at", seed=42,
-                     bands=RESOLUTION_DAYS_BY_PRIORITY, default=DEFAULT_RESOLUTION_DAYS,
-                     keywords=RESOLVED_STATUS_KEYWORDS) -> DataFrame:
+                     created: str = "created_at", bands=RESOLUTION_DAYS_BY_PRIORITY,
+                     default=DEFAULT_RESOLUTION_DAYS, keywords=RESOLVED_STATUS_KEYWORDS) -> DataFrame:
     """K19 (P23 P24 P18 P21): resolution date for resolved tickets.
 
-    The first priority keyword found picks a (min, max) day window; the
-    ticket's hash picks a day count inside it; the date is capped at the
-    as-of date.  Unresolved tickets get a null date.
+    The first priority keyword found picks a (min, max) day window; ``offset``
+    (whole, not negative) is taken round that window to a day count, and the
+    date is capped at the as-of date.  Unresolved tickets, and tickets
+    without an offset or creation date, get a null date.
     """
     band = first_keyword_band(priority, bands, default)
     t = tickets.withColumn("__band", band)
     low, high = F.col("__band.low"), F.col("__band.high")
-    days = low + (hash32(key, seed=seed, salt="resolve") % (high - low + 1)).cast("int")
+    given = F.col(offset) if isinstance(offset, str) else offset
+    days = low + F.pmod(given, high - low + 1).cast("int")
     resolved = any_keyword(status, keywords)
-    date = clamp(F.date_add(F.col(created), days), high=F.lit(as_of).cast("date"))
+    date = F.date_add(F.col(created), days)
+    date = F.when(date.isNotNull(), clamp(date, high=F.lit(as_of).cast("date")))
     return t.select(
         key, priority, status, created,
         low.alias("band_low"), high.alias("band_high"),
         F.when(resolved, date).alias("resolved_at"))
 
 
-def campaign_labels(campaigns: DataFrame, as_of: dt.date | str, seed=42) -> DataFrame:
-    """P25 + P26: ``theme - Channel Name`` labels and a lifecycle status."""
-    themes = F.array(*[F.lit(t) for t in THEMES])
-    pick = (hash32("campaign_id", seed=seed, salt="theme") % len(THEMES) + 1).cast("int")
+def campaign_labels(campaigns: DataFrame, as_of: dt.date | str, theme: Column | str = "theme") -> DataFrame:
+    """P25 + P26: ``theme - Channel Name`` labels and a lifecycle status; the theme is the campaign's own."""
     return campaigns.select(
         "campaign_id",
-        title_label(F.element_at(themes, pick), "channel", LABEL_SEPARATOR).alias("campaign_label"),
+        title_label(theme, "channel", LABEL_SEPARATOR).alias("campaign_label"),
         lifecycle_status("end_date", F.lit(as_of).cast("date")).alias("status"))
 
 

@@ -105,3 +105,12 @@ def test_two_exchanges_from_raw_rows(spark):
     s = sk.member_streaks(raw)
     # day grain (map-side combined) + the member window chain
     assert exchanges(s) == base + 2, final_plan(s)
+
+
+def test_rows_without_a_date(spark):
+    """They make one run without dates, which ranks first; the other runs are as without them."""
+    rows_ = [("m", d("2024-01-01"), True), ("m", d("2024-01-02"), True), ("m", None, True), ("m", d("2024-01-05"), True), ("n", None, False), ("n", d("2024-01-01"), True)]
+    df = spark.createDataFrame(rows_, "member_id string, activity_date date, is_active_day boolean")
+    assert rows(sk.member_streaks(df)) == sorted([
+        ("m", None, None, 1, 1), ("m", d("2024-01-05"), d("2024-01-05"), 1, 2), ("m", d("2024-01-01"), d("2024-01-02"), 2, 3),
+        ("n", d("2024-01-01"), d("2024-01-01"), 1, 1)], key=lambda t: tuple((x is None, str(x)) for x in t))
