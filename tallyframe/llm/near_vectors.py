@@ -5,11 +5,13 @@ The classes of a label are dealt into shards of about ``SHARD_ROWS``.  Each
 shard's hierarchical graph is built once and stored; then every shard's
 vectors query every shard of their label (each pair of shards once), a
 query block at a time.  A query is a beam search followed by a walk through
-all vectors near enough.  For an audit, queries chosen by hash are compared
-with brute force over the shard, a vector's match with itself left out: the
-recall of their ``NEAREST`` nearest vectors (never empty, however rare links
-are) and of their links must both reach ``RECALL``.  Until they do, the beam
-is doubled; past ``WIDEST`` all queries are compared by brute force.  Each
+all vectors near enough.  Each graph is audited once, when it is built, with
+queries that always have a link to find: stored vectors chosen by hash,
+turned by a random angle that leaves a cosine of ``LEAST`` to ``CLOSE``, and,
+beside them, the links that stored vectors really have.  Of each kind the
+links found must reach ``RECALL`` of those that brute force finds.  Until
+they do, the graph's beam is doubled; past ``WIDEST`` all queries of that
+graph are compared by brute force.  Each
 link found is verified by its cosine in double precision.  A pair of shards
 returns, for each vector, the number of links (copies counted) and one edge
 to the smallest vector it is joined with there, never the pairs themselves,
@@ -35,7 +37,7 @@ from tallyframe.llm.components import components
 from tallyframe.llm.shared import stored
 from tallyframe.llm.small_world import LOT, Graph
 
-LEAST, RECALL, AUDIT, NEAREST, FIRST_BEAM, WIDEST, SHARD_ROWS = 0.98, 0.97, 64, 10, 24, 768, 8192
+LEAST, CLOSE, RECALL, AUDIT, FIRST_BEAM, WIDEST, SHARD_ROWS = 0.98, 0.99, 0.98, 256, 24, 768, 8192
 #: single-precision similarities may be off by this much before verification
 SLACK = 1e-5
 
@@ -62,14 +64,16 @@ def build_shard(table: pa.Table) -> bytes:
     column = table.column("embedding").combine_chunks()
     x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)[order]
     g = Graph.build(unit(x), ids)
-    shape = np.array([x.shape[1], g.entry, *(t.shape[1] for t in g.layers)], np.int64)
+    shape = np.array([x.shape[1], g.entry, audited_beam(g, x, ids) or 0, *(t.shape[1] for t in g.layers)], np.int64)
     return M.pack(ids, count, x.astype(np.float64 if x.dtype == np.float64 else np.float32).ravel(), shape, *(t.ravel() for t in g.layers))
 
 
-def open_shard(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, Graph]:
+def open_shard(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, Graph, int | None]:
+    """(ids, copies, vectors, graph, beam) of a shard; no beam: its queries are compared by brute force."""
     ids, count, x, shape, *layers = M.unpack(payload)
     x = x.reshape(len(ids), shape[0])
-    return ids, count, x, Graph(unit(x), [t.reshape(len(ids), w) for t, w in zip(layers, shape[2:], strict=True)], int(shape[1]))
+    graph = Graph(unit(x), [t.reshape(len(ids), w) for t, w in zip(layers, shape[3:], strict=True)], int(shape[1]))
+    return ids, count, x, graph, int(shape[2]) or None
 
 
 def find(graph: Graph, x: np.ndarray, q: np.ndarray, beam: int | None):
@@ -84,28 +88,30 @@ def find(graph: Graph, x: np.ndarray, q: np.ndarray, beam: int | None):
             yield r[fit], c[fit]
 
 
-def audited_beam(graph: Graph, x: np.ndarray, q: np.ndarray, q_ids: np.ndarray, own: bool) -> int | None:
-    """The first beam whose recall over the audit queries is high enough (None: none is, compare all).
-    ``own``: the queries are the shard's vectors, in its order."""
-    pick = np.argsort(A.mix(q_ids.view(A.U64), 61), kind="stable")[:AUDIT]
-    sample, itself = q[pick], pick[:, None] if own else np.full((len(pick), 1), -1)
-    sims = unit(sample) @ graph.x.T
-    if own:
-        np.put_along_axis(sims, itself, -np.inf, 1)
-    k = min(NEAREST, len(x) - own)
-    if not k:
-        return FIRST_BEAM
-    # a vector as near as the k-th counts in its place
-    last = np.partition(sims, len(x) - k, axis=1)[:, len(x) - k, None] - SLACK
+def turned(x: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Each vector at a random angle, with a cosine of ``LEAST`` to ``CLOSE`` to what it was; repeatable."""
+    v = unit(x).astype(np.float64)
+    side = np.random.default_rng(int(ids[0]) & 0x7FFFFFFF).standard_normal(v.shape)
+    side -= (side * v).sum(1, keepdims=True) * v
+    size = np.linalg.norm(side, axis=1, keepdims=True)
+    share = (A.mix(ids.view(A.U64), 62) >> A.U64(11)).astype(np.float64)[:, None] / 2.0**53
+    cosine = np.where(size > 1e-9, LEAST + 1e-6 + (CLOSE - LEAST) * share, 1.0)       # one dimension has no side
+    return cosine * v + np.sqrt(1 - cosine**2) * side / np.maximum(size, 1e-9)
 
-    def links(beam: int | None) -> int:
-        return sum(int((itself[r, 0] != c).sum()) for r, c in find(graph, x, sample, beam))
 
+def audited_beam(graph: Graph, x: np.ndarray, ids: np.ndarray) -> int | None:
+    """The first beam that finds enough of the audit's links (None: none does, compare all)."""
+    pick = np.argsort(A.mix(ids.view(A.U64), 61), kind="stable")[:AUDIT]
+
+    def links(beam: int | None) -> np.ndarray:
+        planted = sum(len(r) for r, _ in find(graph, x, queries, beam))
+        real = sum(int((pick[r] != c).sum()) for r, c in find(graph, x, x[pick], beam))
+        return np.array([planted, real])
+
+    queries = turned(x[pick], ids[pick])
     truth, beam = links(None), FIRST_BEAM
     while beam <= WIDEST:
-        ids, value = graph.nearest(unit(sample), beam)
-        near = np.minimum(((value >= last) & (ids >= 0) & (ids != itself)).sum(axis=1), k).sum()
-        if near >= RECALL * k * len(sample) and links(beam) >= RECALL * truth:
+        if (links(beam) >= RECALL * truth).all():
             return beam
         beam *= 2
     return None
@@ -113,17 +119,17 @@ def audited_beam(graph: Graph, x: np.ndarray, q: np.ndarray, q_ids: np.ndarray,
 
 def search_shards(left: bytes, right: bytes | None) -> pa.Table:
     """Query the left shard with the right shard's vectors (its own if None)."""
-    ids, count, x, graph = open_shard(left)
+    ids, count, x, graph, beam = open_shard(left)
     if right is None:
         q_ids, q_count, q = ids, count, x
     else:
-        q_ids, q_count, q, _ = open_shard(right)
+        q_ids, q_count, q, _, _ = open_shard(right)
     n = len(ids)
     shift = 0 if right is None else n
     links, root = np.zeros(shift + len(q_ids), np.int64), np.arange(shift + len(q_ids))
     all_ids = ids if right is None else np.r_[ids, q_ids]
     met: list[np.ndarray] = []
-    for r, c in find(graph, x, q, audited_beam(graph, x, q, q_ids, right is None)):
+    for r, c in find(graph, x, q, beam):
         if right is None:
             r, c = r[r != c], c[r != c]
             met.append(np.unique(np.minimum(r, c) * n + np.maximum(r, c)))

@@ -89,19 +89,41 @@ def test_last_vector_of_a_shard_is_found():
     assert all(len(set(r)) == len(r) for r in ids.tolist()) and (ids == 299).any()
 
 
-def test_audit_measures_without_links():
+def test_audit_measures_links_though_there_are_none():
     rng = np.random.default_rng(5)
     x = rng.normal(size=(900, 24))
-    ids, _, left, graph = near_vectors.open_shard(shard(range(900), x))
-    q = rng.normal(size=(200, 24)).astype(np.float32)
-    q_ids = np.arange(1000, 1200)
-    assert near_vectors.audited_beam(graph, left, q, q_ids, False) is not None
-    # a broken graph finds nothing but its entry, and a self match is no proof: all is compared then
-    graph.layers = [np.full_like(t, -1) for t in graph.layers]
-    assert near_vectors.audited_beam(graph, left, q, q_ids, False) is None
-    # every vector finds itself and nothing else
-    graph.search = lambda k, u, start, beam: (np.pad((u @ graph.x.T).argmax(axis=1)[:, None].astype(np.int32), ((0, 0), (0, beam - 1)), constant_values=-1),
-                                              np.pad((u @ graph.x.T).max(axis=1)[:, None], ((0, 0), (0, beam - 1)), constant_values=-np.inf))
-    assert near_vectors.audited_beam(graph, left, left, ids, True) is None
+    ids, _, left, graph, beam = near_vectors.open_shard(shard(range(900), x))
+    assert beam == near_vectors.FIRST_BEAM
+    q = near_vectors.turned(left, ids)
+    near = (near_vectors.unit(q) * near_vectors.unit(left)).sum(axis=1)
+    assert near.min() > 0.97999 and near.max() < 0.9901 and near.std() > 1e-3
+    # a broken graph finds nothing but its entry: all is compared then
+    good, graph.layers = graph.layers, [np.full_like(t, -1) for t in graph.layers]
+    assert near_vectors.audited_beam(graph, left, ids) is None
     r, c = (np.concatenate(z) for z in zip(*near_vectors.find(graph, left, left, None)))
     assert (r == c).all() and len(r) == 900
+    graph.layers = good
+
+    def only_itself(g):
+        """Every query finds the vector nearest to it and nothing else."""
+        g.search = lambda k, u, start, beam: (np.pad((u @ g.x.T).argmax(axis=1)[:, None].astype(np.int32), ((0, 0), (0, beam - 1)), constant_values=-1),
+                                              np.pad((u @ g.x.T).max(axis=1)[:, None], ((0, 0), (0, beam - 1)), constant_values=-np.inf))
+        g.layers = [np.full_like(t, -1) for t in g.layers]
+
+    # where vectors have real links, a match with itself is no proof
+    x[450:] = x[:450] + rng.normal(size=(450, 24)) * 0.02
+    ids, _, left, graph, _ = near_vectors.open_shard(shard(range(900), x))
+    only_itself(graph)
+    assert near_vectors.audited_beam(graph, left, ids) is None
+
+
+def test_links_across_shards_of_random_vectors():
+    """Rare links between shards full of unlinked vectors are found (recall by brute force)."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4000, 64))
+    x[2000:2300] = near_vectors.turned(x[:300].astype(np.float32), np.arange(300))
+    left, right = shard(range(2000), x[:2000]), shard(range(2000, 4000), x[2000:])
+    got = {r["a"]: r["b"] for r in near_vectors.search_shards(left, right).to_pylist()}
+    assert sum(got.get(2000 + i) == i for i in range(300)) >= 0.97 * 300
+    one = near_vectors.turned(np.array([[3.0], [-2.0]], np.float32), np.array([1, 2]))
+    assert np.allclose(one, [[1.0], [-1.0]])
