@@ -84,17 +84,15 @@ def targets(sources: DataFrame, budget: int | None = None, settings: Settings =
     rows = numbered.withColumn("weight", F.get(kinds, (F.col("__no") % len(s.weights)).cast("int")).cast("bigint")) \
         .withColumn("__cap", (F.col("source_size") * s.max_repeats).cast(wide)) \
         .withColumn("__level", (F.col("__cap") * (unit / F.col("weight")).cast("bigint")).cast(wide))
-    rows = stored(rows.select("source", "source_size", "weight", "__cap", "__level"))
+    rows = rows.select("source", "source_size", "weight", "__cap", "__level")
     whole = rows.agg(F.sum("source_size").alias("words"), F.sum("weight").alias("weights"), F.sum("__cap").alias("room")).first()
     total = min(int(whole.words or 0) if budget is None else int(budget), int(whole.room or 0))
     levels = running_totals(rows, ["__level", last], {"__filled": "__cap", "__passed": "weight"}, keep=stored)
     # at the source's own level: full ones before it hold their caps, the rest (itself included) level x weight
     at = F.col("__filled") * unit + F.col("__level") * (F.lit(int(whole.weights or 0)) - F.col("__passed"))
     full = levels.withColumn("__full", at <= F.lit(total * unit).cast(wide))
-    full = stored(full.select("source", "source_size", "weight", "__cap", "__full"))
-    left = full.where("not __full").agg(F.sum("weight").alias("w")).first().w or 1
-    held = full.where("__full").agg(F.sum("__cap").alias("c")).first().c or 0
-    share = F.lit(float((total - int(held)) / left))
+    sums = full.agg(F.sum(F.when(~F.col("__full"), F.col("weight"))).alias("left"), F.sum(F.when(F.col("__full"), F.col("__cap"))).alias("held")).first()
+    share = F.lit(float((total - int(sums.held or 0)) / (sums.left or 1)))
     return full.select("source", "source_size", "weight",
                        F.when(F.col("__full"), F.col("__cap").cast("double")).otherwise(share * F.col("weight")).alias("target"))
 
