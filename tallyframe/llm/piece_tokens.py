@@ -8,7 +8,13 @@ occurrences; these edges (start, end, piece) are sorted by position.  The
 segmentation then relaxes all words together: as byte-pair models prescribe,
 each round joins, in every word, the two neighbours whose edge has the best
 score (leftmost of equals), until no edge joins neighbours.  Characters
-without a piece become byte pieces.
+without a piece become byte pieces.  A word longer than ``LONG`` bytes (text
+without blanks) is relaxed on its own with a heap of joins over linked
+neighbours, in the same order, so its time grows with n log n.
+
+Words that a worker has segmented before are kept, up to ``MOST_KNOWN`` of
+them, so later slices only match words that are new to it.  They are
+recognised by two independent 64-bit hashes.
 
 Normalisation is the model's own.  A vocabulary with pieces that reach across
 words, or that is not a byte-pair model, is refused.
@@ -21,6 +27,7 @@ encoded whole.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from functools import cache
 
@@ -35,6 +42,10 @@ from tallyframe.llm.suffix_sort import sort_suffixes, words
 MARK = "▁"  # stands for a blank in pieces
 RAW_MARK = MARK.encode()
 SLICE = 4 << 20
+LONG = 256                     # bytes of a word that is relaxed on its own
+MOST_KNOWN = 1 << 19           # words kept by a worker ...
+KNOWN_BYTES = 64               # ... of at most this size
+OTHER = np.uint8(0xA5)         # bytes exchanged for the second hash
 ENCODED = "doc_id long, n_ids long, ids array<int>, decodes_back boolean"
 
 
@@ -52,12 +63,14 @@ class Pieces:
         self.byte = np.array([self.model.piece_to_id(f"<0x{b:02X}>") for b in range(256)], np.int32)
         self.unknown = self.model.unk_id()
         raw = [text[i].encode() for i in plain]
+        self.known = Known()
         self.ids, self.length = np.array(plain, np.int32), np.array([len(r) for r in raw], np.int64)
         self.longest = int(self.length.max())
         #: rank of each id by score: 0 joins first, equal scores share a rank
         self.rank = np.zeros(n, np.int64)
         order = np.argsort(-score, kind="stable")
         self.rank[order] = np.cumsum(np.r_[0, np.diff(score[order]) != 0])
+        self.rank_of = dict(zip(raw, self.rank[self.ids].tolist(), strict=True))
         self.chars = -(-self.longest // 8)
         table = np.zeros((len(raw), self.chars * 8), np.uint8)
         for k, r in enumerate(raw):
@@ -125,6 +138,16 @@ class Pieces:
         pos = np.flatnonzero(inner)
         rank[pos] = join_rank(s[pos], e[pos + 1])
         done_s, done_e = [], []
+        wide = np.diff(off) > LONG
+        if wide.any():
+            for w in np.flatnonzero(wide):
+                a, b = np.searchsorted(word, [w, w + 1])
+                ends = self.join_long(text[off[w] : off[w + 1]].tobytes(), s[a:b] - off[w], rank[a:b])
+                kept = np.flatnonzero(ends)
+                done_s.append(s[a:b][kept])
+                done_e.append(ends[kept] + off[w])
+            rest = ~wide[word]
+            s, e, word, rank = s[rest], e[rest], word[rest], rank[rest]
         while len(s):
             first = A.group_starts(word)
             best = np.minimum.reduceat(rank, first)
@@ -164,13 +187,55 @@ class Pieces:
         per = np.bincount(np.searchsorted(off, s[row], side="right") - 1, minlength=len(off) - 1)
         return ids.astype(np.int32), np.r_[0, np.cumsum(per)]
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, offsets)."""
+    def join_long(self, text: bytes, start: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """End of each symbol of one word once no edge joins neighbours; 0 for those joined to one before."""
+        n, far = len(start), int(FAR)
+        begin = start.tolist()
+        end = [*begin[1:], len(text)]
+        now, after, before = rank.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i, r in enumerate(now) if r < far]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            if now[i] != r:                      # joined since, or its neighbour has grown
+                continue
+            j = after[i]
+            end[i], end[j], now[j], after[i] = end[j], 0, far, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for k in (i, before[i]):
+                if k < 0:
+                    continue
+                then = after[k]
+                now[k] = self.rank_of.get(text[begin[k] : end[then]], far) if then < n and end[then] - begin[k] <= self.longest else far
+                if now[k] < far:
+                    heapq.heappush(heap, (now[k], k))
+        return np.array(end, np.int64)
+
+    def words(self, text: np.ndarray, off: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, offsets) of distinct words with their hashes; known ones are not matched again."""
+        h2 = A.run_hashes(text ^ OTHER, off[:-1], off[1:])
+        count, at, kept = self.known.find(h, h2)
+        new = np.flatnonzero(at < 0)
+        size = np.diff(off)
+        src = np.arange(int(size[new].sum())) + np.repeat(off[new] - (np.cumsum(size[new]) - size[new]), size[new])
+        ids, ends = self.segment(text[src], np.r_[0, np.cumsum(size[new])])
+        count[new], at[new] = np.diff(ends), ends[:-1] + len(kept)
+        both = np.concatenate([kept, ids])
+        out = np.cumsum(count) - count
+        got = both[np.arange(int(count.sum())) + np.repeat(at - out, count)]
+        small = new[size[new] <= KNOWN_BYTES]
+        if len(small):
+            self.known.add(h[small], h2[small], count[small], both[np.arange(int(count[small].sum())) + np.repeat(at[small] - (np.cumsum(count[small]) - count[small]), count[small])])
+        return got, np.r_[out, count.sum()].astype(np.int64)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """(ids of all texts, offsets, normal forms)."""
         raw = [self.model.normalize(t).encode() if t else b"" for t in texts]
         off = np.r_[0, np.cumsum([len(r) for r in raw])].astype(np.int64)
         data = np.frombuffer(b"".join(raw), np.uint8)
         if not len(data):
-            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64), raw
         mark = np.zeros(len(data) + 3, bool)
         mark[: len(data) - 2] = (data[:-2] == RAW_MARK[0]) & (data[1:-1] == RAW_MARK[1]) & (data[2:] == RAW_MARK[2]) if len(data) > 2 else False
         head = mark[: len(data)].copy()
@@ -188,11 +253,11 @@ class Pieces:
         size = (end - start)[pick]
         word_off = np.r_[0, np.cumsum(size)]
         src = np.arange(word_off[-1]) + np.repeat(start[pick] - word_off[:-1], size)
-        ids, at = self.segment(data[src], word_off)
+        ids, at = self.words(data[src], word_off, h[pick])
         count = np.diff(at)[back]
         src = np.arange(count.sum()) + np.repeat(at[:-1][back] - (np.cumsum(count) - count), count)
         per = np.bincount(doc, weights=count, minlength=len(texts)).astype(np.int64)
-        return ids[src], np.r_[0, np.cumsum(per)]
+        return ids[src], np.r_[0, np.cumsum(per)], raw
 
     def decode(self, ids: np.ndarray, off: np.ndarray) -> list[str]:
         """The texts of lists of ids; the blank put before a text when encoding is taken off."""
@@ -203,6 +268,35 @@ class Pieces:
         return [(p[1:] if p[:1] == b" " else p).decode(errors="replace") for p in parts]
 
 
+class Known:
+    """Ids of words met before, by their hashes; emptied when ``MOST_KNOWN`` are held."""
+
+    def __init__(self):
+        self.first, self.second = np.zeros(0, A.U64), np.zeros(0, A.U64)
+        self.count, self.at, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def find(self, h: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of ids, where they start or -1, all ids kept)."""
+        count, at = np.zeros(len(h), np.int64), np.full(len(h), -1, np.int64)
+        if len(self.first):
+            place = np.minimum(np.searchsorted(self.first, h), len(self.first) - 1)
+            hit = (self.first[place] == h) & (self.second[place] == h2)
+            count[hit], at[hit] = self.count[place[hit]], self.at[place[hit]]
+        return count, at, self.ids
+
+    def add(self, h: np.ndarray, h2: np.ndarray, count: np.ndarray, ids: np.ndarray) -> None:
+        if len(self.first) + len(h) > MOST_KNOWN:
+            self.__init__()
+        if len(h) > MOST_KNOWN:
+            return
+        at = np.cumsum(count) - count + len(self.ids)
+        first = np.concatenate([self.first, h])
+        order = np.argsort(first, kind="stable")
+        self.first, self.second = first[order], np.concatenate([self.second, h2])[order]
+        self.count, self.at = np.concatenate([self.count, count])[order], np.concatenate([self.at, at])[order]
+        self.ids = np.concatenate([self.ids, ids])
+
+
 FAR = np.int64(1 << 40)
 
 
@@ -232,9 +326,9 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
             texts = batch.column(1).to_pylist()
             for i, j in groups(texts):
                 part = [t or "" for t in texts[i:j]]
-                ids, off = p.encode(part)
+                ids, off, normal = p.encode(part)
                 back = p.decode(ids, off)
-                want = [p.model.normalize(t).replace(MARK, " ") if t else "" for t in part]
+                want = [n.decode().replace(MARK, " ") for n in normal]
                 fine = [b == (w[1:] if w[:1] == " " else w) for b, w in zip(back, want, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i).cast(pa.int64()), pa.array(np.diff(off)),
