@@ -6,13 +6,17 @@ of their embeddings, and a linear softmax turns the vector into class
 probabilities.  Embeddings and softmax are trained jointly in numpy, on
 words weighted by how many toxic and clean labelled documents hold them; a
 misspelling that was never seen still shares most of its n-grams with the
-word it stands for.  A document's score is a logistic curve, fitted on
-documents, over the toxic log-odds of its most toxic word, so one insult in
-a long text is not averaged away.
+word it stands for.  A document's vector is the average over its words; the
+softmax is linear, so its log-odds are the average of its words' log-odds.
+The document's own softmax, fitted on documents, has that average as its
+first input, the most toxic word as its second, so that one insult in a long
+text is not averaged away, and the logarithm of the number of words as its
+third, since the largest of many words is larger by chance.
 
 Fitting uses at most ``Settings.max_rows`` labelled documents; word counts
 are taken by Spark and only words found in ``min_docs`` of those documents
-reach the trainer.  Further rounds add the words that decide each document
+reach the trainer.  Those documents are stored once, so training reads the
+corpus once.  Further rounds add the words that decide each document
 under the model so far, so that words which merely happen to stand in toxic
 documents are pushed down.  The model's size is fixed by the settings.
 
@@ -36,6 +40,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm import arrays as A
 from tallyframe.llm.labelled import fold, training_rows
+from tallyframe.llm.shared import stored
 
 FOLDS, HELD, LIMIT = 4, 2, 0.3
 
@@ -116,11 +121,11 @@ def gram_bags(text: np.ndarray, off: np.ndarray, grams: tuple[int, ...], bits: i
 @dataclass
 class Model:
     """``gram``: each n-gram's toxic log-odds (its embedding times the softmax difference),
-    averaged per word; ``slope`` and ``shift``: the document curve."""
+    averaged per word; ``weights`` and ``shift``: the document's softmax over its features."""
 
     gram: np.ndarray
     bias: float
-    slope: float
+    weights: np.ndarray
     shift: float
     settings: Settings
     constant: float | None = None
@@ -145,21 +150,23 @@ class Model:
         for k in np.flatnonzero(rank < most[d]):
             yield int(d[k]), raw[uo[w[k]] + 1 : uo[w[k] + 1]]
 
-    def document_odds(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
-        """Log-odds of the most toxic word; the bias for a document without words."""
+    def features(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Per document: average log-odds of its words, those of its most toxic word, logarithm of 1 + its words."""
         n = len(off) - 1
-        odds = np.full(n, min(self.bias, 0.0))
+        out = np.zeros((n, 3))
+        out[:, :2] = min(self.bias, 0.0)         # a document without words
         text, s, e, doc = spaced(data, off)
         if len(s):
             u, uo, back = unique_words(text, s, e)
-            first = A.group_starts(doc)
-            odds[doc[first]] = np.maximum.reduceat(self.word_odds(u, uo)[back], first)
-        return odds
+            odds, first = self.word_odds(u, uo)[back], A.group_starts(doc)
+            many = np.diff(np.r_[first, len(doc)])
+            out[doc[first]] = np.stack([np.add.reduceat(odds, first) / many, np.maximum.reduceat(odds, first), np.log1p(many)], axis=1)
+        return out
 
     def score(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(off) - 1, self.constant)
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.document_odds(data, off) + self.shift, -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(self.features(data, off) @ self.weights + self.shift, -40, 40)))
 
 
 class Trainer:
@@ -208,23 +215,25 @@ class Trainer:
 
     def model(self) -> Model:
         odds = (self.embed @ (self.soft[1] - self.soft[0])).astype(np.float64)
-        return Model(odds, float(self.bias[1] - self.bias[0]), 1.0, 0.0, self.s)
+        return Model(odds, float(self.bias[1] - self.bias[0]), np.zeros(3), 0.0, self.s)
 
 
-def fit_curve(odds: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic curve through (odds, label) by Newton's method with a small ridge; slope kept positive."""
-    beta, x = np.array([1.0, 0.0]), np.stack([odds, np.ones(len(odds))], axis=1)
+def fit_softmax(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Two-class softmax over document features by Newton's method with a small ridge: (weights, shift)."""
+    mean, spread = x.mean(0), np.maximum(x.std(0), 1e-9)
+    z = np.c_[(x - mean) / spread, np.ones(len(x))]
+    beta, ridge = np.zeros(z.shape[1]), np.full(z.shape[1], 1e-2)
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p) + 1e-6)[:, None]) + np.eye(2) * 1e-2, x.T @ (p - y) + 1e-2 * beta)
+        p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
+        step = np.linalg.solve(z.T @ (z * (p * (1 - p) + 1e-6)[:, None]) + np.diag(ridge), z.T @ (p - y) + ridge * beta)
         beta = beta - np.clip(step, -2, 2)
-        beta[0] = max(beta[0], 0.05)
-    return float(beta[0]), float(beta[1])
+    weights = beta[:-1] / spread
+    return weights, float(beta[-1] - weights @ mean)
 
 
 def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model:
     """Fit on the labelled rows outside the held-out fold, at most ``s.max_rows`` of them."""
-    rows = training_rows(docs, labels, "toxic", FOLDS, HELD, s.max_rows)
+    rows = stored(training_rows(docs, labels, "toxic", FOLDS, HELD, s.max_rows))
 
     def words(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -245,7 +254,7 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
     share = rows.agg(F.avg("__tf_label")).first()[0]
     table = sorted(zip(*(counted.column(k).to_pylist() for k in ("word", "toxic", "clean")), strict=True))
     if share is None or share in (0.0, 1.0) or not table:
-        return Model(np.zeros(1 << s.bits), 0.0, 1.0, 0.0, s, constant=float(share or 0.0))
+        return Model(np.zeros(1 << s.bits), 0.0, np.zeros(3), 0.0, s, constant=float(share or 0.0))
     trainer, context = Trainer(s), docs.sparkSession.sparkContext
     trainer.fit([r[0] for r in table], np.array([r[1] for r in table], float), np.array([r[2] for r in table], float), s.epochs)
     for _ in range(s.rounds):
@@ -271,16 +280,18 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
     model = trainer.model()
     shared = context.broadcast(model)
 
-    def odds(batches):
+    def features(batches):
         for batch in batches:
             data, off = A.text_bytes(batch.column(1))
             for i, j in A.slices(off):
-                yield pa.RecordBatch.from_arrays([pa.array(shared.value.document_odds(data[off[i] : off[j]], off[i : j + 1] - off[i])), batch.column(2).slice(i, j - i)], names=["odds", "label"])
-
-    seen = rows.mapInArrow(odds, "odds double, label int").toArrow()
-    x, y = seen.column("odds").to_numpy(), seen.column("label").to_numpy().astype(float)
-    order = np.lexsort((y, x))
-    model.slope, model.shift = fit_curve(x[order], y[order])
+                x = shared.value.features(data[off[i] : off[j]], off[i : j + 1] - off[i])
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), batch.column(2).slice(i, j - i)], names=["mean", "worst", "words", "label"])
+
+    seen = rows.mapInArrow(features, "mean double, worst double, words double, label int").toArrow()     # max_rows rows of numbers
+    x = np.stack([seen.column(k).to_numpy() for k in ("mean", "worst", "words")], axis=1)
+    y = seen.column("label").to_numpy().astype(float)
+    order = np.lexsort((y, *x.T))
+    model.weights, model.shift = fit_softmax(x[order], y[order])
     return model
 
 
