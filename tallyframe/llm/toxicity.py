@@ -20,9 +20,9 @@ corpus once.  Further rounds add the words that decide each document
 under the model so far, so that words which merely happen to stand in toxic
 documents are pushed down.  The model's size is fixed by the settings.
 
-Defined cases: null, empty and word-less texts get the score of a text whose
-words are all neutral; with no usable labels, or without both classes, every
-score is the share of toxic labels (0.0 without labels), so nothing is
+Defined cases: null, empty and word-less texts hold nothing toxic and score
+0; with no usable labels, or without both classes, the
+score of every text is the share of toxic labels (0.0 without labels), so nothing is
 rejected for want of evidence unless the labels say so.  Repeated rows give
 repeated results; an empty table gives an empty result; extra columns are
 not read by the scores and are carried through by ``reject``.
@@ -154,7 +154,6 @@ class Model:
         """Per document: average log-odds of its words, those of its most toxic word, logarithm of 1 + its words."""
         n = len(off) - 1
         out = np.zeros((n, 3))
-        out[:, :2] = min(self.bias, 0.0)         # a document without words
         text, s, e, doc = spaced(data, off)
         if len(s):
             u, uo, back = unique_words(text, s, e)
@@ -166,7 +165,8 @@ class Model:
     def score(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(off) - 1, self.constant)
-        return 1 / (1 + np.exp(-np.clip(self.features(data, off) @ self.weights + self.shift, -40, 40)))
+        x = self.features(data, off)
+        return np.where(x[:, 2] > 0, 1 / (1 + np.exp(-np.clip(x @ self.weights + self.shift, -40, 40))), 0.0)
 
 
 class Trainer:
@@ -284,8 +284,9 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Model
         for batch in batches:
             data, off = A.text_bytes(batch.column(1))
             for i, j in A.slices(off):
-                x = shared.value.features(data[off[i] : off[j]], off[i : j + 1] - off[i])
-                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), batch.column(2).slice(i, j - i)], names=["mean", "worst", "words", "label"])
+                x, label = shared.value.features(data[off[i] : off[j]], off[i : j + 1] - off[i]), batch.column(2).slice(i, j - i)
+                some = pa.array(x[:, 2] > 0)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), label], names=["mean", "worst", "words", "label"]).filter(some)
 
     seen = rows.mapInArrow(features, "mean double, worst double, words double, label int").toArrow()     # max_rows rows of numbers
     x = np.stack([seen.column(k).to_numpy() for k in ("mean", "worst", "words")], axis=1)
