@@ -54,6 +54,7 @@ from tallyframe.llm import mail as M
 from tallyframe.llm.components import components
 from tallyframe.llm.id_filter import IdFilter
 from tallyframe.llm.shared import stored
+from tallyframe.operators.joins import skew_split_join
 
 SHINGLE = 5
 #: linked when UP * |intersection| >= LOW * |union|
@@ -63,6 +64,8 @@ SMALL_GROUP = 32
 FREQUENT = 64
 LEAST_BITS, MOST_BITS = 16, 30
 SKETCH_BITS = 1024
+#: a key of more rows is split, if at most HOT_KEYS keys can have as many
+HOT_ROWS, HOT_KEYS = 1000, 10_000
 
 
 def band_limits(most: int) -> np.ndarray:
@@ -382,10 +385,21 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(fit), batch.column(1).filter(fit)], names=["a", "b"])
 
     side = lambda k: sets.select(F.col("doc_id").alias(k), F.col("shingles").alias(f"s{k}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
+    # the smallest document of a large group is in very many pairs: they are dealt over several tasks
+    hot = F.broadcast(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows(pairs))
+                      .select("a", F.ceil(F.col("n") / hot_rows(pairs)).cast("int").alias("parts")))
+    one = F.coalesce("parts", F.lit(1))
+    dealt = pairs.join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), one).cast("int").alias("part"))
+    leads = side("a").join(hot, "a", "left").select("a", "sa", F.explode(F.sequence(F.lit(0), one - 1)).alias("part"))
+    both = dealt.join(side("b"), "b").join(leads, ["a", "part"]).select("a", "b", "sa", "sb")
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+def hot_rows(rows: DataFrame) -> int:
+    """Rows of one key above which it is split: at most ``HOT_KEYS`` keys can have so many."""
+    return max(HOT_ROWS, -(-rows.count() // HOT_KEYS))
+
+
 def sets_of(docs: DataFrame, wanted: IdFilter) -> DataFrame:
     """(doc_id, sorted shingle hashes, parity sketch) of the documents that the filter passes."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
@@ -423,7 +437,15 @@ def join(docs: DataFrame) -> DataFrame:
     more = stored(verify(second_round, sets))
     if more.limit(1).count():
         labels = components(links.unionByName(more))
+    # a class of copies learns its component once, and deals it to its members; texts without words are on their own
     name = lambda c: F.when(c == M.LAST_ID, F.lit(None)).otherwise(c)
-    return (signed.join(least, ["n_shingles", "f1", "f2"], "left").withColumn("rep", F.coalesce("rep", "doc_id"))
-            .join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-            .select(name(F.col("doc_id")).alias("doc_id"), "n_shingles", name(F.coalesce("component", "rep")).alias("component_id")))
+    classes = (least.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+               .select("n_shingles", "f1", "f2", F.coalesce("component", "rep").alias("component")))
+    some = signed.where("n_shingles > 0")
+    told = skew_split_join(some, classes, ["n_shingles", "f1", "f2"], hot_rows=hot_rows(some)).select("doc_id", "n_shingles", "component")
+    empty = signed.where("n_shingles = 0").select("doc_id", "n_shingles")
+    alone = (empty.where(F.col("doc_id") != M.LAST_ID).join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component"))
+             .unionByName(empty.where(F.col("doc_id") == M.LAST_ID).withColumn("component", F.coalesce(
+                 labels.where(F.col("id") == M.LAST_ID).agg(F.min("component").alias("c")).scalar(), F.lit(M.LAST_ID)))))
+    return told.unionByName(alone).select(name(F.col("doc_id")).alias("doc_id"), "n_shingles", name(F.col("component")).alias("component_id"))
