@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -48,17 +49,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     A cluster names a shared folder there; only when it is unset in local
     mode (tests) do we create a scratch folder of our own.  On a cluster an
-    unset folder is an error.
+    unset folder is an error, and so is one that cannot be written or that
+    the executors do not see (:func:`check_shared`, once per session and folder).
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
+        if not _in_one_process(spark):
+            check_shared(spark, configured)
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not _in_one_process(spark):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local folder "
                            "does not survive the loss of an executor")
     path = tempfile.mkdtemp(prefix="tallyframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
@@ -67,6 +68,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def _in_one_process(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+_CHECKED: set[tuple[str, str]] = set()
+PROBES = 8
+
+
+def check_shared(spark: SparkSession, folder: str) -> None:
+    """Refuse a checkpoint folder that executors do not share with the driver.
+
+    The driver writes a few small files there and one job reads them back,
+    each in a task of its own; a folder on the driver's own disk fails.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key in _CHECKED:
+        return
+    jvm = spark._jvm
+    probe = f"{folder.rstrip('/')}/tallyframe-probe-{uuid.uuid4().hex}"
+    at = jvm.org.apache.hadoop.fs.Path(probe)
+    system = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    try:
+        for i in range(PROBES):
+            out = system.create(jvm.org.apache.hadoop.fs.Path(f"{probe}/{i}"), True)
+            out.write(bytearray(b"seen"))
+            out.close()
+        seen = spark.sparkContext.textFile(probe, PROBES)._jrdd.count()
+    except Exception as e:
+        raise RuntimeError(f"spark.checkpoint.dir {folder} is not a folder that the driver and all executors share") from e
+    finally:
+        system.delete(at, True)
+    if seen != PROBES:
+        raise RuntimeError(f"executors do not see what the driver writes to spark.checkpoint.dir {folder}")
+    _CHECKED.add(key)
+
+
 # Settings for a large cluster, applied only where the session leaves them
 # unset.  The initial shuffle partition count is high so that AQE can
 # coalesce small stages down while big stages stay at ~64-128 MB per task;

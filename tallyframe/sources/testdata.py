@@ -28,19 +28,20 @@ CAMPAIGN_EPOCH = dt.date(1995, 1, 1)
 ACTIVE_VALUE_THRESHOLD = 50
 MONEY = "decimal(18,2)"
 
-
-
-_SCHEMAS: dict[str, StructType] = {}
+_SCHEMAS: dict[tuple, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's tables.  The footer schema is read once per file;
-    later reads pass it explicitly, so building a plan runs no Spark job."""
+    """One of the driver's tables.  The footer schema is read once per state of the
+    file; later reads pass it explicitly, so building a plan runs no Spark job."""
     path = f"{sf_dir}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getFileStatus(at)
+    key = (path, status.getModificationTime(), status.getLen())
+    schema = _SCHEMAS.get(key)
     if schema is None:
         df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
+        _SCHEMAS[key] = df.schema
         return df
     return spark.read.schema(schema).parquet(path)
 
