@@ -145,3 +145,13 @@ def test_messages_round_trip():
     a, b = np.arange(5, dtype=np.uint64), np.array([-1, 2], np.int64)
     x, y = mail.unpack(mail.pack(a, b))
     assert x.dtype == a.dtype and (x == a).all() and y.dtype == b.dtype and (y == b).all()
+
+
+def test_components_with_a_hub(spark, monkeypatch):
+    """One node with very many links, long paths, and loops."""
+    from tallyframe.llm import components as C
+    monkeypatch.setattr(C, "HOT_ROWS", 20)
+    monkeypatch.setattr(C, "HOT_KEYS", 50)
+    links = [(500, k) for k in range(501, 900)] + [(k, k + 1) for k in range(1000, 1012)] + [(7, 7), (3, 500), (1012, 2000), (2000, 999)]
+    got = {r.id: r.component for r in C.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {3: 3, 500: 3, **{k: 3 for k in range(501, 900)}, **{k: 999 for k in (999, 2000, *range(1000, 1013))}}
