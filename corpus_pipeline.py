@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is
 written as Parquet and read again as the next stage's documents.
+
+Defined cases, as each operator states them for itself: any column may be
+null and extra columns are dropped; a null or empty text is not toxic and
+fails the quality rules; a null doc_id counts as larger than any other; of
+rows with one doc_id all or none stay as near duplicates, and neither removes
+passages of the other; an empty table passes through as an empty table, and
+packs into no sequence.
 """
 
 from __future__ import annotations

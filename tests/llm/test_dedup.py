@@ -155,3 +155,13 @@ def test_components_with_a_hub(spark, monkeypatch):
     links = [(500, k) for k in range(501, 900)] + [(k, k + 1) for k in range(1000, 1012)] + [(7, 7), (3, 500), (1012, 2000), (2000, 999)]
     got = {r.id: r.component for r in C.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {3: 3, 500: 3, **{k: 3 for k in range(501, 900)}, **{k: 999 for k in (999, 2000, *range(1000, 1013))}}
+
+
+def test_near_components_with_hot_classes_and_leaders(make, monkeypatch):
+    """A class of many copies, and a group of many near copies, whose keys are split."""
+    monkeypatch.setattr(jaccard_join, "HOT_ROWS", 5)
+    monkeypatch.setattr(jaccard_join, "HOT_KEYS", 10**6)
+    base = [f"u{k}" for k in range(80)]
+    rows = corpus(9, 30) + [(5000 + k, " ".join(base)) for k in range(40)]
+    rows += [(6000 + k, " ".join(base[:k] + ["other"] + base[k + 1:])) for k in range(2, 78)]
+    assert sorted(map(tuple, jaccard_join.join(make(rows)).collect()), key=str) == near_components(rows)

@@ -61,5 +61,33 @@ def test_pipeline_stages(spark):
     assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in run) == packed
 
 
+def test_stages_take_odd_rows(spark):
+    """Nulls in every column, repeated rows and ids, clashing extra columns, and no rows at all."""
+    import random
+
+    from pyspark.sql import functions as F
+    from texts import prose
+    from tallyframe.llm.shared import stored
+    rng = random.Random(3)
+    text, other = prose(rng, 300, 4000), prose(rng, 300, 4000)
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, text, "en", "a", len(text)), (1, text, "en", "a", len(text)), (2, text, None, None, None), (None, other, None, "b", 5), (None, None, None, None, None),
+            (3, "", "en", "a", 0), (4, other + " more", "en", "a", 7), (5, prose(rng, 200, 4000) + " " + " ".join(text.split()[:80]), "fr", "c", 1)]
+    odd = spark.createDataFrame(rows, kind).select("*", *[F.lit("x").alias(c) for c in ("score", "component_id", "n_removed", "__tf_id", "toxic")])
+    for docs, alive in ((odd, True), (odd.where("false"), False)):
+        counts = []
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stored(stage(spark, docs, SF))
+            counts.append(docs.count())
+            if name != "best-fit packing":
+                assert docs.columns == corpus_pipeline.COLUMNS
+            if name == "n-gram Jaccard join" and alive:
+                assert sorted(r.doc_id for r in docs.collect()) == [1, 1, 4, 5]      # 2 copies 1, the row without an id is near 4
+            if name == "substring dedup" and alive:
+                left = {r.doc_id: r for r in docs.collect()}
+                assert len(left[5].text.split()) == 200 and left[5].n_chars == len(left[5].text) and left[1].text == text
+        assert counts == ([8, 6, 4, 4, 4] if alive else [0] * 5)
+
+
 def ids(df):
     return sorted(r.doc_id for r in df.select("doc_id").collect())
