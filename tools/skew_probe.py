@@ -3,9 +3,10 @@
     python tools/skew_probe.py [--sf-dir DIR]
 
 Derives skewed inputs from the given tables (every third event to user 0,
-every third subscription to member 0), runs the streaks, the exact-n sample
-on the hot key, the K15 fold, and K14 and K18 with broadcasts disabled, all
-with partition coalescing off, and prints,
+every third subscription to member 0, every third account acquired on one
+day), runs the streaks, the exact-n sample on the hot key, the K15 fold, and
+K14, K18, J6 and K16 with broadcasts disabled, all with partition coalescing
+off, and prints,
 per stage, the rows read and the most rows read by one task - taken from the
 Spark event log written to a fresh scratch folder.
 """
@@ -56,6 +57,8 @@ def main() -> None:
     args = ap.parse_args()
     from pyspark.sql import functions as F
 
+    from tallyframe.operators import joins
+    from tallyframe.operators import matching as mt
     from tallyframe.operators import sampling as sm
     from tallyframe.operators import streaks as sk
     from tallyframe.plans import engagement as eg
@@ -90,6 +93,7 @@ def main() -> None:
     # the member-level side as if it were too large to broadcast
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    joins.BROADCAST_BYTES = 0
     sc.setJobGroup("k14", "k14")
     rv.revenue_by_campaign(subs, c.members(spark, d), c.acquisition(spark, d), c.campaigns(spark, d)) \
         .write.format("noop").mode("overwrite").save()
@@ -99,6 +103,18 @@ def main() -> None:
     sc.setJobGroup("k18_plain", "k18_plain")   # no key counts as hot: the plain shuffled join
     op.billing_resolution(subs, c.members(spark, d), c.accounts(spark, d), c.plans(spark, d), hot_rows=10**15) \
         .write.format("noop").mode("overwrite").save()
+    # accounts: the members as accounts of their own, a third of them acquired on one campaign day
+    campaigns = c.campaigns(spark, d)
+    day = campaigns.agg(F.min("start_date")).first()[0]
+    accounts = c.members(spark, d).select("member_id", "join_date").withColumn(
+        "kind", F.lit(campaigns.filter(F.col("start_date") == day).first()["target_audience"])) \
+        .withColumn("join_date", F.when(F.col("member_id").cast("bigint") % 3 == 0, F.lit(day)).otherwise(F.col("join_date")))
+    kw = {"entity_key": "member_id", "entity_type": "kind", "entity_date": "join_date", "campaign_key": "campaign_id"}
+    for name, hot_rows in (("", 500), ("_plain", 10**15)):
+        sc.setJobGroup(f"j6{name}", "j6")
+        mt.window_matches(accounts, campaigns, hot_rows=hot_rows, **kw).write.format("noop").mode("overwrite").save()
+        sc.setJobGroup(f"k16{name}", "k16")
+        mt.choose_match(accounts, campaigns, hot_rows=hot_rows, **kw).write.format("noop").mode("overwrite").save()
     spark.stop()
 
     for name, rows in stage_sizes(log_dir).items():
