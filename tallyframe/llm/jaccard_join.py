@@ -385,13 +385,18 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(fit), batch.column(1).filter(fit)], names=["a", "b"])
 
     side = lambda k: sets.select(F.col("doc_id").alias(k), F.col("shingles").alias(f"s{k}"))
-    # the smallest document of a large group is in very many pairs: they are dealt over several tasks
-    hot = F.broadcast(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows(pairs))
-                      .select("a", F.ceil(F.col("n") / hot_rows(pairs)).cast("int").alias("parts")))
-    one = F.coalesce("parts", F.lit(1))
-    dealt = pairs.join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), one).cast("int").alias("part"))
-    leads = side("a").join(hot, "a", "left").select("a", "sa", F.explode(F.sequence(F.lit(0), one - 1)).alias("part"))
-    both = dealt.join(side("b"), "b").join(leads, ["a", "part"]).select("a", "b", "sa", "sb")
+    many = hot_rows(pairs)
+    hot = stored(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > many)
+                 .select("a", F.ceil(F.col("n") / many).cast("int").alias("parts")))
+    if not hot.limit(1).count():
+        both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
+    else:
+        # the smallest document of a large group is in very many pairs: these are dealt over several tasks
+        hot = F.broadcast(hot)
+        cold = pairs.join(hot, "a", "left_anti").join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
+        dealt = pairs.join(hot, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"))
+        leads = side("a").join(hot, "a").select("a", "sa", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        both = cold.unionByName(dealt.join(leads, ["a", "part"]).join(side("b"), "b").select("a", "b", "sa", "sb"))
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
