@@ -27,8 +27,8 @@ one, so the chain is broken there as at the end of a piece.  Counts of
 everything that can be returned stay exact: no frequent phrase crosses a
 broken place.
 
-Scale: a batch sends one row per distinct gram, summed again by Spark before
-and after the shuffle, so a hot phrase costs one row per batch.  The cells are
+Scale: a task adds up the distinct grams of its slices (``held_rows`` at a
+time) and Spark adds up what the tasks send, so a hot phrase costs a task a row.  The cells are
 bounded (``most_bits``; beyond it the table only lets more through), and are
 merged in levels of ``fan_in`` messages.  Look-ups of parts, where one common
 word meets many phrases, use the skew-split join.  Ranking cuts each
@@ -76,6 +76,7 @@ class Settings:
     least_bits: int = 16
     slices: int = 64          # of the cells, merged apart
     fan_in: int = 256         # messages that one merge reads, about
+    held_rows: int = 1_000_000  # grams that a task adds up before it sends them
     hot_rows: int = 100_000   # rows of one key in a look-up before it is split
     shares: int = 256         # of a language's phrases, ranked apart first
 
@@ -318,6 +319,11 @@ def slice_grams(w: Words, lang: np.ndarray, names: list[str], pairs: Frequent, l
         pa.array(np.concatenate([counts, totals[present]]), pa.int64())], schema=_SCHEMA)
 
 
+def combined(tables: list[pa.Table]) -> pa.Table:
+    """Equal grams of several slices added up."""
+    return pa.concat_tables(tables).group_by(["lang", "gram", "words"]).aggregate([("n", "sum")]).rename_columns(["lang", "gram", "words", "n"]).cast(_SCHEMA)
+
+
 def grams(docs: DataFrame, settings: Settings = Settings(), lang: str = "lang", text: str = "text") -> DataFrame:
     """(lang, gram, words, n): edges of the highest order, shorter grams where a chain ends, and, with 0 words, all words."""
     s = settings
@@ -327,9 +333,16 @@ def grams(docs: DataFrame, settings: Settings = Settings(), lang: str = "lang",
     longer = Frequent(texts, total, lambda w, number, names: [key for _, _, key in Chains(w, number, names, pairs).longer()], s)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for batch in batches:
             for w, number, names in batch_words(batch, size):
-                yield slice_grams(w, number, names, pairs, longer)
+                held.append(pa.Table.from_batches([slice_grams(w, number, names, pairs, longer)]))
+                if sum(t.num_rows for t in held) >= s.held_rows:
+                    held = [combined(held)]
+                    if 2 * held[0].num_rows >= s.held_rows:
+                        yield from held.pop().to_batches()
+        if held:
+            yield from combined(held).to_batches()
 
     return texts.mapInArrow(run, GRAMS).groupBy("lang", "gram", "words").agg(F.sum("n").alias("n"))
 

@@ -61,7 +61,7 @@ def corpus(seed):
 
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("settings", [
-    C.Settings(least=8), C.Settings(least=3, top=15, slice_bytes=700, least_bits=7, most_bits=7, fan_in=2, slices=8, hot_rows=5, shares=4)])
+    C.Settings(least=8), C.Settings(least=3, top=15, slice_bytes=700, least_bits=7, most_bits=7, held_rows=40, fan_in=2, slices=8, hot_rows=5, shares=4)])
 def test_against_counting(spark, seed, settings):
     rows = corpus(seed)
     want = by_hand(rows, settings.least, settings.top)
