@@ -25,6 +25,7 @@ from ..operators.quality import Suite
 from . import revenue as rv
 from .build import stage_all
 
+# fixed values: the declared tests, in their natural order
 DECLARED_SUITE = Suite(
     unique=[
         ("stg_accounts", "account_id"), ("stg_members", "member_id"), ("stg_plans", "plan_id"),
@@ -98,5 +99,9 @@ def models(raw: Mapping[str, DataFrame], as_of: dt.date | str, money: str | None
 
 
 def run_declared_suite(raw: Mapping[str, DataFrame], as_of: dt.date | str, money: str | None = None) -> DataFrame:
-    """The reference's 57 column tests over models built from ``raw``."""
+    """The reference's 57 column tests over models built from ``raw``.
+
+    The four derived models are written to the checkpoint folder when this is
+    called, so the report is about that moment's data.
+    """
     return DECLARED_SUITE.run(models(raw, as_of, money, keep=True))
