@@ -16,6 +16,7 @@ from pyspark.sql.types import MapType
 
 from ..fixed_values import ACTIVITY_WINDOW_DAYS, JITTER_BP
 from ..functions.hashing import hash32
+from .joins import measured
 from .sampling import dense_number
 
 
@@ -85,19 +86,21 @@ def bootstrap(spine: DataFrame, spine_keys: Sequence[str], pool: DataFrame, pool
 
     ``measures`` maps a pool column to ``"int"`` (rounded half up, floored at
     0) or ``"decimal"`` (rounded to 2 places).  The pool is numbered 1..P in
-    hash order (R5); each spine row picks number ``hash % P + 1`` and the two
-    sides meet in a shuffled hash join on that number (uniformly spread, the
-    pool is the build side; neither side is broadcast).
+    hash order (R5); each spine row picks number ``hash % P + 1`` and looks it
+    up.  The numbered pool is measured (and counted) when this is called: it
+    is broadcast where it fits, so the spine is not shuffled; beyond that the
+    two sides meet in a shuffled hash join built on the pool (the picks are
+    uniformly spread).
     """
-    numbered = dense_number(pool.select(*pool_keys, *measures), pool_keys, seed, "__pick", salt="pool",
-                            with_total=True)
-    size = numbered.agg(F.max("__total")).scalar()   # one value, inlined as a scalar subquery
+    numbered = dense_number(pool.select(*pool_keys, *measures), pool_keys, seed, "__pick", salt="pool")
+    side = measured(numbered.select("__pick", *measures))
+    size = F.lit(side.rows or None).cast("bigint")
     pick = (hash32(*spine_keys, seed=seed, salt="pick") % size + 1).cast("bigint")
     chosen = spine.withColumn("__pick", pick)
-    # A shuffled hash join built on the pool.  Without the hint the planner
-    # may broadcast the spine: the size estimate of an explode does not grow
-    # with the explode factor, so a spine of members x days looks tiny.
-    joined = chosen.join(numbered.select("__pick", *measures).hint("shuffle_hash"), "__pick", "inner")
+    # Always a hint: the size estimate of an explode does not grow with the
+    # explode factor, so a spine of members x days looks tiny to the planner
+    # and would be broadcast itself.
+    joined = chosen.join(side.df.hint("broadcast" if side.fits else "shuffle_hash"), "__pick", "inner")
     out = []
     for m, kind in measures.items():
         scaled = F.col(m).cast("decimal(20,2)") * jitter_factor(spine_keys, m, seed)

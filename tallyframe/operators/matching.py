@@ -12,16 +12,15 @@ every pair occurs exactly once.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..fixed_values import ATTRIBUTED_SHARE, DELAYED_CONVERSION_DAYS
 from ..functions.hashing import hash32
-from .joins import HOT_KEY_ROWS, lookup_join, measured
+from .joins import HOT_KEY_ROWS, Measured, lookup_join
 from .sampling import first_n_by_hash, sample_size
 
+TASK_DAYS = 500_000          # campaign days that one task makes
 DYADIC_LEVELS = 13           # block sizes of up to 4,096 days; longer windows take several of the largest
 
 
@@ -89,20 +88,35 @@ def choose_one(pairs: DataFrame, key: str, choice: str, seed=42) -> DataFrame:
         F.min_by(F.col(choice), F.struct(h.alias("h"), F.col(choice).alias("c"))).alias(choice))
 
 
+def open_campaigns(campaigns: DataFrame, *, campaign_key: str, audience: str = "target_audience",
+                   start: str = "start_date", end: str = "end_date",
+                   grace_days: int = DELAYED_CONVERSION_DAYS, task_days: int = TASK_DAYS) -> DataFrame:
+    """Every (campaign, audience, day) of the campaigns' windows (with the grace days), once: (campaign_key, __type, __day).
+
+    One row per campaign and day, so its size follows the campaigns, not the
+    entities.  The days are summed when this is called, and the (narrow)
+    windows are spread by campaign over tasks that make about ``task_days``
+    rows each: a campaign table stored in one file would otherwise make, and
+    fold, all days in one task.
+    """
+    windows = campaigns.select(F.col(campaign_key), F.col(audience).alias("__type"), F.col(start).alias("__first"),
+                               F.date_add(F.col(end), grace_days).alias("__last")).filter("__first <= __last").distinct()
+    days = windows.agg(F.sum(F.datediff("__last", "__first").cast("bigint") + 1)).first()[0] or 0
+    cores = campaigns.sparkSession.sparkContext.defaultParallelism
+    spread = windows.repartition(max(cores, -(-days // task_days)), campaign_key, "__type")
+    return spread.select(campaign_key, "__type", F.explode(F.sequence("__first", "__last")).alias("__day")).distinct()
+
+
+def _ranked(days: DataFrame, campaign_key: str) -> DataFrame:
+    return days.withColumn("__rank", F.row_number().over(Window.partitionBy("__type", "__day").orderBy(campaign_key)))
+
+
 def campaign_days(campaigns: DataFrame, *, campaign_key: str, audience: str = "target_audience",
                   start: str = "start_date", end: str = "end_date",
                   grace_days: int = DELAYED_CONVERSION_DAYS) -> DataFrame:
-    """Every (audience, day) with the campaigns open on it, numbered from 1 by key, and their count.
-
-    One row per campaign and day of its window (with the grace days), so its
-    size follows the campaigns, not the entities.
-    """
-    stop = F.date_add(F.col(end), grace_days)
-    days = F.when(F.col(start) <= stop, F.sequence(F.col(start), stop)).otherwise(F.array().cast("array<date>"))
-    open_days = campaigns.select(F.col(campaign_key), F.col(audience).alias("__type"), F.explode(days).alias("__day")).distinct()
-    same_day = Window.partitionBy("__type", "__day")
-    return open_days.withColumn("__rank", F.row_number().over(same_day.orderBy(campaign_key))) \
-        .withColumn("__open", F.count(F.lit(1)).over(same_day))
+    """Every (audience, day) with the campaigns open on it, numbered from 1 by key, and their count."""
+    days = open_campaigns(campaigns, campaign_key=campaign_key, audience=audience, start=start, end=end, grace_days=grace_days)
+    return _ranked(days, campaign_key).withColumn("__open", F.count(F.lit(1)).over(Window.partitionBy("__type", "__day")))
 
 
 def choose_match(entities: DataFrame, campaigns: DataFrame, *, entity_key: str, entity_type: str,
@@ -118,12 +132,18 @@ def choose_match(entities: DataFrame, campaigns: DataFrame, *, entity_key: str,
     measured: broadcast where they fit, otherwise the entities of a heavy
     (type, day) are dealt over several tasks.  Output: entity_key, campaign_key.
     """
-    days = campaign_days(campaigns, campaign_key=campaign_key, audience=audience, start=start, end=end, grace_days=grace_days)
+    days = open_campaigns(campaigns, campaign_key=campaign_key, audience=audience, start=start, end=end, grace_days=grace_days)
     ent = entities.filter(F.col(entity_date).isNotNull()).select(
         F.col(entity_key), F.col(entity_type).alias("__type"), F.col(entity_date).alias("__day"))
-    all_days = measured(days.select("__type", "__day", "__rank", campaign_key))
-    open_days = days.filter("__rank = 1").select("__type", "__day", "__open")
-    counted = lookup_join(ent, replace(all_days, df=open_days) if all_days.fits else open_days, ["__type", "__day"], "inner", hot_rows)
+    size = lambda c: F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("bigint")
+    per_day = days.groupBy("__type", "__day").agg(F.count(F.lit(1)).alias("__open"), F.sum(size(campaign_key)).alias("__keys"))
+    # both look-up tables measured in one pass; a rank has no more digits than the count
+    width = size("__type") + size("__day") + size("__open")
+    got = per_day.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"), F.sum("__open").alias("all_n"),
+                      F.sum(F.col("__open") * width + F.col("__keys")).alias("all_b")).first()
+    open_days = Measured(per_day.select("__type", "__day", "__open"), got.n, got.b or 0)
+    all_days = Measured(_ranked(days, campaign_key), got.all_n or 0, got.all_b or 0)
+    counted = lookup_join(ent, open_days, ["__type", "__day"], "inner", hot_rows)
     picked = counted.withColumn("__rank", (F.pmod(hash32(entity_key, seed=seed, salt="choice"), F.col("__open")) + 1).cast("int"))
     return lookup_join(picked, all_days, ["__type", "__day", "__rank"], "inner", hot_rows).select(entity_key, campaign_key)
 

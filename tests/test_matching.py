@@ -164,3 +164,19 @@ def test_window_matches_over_random_windows(spark):
     got = mt.window_matches(a, c, entity_key="account_id", entity_type="account_type", entity_date="acquisition_date", campaign_key="campaign_id")
     brute = a.join(c, (a.account_type == c.target_audience) & a.acquisition_date.between(c.start_date, F.date_add(c.end_date, 45)))
     assert rows(got, "account_id", "campaign_id") == rows(brute, "account_id", "campaign_id") and got.count() > 100
+
+
+def test_campaign_days_are_made_in_spread_tasks_and_never_broadcast_by_an_estimate(spark, monkeypatch):
+    """One file of campaigns: no task folds all days, and days measured too large are merged (an explode looks small to the planner)."""
+    a, c = fixture(spark)
+    key = {"campaign_key": "campaign_id"}
+    days = mt.open_campaigns(c.unionByName(c).coalesce(1), task_days=5, **key)
+    made = days.withColumn("task", F.spark_partition_id())
+    assert days.rdd.getNumPartitions() > 1 and made.select("task").distinct().count() > 1
+    assert rows(days, "campaign_id", "__day") == rows(mt.campaign_days(c, **key), "campaign_id", "__day")
+    args = {"entity_key": "account_id", "entity_type": "account_type", "entity_date": "acquisition_date", **key}
+    want = rows(mt.choose_match(a, c, **args), "account_id", "campaign_id")
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    out = mt.choose_match(a, c, **args)
+    assert rows(out, "account_id", "campaign_id") == want and len(want) == 4
+    assert plan_text(out).count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in plan_text(out)
