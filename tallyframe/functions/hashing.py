@@ -19,14 +19,15 @@ from pyspark.sql import functions as F
 TWO_32 = 4294967296
 
 
-def _key_text(*keys: Column | str) -> Column:
+def key_text(*keys: Column | str) -> Column:
+    """The text of the keys that :func:`hash32` hashes; as a single key it gives the same hash."""
     cols = [F.col(k) if isinstance(k, str) else k for k in keys]
     return F.concat_ws("|", *[c.cast("string") for c in cols])
 
 
 def hash32(*keys: Column | str, seed: int | str = 42, salt: str | None = None) -> Column:
     """Integer in [0, 2^32) derived from the keys, the seed and an optional salt."""
-    text = _key_text(*keys)
+    text = key_text(*keys)
     if salt is not None:
         text = F.concat(text, F.lit(":" + str(salt)))
     text = F.concat(text, F.lit(":" + str(seed)))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from ..fixed_values import ACTIVITY_WINDOW_DAYS, JITTER_BP
-from ..functions.hashing import hash32
+from ..functions.hashing import hash32, key_text
 from .joins import measured
 from .sampling import dense_number
 
@@ -95,15 +95,17 @@ def bootstrap(spine: DataFrame, spine_keys: Sequence[str], pool: DataFrame, pool
     numbered = dense_number(pool.select(*pool_keys, *measures), pool_keys, seed, "__pick", salt="pool")
     side = measured(numbered.select("__pick", *measures))
     size = F.lit(side.rows or None).cast("bigint")
-    pick = (hash32(*spine_keys, seed=seed, salt="pick") % size + 1).cast("bigint")
-    chosen = spine.withColumn("__pick", pick)
+    # the text that the pick and every jitter hash, made once per row where it is not shuffled
+    keys = ["__key"] if side.fits else list(spine_keys)
+    keyed = spine.withColumn("__key", key_text(*spine_keys)) if side.fits else spine
+    chosen = keyed.withColumn("__pick", (hash32(*keys, seed=seed, salt="pick") % size + 1).cast("bigint"))
     # Always a hint: the size estimate of an explode does not grow with the
     # explode factor, so a spine of members x days looks tiny to the planner
     # and would be broadcast itself.
     joined = chosen.join(side.df.hint("broadcast" if side.fits else "shuffle_hash"), "__pick", "inner")
     out = []
     for m, kind in measures.items():
-        scaled = F.col(m).cast("decimal(20,2)") * jitter_factor(spine_keys, m, seed)
+        scaled = F.col(m).cast("decimal(20,2)") * jitter_factor(keys, m, seed)
         if kind == "int":
             out.append(F.greatest(F.round(scaled, 0), F.lit(0)).cast("bigint").alias(m))
         else:

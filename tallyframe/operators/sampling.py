@@ -63,8 +63,13 @@ def _orderable(schema) -> list[str]:
 
 def _hashed(df: DataFrame, keys: Sequence[str], seed, salt: str | None = None) -> DataFrame:
     h = hash32(*keys, seed=seed, salt=salt)
-    content = F.shiftrightunsigned(F.xxhash64(*[F.col(c) for c in _orderable(df.schema)]), 64 - CONTENT_BITS)
-    return df.withColumn(_H, h).withColumn(_B, F.shiftright(F.col(_H), LOW_BITS)).withColumn(_C, content)
+    return _with_content(df.withColumn(_H, h).withColumn(_B, F.shiftright(F.col(_H), LOW_BITS)), df.columns)
+
+
+def _with_content(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The hash of ``columns``, but for those that have no order."""
+    content = F.xxhash64(*[F.col(c) for c in _orderable(df.select(*columns).schema)])
+    return df.withColumn(_C, F.shiftrightunsigned(content, 64 - CONTENT_BITS))
 
 
 def _order(schema, keys: Sequence[str]) -> list[Column]:
@@ -108,8 +113,12 @@ def expand(df: DataFrame, count_col: str, first_col: Column | int, out_col: str,
         .withColumn(out_col, F.col("__first") + F.col("__i")).drop("__first", "__i")
 
 
-def _rank_cold(rows: DataFrame, order: list[Column]) -> DataFrame:
-    """Rank (1-based) inside the bucket, one window partition per bucket."""
+def _rank_cold(rows: DataFrame, order: list[Column], data_cols: Sequence[str]) -> DataFrame:
+    """Rank (1-based) inside the bucket, one window partition per bucket.
+
+    The content hash is as long as a narrow row: it is made after the shuffle.
+    """
+    rows = _with_content(rows.drop(_C).repartition(F.col(_B)), data_cols)
     return rows.withColumn("__rn", F.row_number().over(Window.partitionBy(_B).orderBy(*order)))
 
 
@@ -188,12 +197,12 @@ def dense_number(df: DataFrame, keys: Sequence[str], seed=42, col: str = "row_no
     info = hist.select(_B, "__before", "__cnt")
 
     if max_cnt <= hot_rows:
-        ranked = _rank_cold(hashed, order).join(F.broadcast(info), _B, "inner")
+        ranked = _rank_cold(hashed, order, data_cols).join(F.broadcast(info), _B, "inner")
         return ranked.select(*data_cols, *extra,
                              (F.col("__before") + F.col("__rn")).cast("bigint").alias(col))
 
     cold = hashed.join(F.broadcast(info.filter(F.col("__cnt") <= hot_rows)), _B, "inner")
-    cold = _rank_cold(cold, order).withColumn(col, (F.col("__before") + F.col("__rn")).cast("bigint"))
+    cold = _rank_cold(cold, order, data_cols).withColumn(col, (F.col("__before") + F.col("__rn")).cast("bigint"))
     hot = hashed.join(F.broadcast(info.filter(F.col("__cnt") > hot_rows)), _B, "inner")
     hot = expand(_rank_hot(hot, order, keys, hot_rows), "__m", F.col("__before") + F.col("__first"), col, spread=[_H])
     return cold.select(*data_cols, *extra, col).unionByName(hot.select(*data_cols, *extra, col)).select(*keep)
@@ -238,7 +247,7 @@ def first_n_by_hash(df: DataFrame, n: Column | int | DataFrame, keys: Sequence[s
     need = target - cut["__before"]
     rows = hashed.filter(F.col(_B) == cut[_B])
     if cut["__cnt"] <= hot_rows:
-        part = _rank_cold(rows, order).filter(F.col("__rn") <= need)
+        part = _rank_cold(rows, order, data_cols).filter(F.col("__rn") <= need)
     else:
         hot = _rank_hot(rows, order, keys, hot_rows)
         take = F.greatest(F.lit(0), F.least(F.col("__m"), F.lit(need) - F.col("__first") + 1))

@@ -145,3 +145,35 @@ def test_serve_in_order(spark):
     assert [k for _, k in got] in (["a", "a", "d", "d", "d"], ["d", "d", "d", "a", "a"])
     with pytest.raises(CapacityError):
         sm.serve_in_order(need, ["k"], "n", spark.range(4).withColumnRenamed("id", "p"), ["p"])
+
+
+def test_bootstrap_looks_the_pool_up_or_shuffles_it(spark, monkeypatch):
+    """The spine is not shuffled for a pool that fits; either way the rows are the same, and an empty pool gives none."""
+    import datetime as dt
+    from decimal import Decimal
+    from tallyframe.operators import joins
+    spine = spark.createDataFrame([(f"m{i}" if i % 9 else None, dt.date(2024, 1, 1 + i % 28)) for i in range(300)], "member_id string, day date")
+    pool = spark.createDataFrame([(f"p{i % 20}", dt.date(2024, 1, 1 + i % 28), i, Decimal(i)) for i in range(90)],
+                                 "member_id string, day date, steps bigint, km decimal(18,2)")
+    args = (["member_id", "day"], {"steps": "int", "km": "decimal"})
+    out = cal.bootstrap(spine, ["member_id", "day"], pool, *args)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == 2      # the pool, and its numbering
+    got = rows(out)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    out = cal.bootstrap(spine, ["member_id", "day"], pool, *args)
+    assert "strategy=shuffle_hash" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(out) == got and len(got) == 300
+    assert cal.bootstrap(spine, ["member_id", "day"], pool.limit(0), *args).count() == 0
+
+
+def test_numbering_shuffles_no_content_hash(spark):
+    df = spark.createDataFrame([(k % 7, f"v{k}") for k in range(100)], "k long, v string")
+    plan = sm.dense_number(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("xxhash64") < plan.index("Exchange hashpartitioning") and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_padded_id_is_what_the_formatter_writes(spark):
+    from tallyframe.functions.exprs import padded_id
+    df = spark.createDataFrame([(n,) for n in (0, 42, 9_999_999, 10_000_000, 123_456_789_012, -5, -12_345_678, None)], "n long")
+    for r in df.select(padded_id("a-b", "n").alias("got"), F.format_string("a-b_%07d", "n").alias("want")).collect():
+        assert r.got == r.want
