@@ -110,3 +110,15 @@ def test_unique_over_nested_and_float_values(spark):
     df = spark.sql("select array(1) as a, 0.0D as f union all select array(1), -0.0D union all select array(2), double('nan') union all select null, double('nan')")
     got = {r.column_name: r.failures for r in dq.Suite(unique=[("m", "a"), ("m", "f")]).run({"m": df}).collect()}
     assert got == {"a": 1, "f": 2}
+
+
+def test_suite_tells_its_entries_in_generated_code(spark):
+    """Lambdas of array functions are interpreted, entry by entry: the suite's scans hold none."""
+    from helpers import plan_text
+    df = spark.createDataFrame([(1, "a"), (1, None), (None, "b")], "k int, v string")
+    suite = dq.Suite(unique=[("t", "k")], not_null=[("t", "k"), ("t", "v")], accepted_values=[("t", "v", ["a"])],
+                     relationships=[("t", "k", "p", "k")])
+    out = suite.run({"t": df, "p": spark.createDataFrame([(2,), (None,)], "k int")})
+    assert "lambda" not in plan_text(out)
+    assert sorted((r.test_name, r.column_name, r.failures) for r in out.collect()) == [
+        ("accepted_values", "v", 1), ("not_null", "k", 1), ("not_null", "v", 1), ("relationships", "k", 2), ("unique", "k", 1)]
