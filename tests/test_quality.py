@@ -122,3 +122,15 @@ def test_suite_tells_its_entries_in_generated_code(spark):
     assert "lambda" not in plan_text(out)
     assert sorted((r.test_name, r.column_name, r.failures) for r in out.collect()) == [
         ("accepted_values", "v", 1), ("not_null", "k", 1), ("not_null", "v", 1), ("relationships", "k", 2), ("unique", "k", 1)]
+
+
+def test_suite_keeps_one_count_per_value_however_many_tests_refer_to_a_parent(spark):
+    from helpers import plan_text
+    parent = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    tables = {"p": parent} | {f"c{i}": spark.createDataFrame([("a",), ("x",), ("x",), (f"y{i}",), (None,)], "k string") for i in range(6)}
+    one = dq.Suite(unique=[("p", "k")], relationships=[("c0", "k", "p", "k")]).run(tables)
+    out = dq.Suite(unique=[("p", "k")], relationships=[*[(f"c{i}", "k", "p", "k") for i in range(6)], ("c0", "k", "c1", "k"), ("c0", "k", "p", "k")]).run(tables)
+    assert plan_text(out).count("partial_") == plan_text(one).count("partial_")
+    assert sorted((r.model, r.test_name, r.failures) for r in out.collect()) == [
+        ("c0", "relationships", 1), ("c0", "relationships", 3), ("c0", "relationships", 3), *[(f"c{i}", "relationships", 3) for i in range(1, 6)],
+        ("p", "unique", 0)]
