@@ -27,9 +27,11 @@ one, so the chain is broken there as at the end of a piece.  Counts of
 everything that can be returned stay exact: no frequent phrase crosses a
 broken place.
 
-Scale: a task adds up the distinct grams of its slices (``held_rows`` at a
-time) and Spark adds up what the tasks send, so a hot phrase costs a task a row.  The cells are
-bounded (``most_bits``; beyond it the table only lets more through), and are
+Scale: a task adds up the distinct grams of its slices and Spark adds up what
+the tasks send, so a hot phrase costs a task a row.  Small splits share a task
+(``task_bytes``), so more text does not mean as many more senders of the same
+grams; a full task (``held_rows``) sends the rarer ones and keeps the others.
+The cells are bounded (``most_bits``; beyond it the table only lets more through), and are
 merged in levels of ``fan_in`` messages.  Look-ups of parts, where one common
 word meets many phrases, use the skew-split join.  Ranking cuts each
 language's phrases down in hashed shares first.
@@ -47,6 +49,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,6 +80,7 @@ class Settings:
     slices: int = 64          # of the cells, merged apart
     fan_in: int = 256         # messages that one merge reads, about
     held_rows: int = 1_000_000  # grams that a task adds up before it sends them
+    task_bytes: int = 128 << 20  # of text that one such task reads, where there are cores enough
     hot_rows: int = 100_000   # rows of one key in a look-up before it is split
     shares: int = 256         # of a language's phrases, ranked apart first
 
@@ -324,8 +328,12 @@ def combined(tables: list[pa.Table]) -> pa.Table:
     return pa.concat_tables(tables).group_by(["lang", "gram", "words"]).aggregate([("n", "sum")]).rename_columns(["lang", "gram", "words", "n"]).cast(_SCHEMA)
 
 
-def grams(docs: DataFrame, settings: Settings = Settings(), lang: str = "lang", text: str = "text") -> DataFrame:
-    """(lang, gram, words, n): edges of the highest order, shorter grams where a chain ends, and, with 0 words, all words."""
+def sent_grams(docs: DataFrame, settings: Settings = Settings(), lang: str = "lang", text: str = "text") -> DataFrame:
+    """(lang, gram, words, n) as the tasks send it: a gram at most once per task that could hold all of its grams.
+
+    Every task sends about every common gram, so small splits are read
+    together, up to ``task_bytes``, by one task per core or more.
+    """
     s = settings
     texts = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where(F.length("text") > 0)
     total, size = M.text_size(docs, text), s.slice_bytes
@@ -340,11 +348,20 @@ def grams(docs: DataFrame, settings: Settings = Settings(), lang: str = "lang",
                 if sum(t.num_rows for t in held) >= s.held_rows:
                     held = [combined(held)]
                     if 2 * held[0].num_rows >= s.held_rows:
-                        yield from held.pop().to_batches()
+                        order = pc.array_sort_indices(held[0]["n"], order="descending")
+                        hot = s.held_rows // 4                       # the most frequent ones come again: kept
+                        yield from held[0].take(order[hot:]).to_batches()
+                        held = [held[0].take(order[:hot])]
         if held:
             yield from combined(held).to_batches()
 
-    return texts.mapInArrow(run, GRAMS).groupBy("lang", "gram", "words").agg(F.sum("n").alias("n"))
+    tasks = max(texts.sparkSession.sparkContext.defaultParallelism, -(-total // s.task_bytes))
+    return texts.coalesce(tasks).mapInArrow(run, GRAMS)
+
+
+def grams(docs: DataFrame, settings: Settings = Settings(), lang: str = "lang", text: str = "text") -> DataFrame:
+    """(lang, gram, words, n): edges of the highest order, shorter grams where a chain ends, and, with 0 words, all words."""
+    return sent_grams(docs, settings, lang, text).groupBy("lang", "gram", "words").agg(F.sum("n").alias("n"))
 
 
 # ---- the graph ----------------------------------------------------------------

@@ -76,6 +76,30 @@ def test_copies_long_texts_and_wide_numbers(spark):
     assert got(spark, rows, s) == by_hand(rows, 100, 2000)
 
 
+def test_rows_sent_follow_cores_not_splits(spark):
+    """Splits too small for a task of their own are read together, so a gram is sent once per core at most."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = [("en", f"a b c. w{i % 20} x. y w{i % 7}") for i in range(80 * cores)]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(10 * cores)
+    s = C.Settings(least=5)
+    distinct = C.grams(df, s).count()
+    assert distinct > 20 and C.sent_grams(df, s).count() <= cores * distinct
+    apart = C.Settings(least=5, task_bytes=len("a b c"))                  # no split is joined to another
+    assert C.sent_grams(df, apart).groupBy("lang", "gram", "words").agg(F.sum("n").alias("n")).exceptAll(C.grams(df, s)).isEmpty()
+
+
+def test_common_grams_outlast_a_full_task(spark):
+    """When a task holds too many grams it sends the rare ones; a gram that comes again and again is sent once."""
+    rows = [("en", f"a b c. w{i % 100}. " * 2) for i in range(1000)]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(1)
+    sent = C.sent_grams(df, C.Settings(least=3, slice_bytes=700, held_rows=40)).collect()
+    by_gram = collections.defaultdict(list)
+    for r in sent:
+        by_gram[r.gram].append(r.n)
+    assert by_gram["a b c"] == [2000] and by_gram[""] == [8000]
+    assert max(map(len, by_gram.values())) > 1 and all(sum(by_gram[f"w{i}"]) == 20 for i in range(100))
+
+
 def test_products_beyond_64_bits(spark):
     big = 3 * 10**12
     rows = spark.createDataFrame([("en", "p q", big, 2)], "lang string, gram string, n long, words int")
