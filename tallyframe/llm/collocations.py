@@ -329,7 +329,7 @@ def combined(tables: list[pa.Table]) -> pa.Table:
 
 
 def sent_grams(docs: DataFrame, settings: Settings = Settings(), lang: str = "lang", text: str = "text") -> DataFrame:
-    """(lang, gram, words, n) as the tasks send it: a gram at most once per task that could hold all of its grams.
+    """(lang, gram, words, n) as the tasks send it: a gram once per task, more often only where a task overflows.
 
     Every task sends about every common gram, so small splits are read
     together, up to ``task_bytes``, by one task per core or more.
