@@ -17,6 +17,9 @@ Every piece then finds its slot by its rank among the pieces of its length,
 taken within buckets whose sizes are bounded, so a length that a third of
 all pieces share is ranked by many tasks.
 
+Texts are encoded in slices of 2 MB: the encoder's arrays take many times
+the slice they are made for, and two tasks share an executor's memory.
+
 Defined cases: a null or empty text is the closing id alone.  Any other
 column may be null; repeated rows are packed as often as they occur; an
 empty table gives an empty result; extra columns are not read.
@@ -201,7 +204,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, closing: i
         model, dealt = byte_tokens(tokenizer), 0
         for batch in batches:
             data, off = A.text_bytes(batch.column(1))
-            for i, j in A.slices(off, 16 << 20):
+            for i, j in A.slices(off):
                 ids, at = model.encode(data[off[i] : off[j]], off[i : j + 1] - off[i])
                 n = np.diff(at) + 1
                 many = -(-n // capacity)

@@ -159,3 +159,34 @@ def test_packing(make):
 def test_no_empty_array_surprises():
     ids, off = byte_tokens.byte_tokens(BPE).encode(np.zeros(0, np.uint8), np.zeros(1, np.int64))
     assert len(ids) == 0 and off.tolist() == [0]
+
+
+def test_a_batch_is_encoded_in_small_slices():
+    """Encoding a batch of many texts holds arrays for a small slice of it, and gives each text's own ids."""
+    import tracemalloc
+
+    class Docs:
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    rng = random.Random(9)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=900)) for _ in range(2500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    run = packing.pieces(Docs(), BPE)
+    model, rows = byte_tokens.byte_tokens(BPE), []
+    assert batch.nbytes > 12 << 20
+    tracemalloc.start()
+    for out in run(iter([batch])):
+        rows += out.select(["doc_id", "piece", "start", "length"]).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 128 << 20
+    sizes = {}
+    for r in rows:
+        assert r["start"] == sizes.get(r["doc_id"], 0)
+        sizes[r["doc_id"]] = r["start"] + r["length"]
+    assert sizes == {i: len(model.whole(t)) + 1 for i, t in enumerate(texts)}
